@@ -1,2 +1,560 @@
-"""DuckDB oracle SQL for the registered queries (filled in below)."""
-ORACLES: dict[str, str] = {}
+"""DuckDB oracle SQL for the registered queries.
+
+Written independently of the Spark plans, straight from the operator definitions, over
+the pre-registered views (documents, labels, benchmark, events, part, lineitem, ...).
+Shared steps are CTE fragments; every query states its full pipeline.
+"""
+
+from __future__ import annotations
+
+import re
+
+from .. import schema as S
+from ..functions import text as TX
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _in(words) -> str:
+    return "(" + ", ".join(_q(w) for w in words) + ")"
+
+
+def clean_sql(x: str) -> str:
+    src, dst, exp = TX.accent_tables()
+    expanded = x
+    for ch, rep in exp:
+        expanded = f"replace({expanded}, {_q(ch)}, {_q(rep)})"
+    guard = "[" + "".join(ch for ch, _ in exp) + "]"
+    folded = f"CASE WHEN regexp_matches({x}, {_q(guard)}) THEN {expanded} ELSE {x} END"
+    folded = f"regexp_replace(translate({folded}, {_q(src)}, {_q(dst)}), '[^\\x00-\\x7F]', '', 'g')"
+    white = f"regexp_replace({folded}, {_q(TX.NON_WHITELIST)}, ' ', 'g')"
+    return f"trim(regexp_replace({white}, '\\s+', ' ', 'g'))"
+
+
+NT = "chr(2)"
+TOKEN_RE = "'(' || chr(2) || '?n''t|''(?:s|ve|re|d|ll|m)\\b|[A-Za-z0-9]+|[(),:;!?''`]) ?'"
+
+
+def matches_sql(x: str) -> str:
+    return f"regexp_extract_all(regexp_replace({x}, 'n''t\\b', {NT} || 'n''t', 'g'), {TOKEN_RE}, 0)"
+
+
+def words_sql(x: str) -> str:
+    return f"list_transform({matches_sql(x)}, m -> trim(replace(m, {NT}, '')))"
+
+
+def kind_sql(t: str) -> str:
+    low = f"lower({t})"
+    adj = " OR ".join(f"suffix({low}, {_q(s)})" for s in S.ADJ_SUFFIXES)
+    return (f"CASE WHEN {low} IN {_in(S.LEX_DET)} THEN 'det' WHEN {low} IN {_in(S.LEX_BE)} THEN 'be' "
+            f"WHEN {low} IN {_in(S.LEX_MODAL)} THEN 'modal' WHEN {low} IN {_in(S.LEX_NEG)} THEN 'neg' "
+            f"WHEN {low} IN {_in(S.LEX_PRON)} THEN 'pron' WHEN {low} IN {_in(S.LEX_INTJ)} THEN 'intj' "
+            f"WHEN {t} IN {_in(list(S.PUNCT_CHARS))} THEN 'punct' WHEN prefix({t}, '''') THEN 'clitic' "
+            f"WHEN regexp_full_match({t}, '[0-9]+') THEN 'num' WHEN suffix({low}, 'ly') THEN 'adv' "
+            f"WHEN {adj} THEN 'adj' WHEN suffix({low}, 'ed') THEN 'verb' ELSE 'noun' END")
+
+
+POS = {"det": ("DET", "'DT'"), "be": ("AUX", "'VB'"), "modal": ("AUX", "'MD'"), "neg": ("PART", "'RB'"),
+       "pron": ("PRON", "'PRP'"), "intj": ("INTJ", "'UH'"), "punct": ("PUNCT", "text"),
+       "clitic": ("PART", "'POS'"), "num": ("NUM", "'CD'"), "adv": ("ADV", "'RB'"),
+       "adj": ("ADJ", "'JJ'"), "verb": ("VERB", "'VBN'"), "noun": ("NOUN", "'NN'")}
+
+
+def _pos_case(which: int) -> str:
+    parts = " ".join(f"WHEN kind = '{k}' THEN {(_q(v[0]) if which == 0 else v[1])}" for k, v in POS.items())
+    return f"CASE {parts} END"
+
+
+def text_ctes(source: str) -> str:
+    """CTEs rv -> sp (sentences) -> tk (tokens) -> tg (tagged) -> ln (linked tokens)."""
+    return f"""
+rv AS ({source}),
+sp0 AS (
+  SELECT review_id, string_split(regexp_replace(review_text, '([.!?])[ \\t\\n\\r\\f]+', '\\1' || chr(1), 'g'),
+                                 chr(1)) AS pieces
+  FROM rv),
+sp1 AS (SELECT review_id, unnest(pieces) AS sentence_raw, unnest(range(len(pieces))) AS sent_id FROM sp0),
+sp AS (
+  SELECT review_id, sent_id, sentence_raw, {clean_sql('sentence_raw')} AS sentence
+  FROM sp1 WHERE regexp_matches(sentence_raw, '\\S')),
+spm AS (SELECT *, {matches_sql('sentence')} AS matches, len({matches_sql('sentence')}) AS n_tokens FROM sp),
+tk0 AS (SELECT review_id, sent_id, unnest(matches) AS m0, unnest(range(len(matches))) AS i FROM spm),
+tk AS (
+  SELECT review_id, sent_id, i, trim(replace(m0, chr(2), '')) AS text,
+         CAST(coalesce(sum(length(replace(m0, chr(2), ''))) OVER (PARTITION BY review_id, sent_id ORDER BY i
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS idx
+  FROM tk0),
+tg0 AS (SELECT *, {kind_sql('text')} AS kind FROM tk),
+tg AS (SELECT *, lower(text) AS lemma, {_pos_case(0)} AS pos, {_pos_case(1)} AS tag,
+              lower(text) IN {_in(S.STOP_WORDS)} AS is_stop FROM tg0),
+cl AS (
+  SELECT *, coalesce(sum(CASE WHEN text IN {_in(list(S.CLAUSE_CHARS))} THEN 1 ELSE 0 END)
+            OVER (PARTITION BY review_id, sent_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS clause_id
+  FROM tg),
+c1 AS (
+  SELECT *,
+    coalesce(min(CASE WHEN kind = 'verb' THEN i END) OVER w, min(CASE WHEN kind = 'be' THEN i END) OVER w,
+             min(CASE WHEN kind = 'intj' THEN i END) OVER w) AS pred_i,
+    lead(i) OVER wo AS next_i, lead(kind) OVER wo AS next_kind,
+    first_value(CASE WHEN kind = 'noun' THEN i END IGNORE NULLS) OVER wf AS next_noun_i,
+    first_value(CASE WHEN kind NOT IN ('adv', 'adj') THEN i END IGNORE NULLS) OVER wf AS next_head_i,
+    first_value(CASE WHEN kind NOT IN ('adv', 'adj') THEN kind END IGNORE NULLS) OVER wf AS next_head_kind
+  FROM cl
+  WINDOW w AS (PARTITION BY review_id, sent_id, clause_id),
+         wo AS (PARTITION BY review_id, sent_id, clause_id ORDER BY i),
+         wf AS (PARTITION BY review_id, sent_id, clause_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+c2 AS (
+  SELECT *,
+    max(CASE WHEN i = pred_i THEN kind END) OVER w AS pred_kind,
+    max(CASE WHEN kind IN ('noun', 'pron') AND i < pred_i THEN i END) OVER w AS subj_i,
+    max((kind = 'be') AND (i < pred_i)) OVER w AS be_before,
+    min(CASE WHEN kind = 'noun' AND i > pred_i THEN i END) OVER w AS first_noun_after
+  FROM c1 WINDOW w AS (PARTITION BY review_id, sent_id, clause_id)),
+c3 AS (
+  SELECT *, CASE
+    WHEN i = pred_i THEN 'ROOT'
+    WHEN i = subj_i THEN CASE WHEN pred_kind = 'verb' AND be_before THEN 'nsubjpass' ELSE 'nsubj' END
+    WHEN kind = 'det' THEN 'det'
+    WHEN kind = 'adj' AND next_head_kind = 'noun' THEN 'amod'
+    WHEN kind = 'adj' AND i > pred_i AND pred_kind = 'be' THEN 'acomp'
+    WHEN kind = 'adj' AND i > pred_i AND pred_kind = 'verb' THEN 'dobj'
+    WHEN kind = 'noun' AND i = first_noun_after AND pred_kind = 'be' THEN 'attr'
+    WHEN kind = 'noun' AND i = first_noun_after AND pred_kind = 'verb' THEN 'dobj'
+    WHEN kind = 'adv' THEN 'advmod'
+    WHEN kind = 'neg' THEN 'neg'
+    WHEN kind = 'modal' THEN 'aux'
+    WHEN kind = 'be' AND pred_kind = 'verb' AND i < pred_i THEN 'auxpass'
+    WHEN kind = 'be' THEN 'aux'
+    WHEN kind = 'punct' THEN 'punct'
+    ELSE 'dep' END AS dep
+  FROM c2),
+ln AS (
+  SELECT review_id, sent_id, i, idx, text, lemma, pos, tag, dep,
+    CAST(CASE WHEN i = pred_i THEN i
+         WHEN dep = 'det' THEN coalesce(next_noun_i, pred_i, i)
+         WHEN dep = 'amod' THEN next_head_i
+         WHEN dep = 'advmod' AND next_kind IN ('adj', 'adv') THEN next_i
+         ELSE coalesce(pred_i, i) END AS BIGINT) AS head_i,
+    is_stop
+  FROM c3)"""
+
+
+def rule_ctes() -> str:
+    """hc (children summary) -> r1..r7 -> ar (all rules)."""
+    def last(cond, f):
+        return f"arg_max({f}, i) FILTER (WHERE {cond})"
+    ns = "dep = 'nsubj' AND NOT is_stop"
+    sa = "dep IN ('nsubj', 'nsubjpass') AND NOT is_stop"
+    da = "dep = 'dobj' AND pos = 'ADJ' AND NOT is_stop"
+    ac = "dep = 'acomp' AND NOT is_stop"
+    av = "dep = 'advmod' AND NOT is_stop"
+    at = "dep = 'attr' AND NOT is_stop"
+    nm = "dep = 'neg' OR (dep = 'aux' AND tag = 'MD')"
+    emit = "review_id, sent_id, {rn} AS rule_no, {ordc} AS ord_i, {a}_text AS aspect, {m} AS modifier, '{rid}' AS rule, {a}_idx AS aspect_idx, {a}_i AS aspect_i"
+    return f"""
+hc AS (
+  SELECT review_id, sent_id, head_i,
+    {last(ns, 'text')} AS nsubj_text, max(i) FILTER (WHERE {ns}) AS nsubj_i, {last(ns, 'idx')} AS nsubj_idx,
+    {last(sa, 'text')} AS subj_text, max(i) FILTER (WHERE {sa}) AS subj_i, {last(sa, 'idx')} AS subj_idx,
+    {last(da, 'text')} AS dobj_adj, {last(ac, 'text')} AS acomp,
+    {last(av, 'text')} AS advmod, max(i) FILTER (WHERE {av}) AS advmod_i,
+    arg_min(text, i) FILTER (WHERE dep = 'advmod') AS first_advmod,
+    {last(at, 'text')} AS attr, coalesce(bool_or(dep = 'cop' AND NOT is_stop), false) AS has_cop,
+    {last("dep = 'neg'", 'text')} AS neg,
+    arg_max(CASE WHEN dep = 'neg' THEN text ELSE 'not' END, i) FILTER (WHERE {nm}) AS neg_or_modal,
+    coalesce(bool_or(dep = 'det' AND text = 'no'), false) AS has_det_no
+  FROM ln WHERE head_i <> i GROUP BY review_id, sent_id, head_i),
+hd AS (
+  SELECT hc.*, h.text AS head_text, h.pos AS head_pos, h.is_stop AS head_stop, g.first_advmod AS adv_adv
+  FROM hc JOIN ln h ON h.review_id = hc.review_id AND h.sent_id = hc.sent_id AND h.i = hc.head_i
+  LEFT JOIN hc g ON g.review_id = hc.review_id AND g.sent_id = hc.sent_id AND g.head_i = hc.advmod_i),
+r1 AS (
+  SELECT m.review_id, m.sent_id, 1 AS rule_no, m.i AS ord_i, h.text AS aspect,
+    concat_ws(' ', CASE WHEN hh.has_det_no THEN 'not' END, hm.first_advmod, m.text) AS modifier,
+    'r1' AS rule, h.idx AS aspect_idx, h.i AS aspect_i
+  FROM ln m JOIN ln h ON h.review_id = m.review_id AND h.sent_id = m.sent_id AND h.i = m.head_i
+  LEFT JOIN hc hm ON hm.review_id = m.review_id AND hm.sent_id = m.sent_id AND hm.head_i = m.i
+  LEFT JOIN hc hh ON hh.review_id = m.review_id AND hh.sent_id = m.sent_id AND hh.head_i = m.head_i
+  WHERE m.dep = 'amod' AND NOT m.is_stop),
+r2 AS (SELECT {emit.format(rn=2, ordc='head_i', a='nsubj', m="concat_ws(' ', neg, dobj_adj)", rid='r2')}
+       FROM hd WHERE nsubj_text IS NOT NULL AND dobj_adj IS NOT NULL),
+r3 AS (SELECT {emit.format(rn=3, ordc='head_i', a='nsubj', m="concat_ws(' ', neg_or_modal, acomp)", rid='r3')}
+       FROM hd WHERE nsubj_text IS NOT NULL AND acomp IS NOT NULL),
+r4 AS (SELECT {emit.format(rn=4, ordc='head_i', a='subj', m="concat_ws(' ', neg, adv_adv, advmod)", rid='r4')}
+       FROM hd WHERE subj_text IS NOT NULL AND advmod IS NOT NULL),
+r5 AS (SELECT {emit.format(rn=5, ordc='head_i', a='nsubj', m='head_text', rid='r5')}
+       FROM hd WHERE nsubj_text IS NOT NULL AND has_cop),
+r6 AS (SELECT {emit.format(rn=6, ordc='head_i', a='nsubj', m='head_text', rid='r6')}
+       FROM hd WHERE nsubj_text IS NOT NULL AND head_pos = 'INTJ' AND NOT head_stop),
+r7 AS (SELECT {emit.format(rn=7, ordc='head_i', a='nsubj', m="concat_ws(' ', neg, attr)", rid='r7')}
+       FROM hd WHERE nsubj_text IS NOT NULL AND attr IS NOT NULL),
+ar AS (SELECT * FROM r1 UNION ALL SELECT * FROM r2 UNION ALL SELECT * FROM r3 UNION ALL SELECT * FROM r4
+       UNION ALL SELECT * FROM r5 UNION ALL SELECT * FROM r6 UNION ALL SELECT * FROM r7)"""
+
+
+def entity_ctes() -> str:
+    return """
+en0 AS (
+  SELECT review_id, sent_id, i, idx, text,
+         (i > 0 AND regexp_matches(text, '^[A-Z]')) AS cap,
+         coalesce(lag(i > 0 AND regexp_matches(text, '^[A-Z]')) OVER (PARTITION BY review_id, sent_id ORDER BY i), false) AS prev_cap
+  FROM ln),
+en1 AS (
+  SELECT *, sum(CASE WHEN NOT prev_cap THEN 1 ELSE 0 END) OVER (PARTITION BY review_id, sent_id ORDER BY i
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+  FROM en0 WHERE cap),
+ent AS (
+  SELECT review_id, sent_id, arg_max(idx, i) AS root_idx, string_agg(text, ' ' ORDER BY i) AS ent_text
+  FROM en1 GROUP BY review_id, sent_id, run),
+am AS (
+  SELECT ar.review_id, ar.sent_id, ar.rule_no, ar.ord_i,
+    coalesce(ent.ent_text, CASE WHEN ar.aspect IN ('it', 'this', 'they', 'these') THEN 'product' ELSE ar.aspect END) AS aspect,
+    ar.modifier, ar.rule, ar.aspect_idx, ar.aspect_i
+  FROM ar LEFT JOIN ent ON ent.review_id = ar.review_id AND ent.sent_id = ar.sent_id AND ent.root_idx = ar.aspect_idx)"""
+
+
+def window_ctes(src: str, n: int, distinct: bool = True) -> str:
+    """bd: bounds for rows of ``src`` (needs aspect_i) -> wt: with aspect_sentence."""
+    lst = "list_sort(list_distinct(list(aspect_i) OVER w))" if distinct else "list_sort(list(aspect_i) OVER w)"
+    return f"""
+bs AS (SELECT {src}.*, {lst} AS s FROM {src} WINDOW w AS (PARTITION BY review_id, sent_id)),
+bp AS (
+  SELECT bs.*, spm.n_tokens AS nt, len(s) AS cnt, list_position(s, aspect_i) AS p
+  FROM bs JOIN spm USING (review_id, sent_id)),
+bq AS (
+  SELECT bp.*,
+    CASE WHEN cnt = 1 OR p = cnt THEN nt
+         WHEN least(aspect_i + {n}, nt) < s[p + 1] THEN least(aspect_i + {n}, nt) ELSE s[p + 1] - 1 END AS r0,
+    CASE WHEN cnt = 1 OR p = 1 THEN 0
+         WHEN greatest(aspect_i - {n}, 0) > s[p - 1] THEN greatest(aspect_i - {n}, 0) ELSE s[p - 1] + 1 END AS win_left
+  FROM bp),
+bd AS (
+  SELECT * EXCLUDE (r0, s, nt, cnt, p),
+    least(nt, greatest(win_left, CASE WHEN r0 < 0 THEN r0 + nt ELSE r0 END)) AS win_right
+  FROM bq)"""
+
+
+def span_text_sql(alias: str = "x") -> str:
+    return f"""CASE WHEN {alias}.win_right > {alias}.win_left THEN
+      substr(spm.sentence, tl.idx + 1, tr.idx + length(tr.text) - tl.idx) ELSE '' END"""
+
+
+def span_join(alias: str = "x") -> str:
+    return f"""JOIN spm ON spm.review_id = {alias}.review_id AND spm.sent_id = {alias}.sent_id
+  LEFT JOIN ln tl ON tl.review_id = {alias}.review_id AND tl.sent_id = {alias}.sent_id AND tl.i = {alias}.win_left
+  LEFT JOIN ln tr ON tr.review_id = {alias}.review_id AND tr.sent_id = {alias}.sent_id AND tr.i = {alias}.win_right - 1"""
+
+
+EN_REVIEWS = "SELECT doc_id AS review_id, text AS review_text FROM documents WHERE lang = 'en'"
+LABEL = ("CASE WHEN quality = 1 AND toxic = 0 THEN 'positive' WHEN quality = 0 THEN 'negative' "
+         "WHEN quality = 1 AND toxic = 1 THEN 'conflict' END")
+LABELLED = (f"SELECT d.doc_id AS review_id, d.source, d.text AS review_text, {LABEL} AS polarity "
+            f"FROM documents d JOIN labels l ON l.doc_id = d.doc_id")
+
+
+def _wc(x: str) -> str:
+    t = f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+    return f"CASE WHEN {t} = '' THEN 0 ELSE len(string_split({t}, ' ')) END"
+
+
+def training_ctes() -> str:
+    """lr (labelled) -> iq (length filter) -> bal (balanced training set)."""
+    return f"""
+lr AS ({LABELLED}),
+lw AS (SELECT *, {_wc('review_text')} AS wc FROM lr WHERE review_text IS NOT NULL),
+qq AS (SELECT quantile_cont(wc, 0.25) AS q1, quantile_cont(wc, 0.75) AS q3 FROM lw),
+iq AS (SELECT lw.* FROM lw, qq WHERE wc > q1 AND wc < q3),
+pn AS (SELECT * FROM iq WHERE polarity IN ('positive', 'negative')),
+kk AS (SELECT CASE WHEN count(DISTINCT polarity) = 2 THEN min(c) ELSE 0 END AS k
+       FROM (SELECT polarity, count(*) AS c FROM pn GROUP BY polarity) t),
+bal AS (
+  SELECT pn.* FROM (SELECT *, row_number() OVER (PARTITION BY polarity ORDER BY review_id) AS rn FROM pn) pn, kk
+  WHERE rn <= k)"""
+
+
+def nb_ctes() -> str:
+    """voc (word, n_pos, n_neg, lo) and pri (prior_lo) from the balanced training set."""
+    return f"""
+tw AS (SELECT polarity = 'positive' AS is_pos, unnest(list_transform({words_sql(clean_sql('review_text'))}, w -> lower(w))) AS word FROM bal),
+wc0 AS (SELECT word, sum(CASE WHEN is_pos THEN 1 ELSE 0 END) AS n_pos, sum(CASE WHEN is_pos THEN 0 ELSE 1 END) AS n_neg
+        FROM tw GROUP BY word),
+tot AS (SELECT sum(n_pos) AS tp, sum(n_neg) AS tn, count(*) AS v FROM wc0),
+voc AS (SELECT word, n_pos, n_neg, ln((n_pos + 1) / (tp + v)) - ln((n_neg + 1) / (tn + v)) AS lo FROM wc0, tot),
+pri AS (SELECT ln(sum(CASE WHEN polarity = 'positive' THEN 1 ELSE 0 END) / sum(CASE WHEN polarity = 'negative' THEN 1 ELSE 0 END)) AS prior_lo FROM bal)"""
+
+
+def prob_sql(score: str) -> str:
+    s = f"greatest(least({score}, 30.0), -30.0)"
+    p = f"(1.0 / (1.0 + exp(-({s}))))"
+    return p
+
+
+def label_prob(score: str) -> tuple[str, str]:
+    p = prob_sql(score)
+    return (f"CASE WHEN {p} >= 0.5 THEN 'positive' ELSE 'negative' END",
+            f"round(greatest({p}, 1.0 - {p}), 6)")
+
+
+def doc_score_ctes(src: str) -> str:
+    lab, prob = label_prob("prior_lo + s")
+    return f"""
+dw AS (SELECT review_id, unnest(list_transform({words_sql(clean_sql('review_text'))}, w -> lower(w))) AS word FROM ({src})),
+dk AS (SELECT review_id FROM ({src})),
+ds0 AS (SELECT dk.review_id, coalesce(sum(voc.lo), 0.0) AS s
+        FROM dk LEFT JOIN dw ON dw.review_id = dk.review_id LEFT JOIN voc ON voc.word = dw.word GROUP BY dk.review_id),
+ds AS (SELECT review_id, {lab} AS label, {prob} AS prob FROM ds0, pri)"""
+
+
+def predict_ctes(n: int = S.WINDOW_MAIN) -> str:
+    """pl: long predictions for the reviews of ``rv``."""
+    lab, prob = label_prob("prior_lo + span_sum")
+    return window_ctes("am", n) + f""",
+nohit AS (
+  SELECT spm.review_id, spm.sent_id, NULL::INTEGER AS rule_no, NULL::BIGINT AS ord_i, NULL::VARCHAR AS aspect,
+         NULL::VARCHAR AS modifier, NULL::VARCHAR AS rule, NULL::BIGINT AS aspect_idx, NULL::BIGINT AS aspect_i,
+         0 AS win_left, spm.n_tokens AS win_right
+  FROM spm WHERE NOT EXISTS (SELECT 1 FROM am WHERE am.review_id = spm.review_id AND am.sent_id = spm.sent_id)),
+allr AS (SELECT * FROM bd UNION ALL SELECT * FROM nohit),
+lo_t AS (SELECT ln.review_id, ln.sent_id, ln.i, coalesce(voc.lo, 0.0) AS lo FROM ln LEFT JOIN voc ON voc.word = lower(ln.text)),
+ss AS (
+  SELECT x.review_id, x.sent_id, x.rule_no, x.ord_i, x.aspect_i, coalesce(sum(lo_t.lo), 0.0) AS span_sum
+  FROM allr x LEFT JOIN lo_t ON lo_t.review_id = x.review_id AND lo_t.sent_id = x.sent_id
+       AND lo_t.i >= x.win_left AND lo_t.i < x.win_right
+  GROUP BY x.review_id, x.sent_id, x.rule_no, x.ord_i, x.aspect_i, x.win_left, x.win_right, x.aspect, x.modifier),
+pl0 AS (
+  SELECT x.*, {span_text_sql('x')} AS aspect_sentence
+  FROM allr x {span_join('x')}),
+pl AS (
+  SELECT pl0.*, CASE WHEN {prob} >= 0.7 THEN {lab} ELSE 'neutral' END AS sentiment, {prob} AS sentiment_prob
+  FROM pl0 JOIN (SELECT DISTINCT review_id, sent_id, rule_no, ord_i, aspect_i, span_sum FROM ss) ss
+    ON ss.review_id = pl0.review_id AND ss.sent_id = pl0.sent_id
+       AND ss.rule_no IS NOT DISTINCT FROM pl0.rule_no AND ss.ord_i IS NOT DISTINCT FROM pl0.ord_i
+       AND ss.aspect_i IS NOT DISTINCT FROM pl0.aspect_i, pri)"""
+
+
+def _with(*parts: str) -> str:
+    return "WITH " + ",".join(p.strip().rstrip(",") for p in parts)
+
+
+def _text_query(select: str, source: str = EN_REVIEWS, extra: tuple[str, ...] = ()) -> str:
+    return _with(text_ctes(source), *extra) + "\n" + select
+
+
+def _rule_select(n: int) -> str:
+    return (f"SELECT review_id, CAST(sent_id AS BIGINT) AS sent_id, CAST(ord_i AS BIGINT) AS ord_i, aspect, modifier, "
+            f"rule, CAST(aspect_idx AS BIGINT) AS aspect_idx, CAST(aspect_i AS BIGINT) AS aspect_i FROM r{n}")
+
+
+def build() -> dict[str, str]:
+    o: dict[str, str] = {}
+    o["clean_corpus"] = f"SELECT doc_id, {clean_sql('text')} AS clean_text FROM documents"
+    punct = TX.ASCII_PUNCT
+    o["normalise_variants"] = (
+        "SELECT doc_id, lower(text) AS lower_text, "
+        f"translate(text, {_q(punct)}, '') AS no_punct, "
+        "replace(replace(replace(replace(replace(replace(text, '''s', ' ''s'), '''ve', ' ''ve'), 'n''t', ' n''t'), "
+        "'''re', ' ''re'), '''d', ' ''d'), '''ll', ' ''ll') AS contractions, "
+        "regexp_replace(text, '([,!()?])', ' \\1 ', 'g') AS spaced FROM documents")
+    o["sentence_table"] = _text_query(
+        "SELECT review_id, CAST(sent_id AS BIGINT) AS sent_id, sentence, CAST(n_tokens AS BIGINT) AS n_tokens FROM spm")
+    o["token_table"] = _text_query(
+        "SELECT review_id, CAST(sent_id AS BIGINT) AS sent_id, CAST(i AS BIGINT) AS i, CAST(idx AS BIGINT) AS idx, text FROM tk")
+    o["annotate_tokens"] = _text_query(
+        "SELECT review_id, CAST(sent_id AS BIGINT) AS sent_id, CAST(i AS BIGINT) AS i, text, pos, tag, dep, "
+        "CAST(head_i AS BIGINT) AS head_i, is_stop FROM ln")
+    o["head_children"] = _text_query(
+        "SELECT review_id, CAST(sent_id AS BIGINT) AS sent_id, CAST(head_i AS BIGINT) AS head_i, nsubj_text AS nsubj, "
+        "subj_text AS subj_any, dobj_adj, acomp, advmod, CAST(advmod_i AS BIGINT) AS advmod_i, first_advmod, attr, "
+        "has_cop, neg, neg_or_modal, has_det_no FROM hc", extra=(rule_ctes(),))
+    for n in range(1, 8):
+        o[f"rule_r{n}"] = _text_query(_rule_select(n), extra=(rule_ctes(),))
+    o["entity_match"] = _text_query(
+        "SELECT review_id, CAST(sent_id AS BIGINT) AS sent_id, CAST(rule_no AS BIGINT) AS rule_no, "
+        "CAST(ord_i AS BIGINT) AS ord_i, CAST(aspect_idx AS BIGINT) AS aspect_idx, aspect FROM am",
+        extra=(rule_ctes(), entity_ctes()))
+    canon_rows = [(syn, c, "product") for c, ss in S.PRODUCT_SYNONYMS.items() for syn in ss]
+    canon_rows += [(syn, c, "feature") for c, ss in S.FEATURE_SYNONYMS.items() for syn in ss]
+    values = ", ".join(f"({_q(a)}, {_q(b)}, {_q(c)})" for a, b, c in canon_rows)
+    o["aspect_canonical"] = _text_query(
+        f"SELECT a.review_id, CAST(a.sent_id AS BIGINT) AS sent_id, CAST(a.rule_no AS BIGINT) AS rule_no, "
+        f"CAST(a.ord_i AS BIGINT) AS ord_i, a.aspect, d.canonical, d.kind FROM "
+        f"(SELECT *, CASE WHEN aspect IN ('it', 'this', 'they', 'these') THEN 'product' ELSE aspect END AS asp2 FROM ar) a "
+        f"LEFT JOIN (VALUES {values}) d(synonym, canonical, kind) ON lower(a.asp2) = d.synonym",
+        extra=(rule_ctes(),)).replace("a.aspect, d.canonical", "a.asp2 AS aspect, d.canonical")
+    win_sel = ("SELECT x.review_id, CAST(x.sent_id AS BIGINT) AS sent_id, CAST(x.rule_no AS BIGINT) AS rule_no, "
+               "CAST(x.ord_i AS BIGINT) AS ord_i, CAST(x.aspect_i AS BIGINT) AS aspect_i, "
+               "CAST(x.win_left AS BIGINT) AS win_left, CAST(x.win_right AS BIGINT) AS win_right, "
+               f"{span_text_sql('x')} AS aspect_sentence FROM bd x {span_join('x')}")
+    o["aspect_window"] = _text_query(win_sel, extra=(rule_ctes(), window_ctes("ar", S.WINDOW_MAIN, True)))
+    o["aspect_window_compat"] = _text_query(win_sel, extra=(rule_ctes(), window_ctes("ar", S.WINDOW_MAIN, False)))
+    ex_sel = ("SELECT x.review_id, CAST(x.sent_id AS BIGINT) AS sent_id, CAST(x.rule_no AS BIGINT) AS rule_no, "
+              "CAST(x.ord_i AS BIGINT) AS ord_i, x.aspect, x.modifier, x.rule, CAST(x.aspect_idx AS BIGINT) AS aspect_idx, "
+              "CAST(x.aspect_i AS BIGINT) AS aspect_i, CAST(x.win_left AS BIGINT) AS win_left, "
+              f"CAST(x.win_right AS BIGINT) AS win_right, {span_text_sql('x')} AS aspect_sentence "
+              f"FROM allr x {span_join('x')}")
+    nohit = """,
+nohit AS (
+  SELECT spm.review_id, spm.sent_id, NULL::INTEGER AS rule_no, NULL::BIGINT AS ord_i, NULL::VARCHAR AS aspect,
+         NULL::VARCHAR AS modifier, NULL::VARCHAR AS rule, NULL::BIGINT AS aspect_idx, NULL::BIGINT AS aspect_i,
+         0 AS win_left, spm.n_tokens AS win_right
+  FROM spm WHERE NOT EXISTS (SELECT 1 FROM am WHERE am.review_id = spm.review_id AND am.sent_id = spm.sent_id)),
+allr AS (SELECT * FROM bd UNION ALL SELECT * FROM nohit)"""
+    o["extract_aspects"] = _text_query(ex_sel, extra=(rule_ctes(), entity_ctes(), window_ctes("am", S.WINDOW_MAIN) + nohit))
+
+    # polarity
+    o["rating_to_polarity"] = (
+        "SELECT event_id, round(value, 6) AS value, CASE WHEN value IS NULL OR isnan(value) THEN NULL "
+        "WHEN value > 2 AND value < 3 THEN 'neutral' WHEN value <= 2 THEN 'negative' WHEN value >= 3 THEN 'positive' "
+        "END AS polarity FROM events")
+    o["load_labelled_reviews"] = (f"SELECT review_id, polarity FROM ({LABELLED}) "
+                                  "WHERE review_text IS NOT NULL AND polarity IN ('positive', 'negative')")
+    o["length_iqr_filter"] = _with(training_ctes()) + "\nSELECT review_id, polarity FROM iq"
+    o["balance_binary"] = (
+        f"WITH lr AS ({LABELLED}), pn AS (SELECT * FROM lr WHERE polarity IN ('positive', 'negative')), "
+        "kk AS (SELECT CASE WHEN count(*) = 2 THEN min(c) ELSE 0 END AS k FROM "
+        "(SELECT polarity, count(*) AS c FROM pn GROUP BY polarity) t) "
+        "SELECT review_id, polarity FROM (SELECT *, row_number() OVER (PARTITION BY polarity ORDER BY review_id) AS rn "
+        "FROM pn) pn, kk WHERE rn <= k")
+    o["polarity_training_set"] = _with(training_ctes()) + "\nSELECT review_id, polarity FROM bal"
+    o["nb_train"] = _with(training_ctes(), nb_ctes()) + \
+        "\nSELECT word, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg, round(lo, 6) AS lo FROM voc"
+    o["polarity_score"] = _with(training_ctes(), nb_ctes(), doc_score_ctes(EN_REVIEWS)) + \
+        "\nSELECT review_id, label, prob FROM ds"
+    o["neutral_threshold"] = _with(training_ctes(), nb_ctes(), doc_score_ctes(EN_REVIEWS)) + \
+        "\nSELECT review_id, label, prob, CASE WHEN prob >= 0.7 THEN label ELSE 'neutral' END AS sentiment FROM ds"
+    o["predict_long"] = _with(training_ctes(), nb_ctes(), text_ctes(EN_REVIEWS), rule_ctes(), entity_ctes(),
+                              predict_ctes()) + (
+        "\nSELECT review_id, CAST(sent_id AS BIGINT) AS sent_id, CAST(rule_no AS BIGINT) AS rule_no, "
+        "CAST(ord_i AS BIGINT) AS ord_i, aspect, modifier, rule, CAST(aspect_i AS BIGINT) AS aspect_i, "
+        "aspect_sentence, sentiment, sentiment_prob FROM pl")
+    o["predict_flat"] = _with(training_ctes(), nb_ctes(), text_ctes(EN_REVIEWS), rule_ctes(), entity_ctes(),
+                              predict_ctes()) + (
+        "\nSELECT review_id, "
+        "array_to_string(list(coalesce(aspect, '') ORDER BY sent_id, rule_no NULLS FIRST, ord_i NULLS FIRST, aspect NULLS FIRST, sentiment), '|') AS aspects, "
+        "array_to_string(list(coalesce(sentiment, '') ORDER BY sent_id, rule_no NULLS FIRST, ord_i NULLS FIRST, aspect NULLS FIRST, sentiment), '|') AS polarity "
+        "FROM pl GROUP BY review_id")
+    o["reject_reviews"] = ("SELECT doc_id AS review_id, CASE WHEN text IS NULL THEN 'null_text' ELSE 'blank_text' END "
+                           "AS reason FROM documents WHERE text IS NULL OR NOT regexp_matches(text, '\\S')")
+
+    # sampling
+    o["seeded_sample"] = ("SELECT doc_id, source FROM documents ORDER BY md5('1:' || CAST(doc_id AS VARCHAR)), doc_id "
+                          "LIMIT 100")
+    o["stratified_split"] = (
+        f"WITH lr AS ({LABELLED}), r AS (SELECT review_id, polarity, row_number() OVER (PARTITION BY polarity "
+        "ORDER BY md5('100:' || CAST(review_id AS VARCHAR)), review_id) AS rn, count(*) OVER (PARTITION BY polarity) AS n "
+        "FROM lr) SELECT polarity, review_id, CASE WHEN rn <= ceil(n * 0.2) THEN 'valid' ELSE 'train' END AS split FROM r")
+
+    # joins / sources
+    o["reviews_with_product"] = ("SELECT l.l_orderkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, "
+                                 "p.p_partkey AS App, p.p_name FROM part p JOIN lineitem l ON l.l_partkey = p.p_partkey")
+    o["nested_reviews_explode"] = (
+        "SELECT CAST(conv_id AS VARCHAR) AS product_name, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 "
+        "AS BIGINT) AS review_pos, text AS review_text, CAST((turn % 5) + 1 AS DOUBLE) AS rating, "
+        "CASE WHEN (turn % 5) + 1 <= 2 THEN 'negative' WHEN (turn % 5) + 1 >= 3 THEN 'positive' ELSE 'neutral' END "
+        "AS polarity FROM conversations QUALIFY role = 'user' AND text IS NOT NULL")
+    o["tag_extract"] = (
+        "SELECT page_id, CASE WHEN contains(html, '<title') THEN trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)) END AS title, "
+        "CASE WHEN contains(html, '<h1') THEN trim(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)) END AS h1 FROM pages")
+
+    # metrics on the NB polarity of labelled reviews
+    scored = _with(training_ctes(), nb_ctes(),
+                   doc_score_ctes("SELECT review_id, review_text FROM lr WHERE polarity IN ('positive', 'negative')")) + """,
+yy AS (SELECT lr.review_id, lr.polarity AS y_true, CASE WHEN ds.prob >= 0.7 THEN ds.label ELSE 'neutral' END AS y_pred,
+              ds.label, ds.prob FROM lr JOIN ds ON ds.review_id = lr.review_id WHERE lr.polarity IN ('positive', 'negative'))"""
+    o["confusion_matrix"] = scored + (
+        "\nSELECT y_true, CAST(count(*) FILTER (WHERE y_pred = 'negative') AS BIGINT) AS negative, "
+        "CAST(count(*) FILTER (WHERE y_pred = 'neutral') AS BIGINT) AS neutral, "
+        "CAST(count(*) FILTER (WHERE y_pred = 'positive') AS BIGINT) AS positive FROM yy GROUP BY y_true")
+    o["micro_f1"] = scored + "\nSELECT round(avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END), 6) AS micro_f1 FROM yy"
+    o["classification_report"] = scored + """,
+labs AS (SELECT y_true AS label FROM yy UNION SELECT y_pred FROM yy),
+per AS (
+  SELECT lb.label,
+    (SELECT count(*) FROM yy WHERE yy.y_true = lb.label AND yy.y_pred = lb.label)::DOUBLE AS tp,
+    (SELECT count(*) FROM yy WHERE yy.y_pred = lb.label)::DOUBLE AS np,
+    (SELECT count(*) FROM yy WHERE yy.y_true = lb.label)::DOUBLE AS sup
+  FROM labs lb),
+pr AS (SELECT label, CASE WHEN np = 0 THEN 0.0 ELSE tp / np END AS precision,
+              CASE WHEN sup = 0 THEN 0.0 ELSE tp / sup END AS recall, sup, tp FROM per),
+pf AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM pr)
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(sup AS BIGINT) AS support FROM pf
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(sup), 6), CAST(sum(sup) AS BIGINT) FROM pf
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(sup) AS BIGINT) FROM pf
+UNION ALL SELECT 'weighted avg', round(sum(precision * sup) / sum(sup), 6), round(sum(recall * sup) / sum(sup), 6),
+                 round(sum(f1 * sup) / sum(sup), 6), CAST(sum(sup) AS BIGINT) FROM pf"""
+    o["roc_auc"] = scored + """,
+sc AS (SELECT round(CASE WHEN label = 'positive' THEN prob ELSE 1 - prob END, 6) AS s, y_true = 'positive' AS is_pos FROM yy),
+g AS (SELECT s, sum(CASE WHEN is_pos THEN 1 ELSE 0 END) AS npos, sum(CASE WHEN is_pos THEN 0 ELSE 1 END) AS nneg FROM sc GROUP BY s),
+ga AS (SELECT *, coalesce(sum(npos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM g)
+SELECT CAST(sum(npos) AS BIGINT) AS n_pos, CAST(sum(nneg) AS BIGINT) AS n_neg,
+       round(sum(nneg * (above + 0.5 * npos)) / (sum(npos) * sum(nneg)), 6) AS auc FROM ga"""
+    o["label_encode"] = (f"SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS BIGINT) AS label_id FROM "
+                         f"(SELECT DISTINCT polarity AS label FROM ({LABELLED}) WHERE polarity IS NOT NULL)")
+
+    # gold / BIO
+    gold = f"""
+gw AS (SELECT item_id AS review_id, text AS review_text, {words_sql('text')} AS w FROM benchmark),
+g0 AS (SELECT review_id, review_text, w, CASE item_id_mod WHEN 0 THEN [w[3]] WHEN 1 THEN [concat_ws(' ', w[2], w[3])]
+         WHEN 2 THEN ['zzqabsent'] WHEN 3 THEN ['NULL'] WHEN 4 THEN [w[1], 'NULL'] ELSE []::VARCHAR[] END AS a0
+       FROM (SELECT *, review_id % 6 AS item_id_mod FROM gw)),
+gold AS (SELECT review_id, review_text, w AS text_tokens, list_filter(a0, x -> x IS NOT NULL AND x <> '') AS aspect FROM g0),
+gi AS (SELECT *, CASE WHEN len(aspect) = 0 THEN ['NULL'] ELSE aspect END AS asp FROM gold),
+gt AS (SELECT *, list_transform(asp, a -> {words_sql('a')}) AS atok FROM gi),
+bt AS (
+  SELECT review_id, asp AS aspect, text_tokens,
+    CASE
+      WHEN list_bool_or(list_transform(atok, a -> len(a) > 0 AND a[1] = 'NULL')) AND len(atok) > 1 THEN 'implicit_aspect'
+      WHEN list_bool_or(list_transform(atok, a -> len(a) > 0 AND a[1] = 'NULL')) THEN 'ok'
+      WHEN len(atok[1]) = 1 AND list_position(text_tokens, atok[1][1]) IS NULL THEN 'corrupted'
+      WHEN len(atok[1]) = 1 THEN 'ok'
+      WHEN list_bool_or(list_transform(atok[1], x -> list_position(text_tokens, x) IS NULL)) THEN 'corrupted'
+      WHEN list_transform(atok[1], x -> list_position(text_tokens, x)) =
+           range(list_position(text_tokens, atok[1][1]), list_position(text_tokens, atok[1][1]) + len(atok[1])) THEN 'ok'
+      ELSE 'aspect_multi_occurrence' END AS status,
+    CASE WHEN list_bool_or(list_transform(atok, a -> len(a) > 0 AND a[1] = 'NULL')) THEN NULL
+         ELSE list_position(text_tokens, atok[1][1]) END AS p1,
+    CASE WHEN list_bool_or(list_transform(atok, a -> len(a) > 0 AND a[1] = 'NULL')) THEN 0 ELSE len(atok[1]) END AS alen
+  FROM gt),
+bio AS (
+  SELECT review_id, aspect, text_tokens, status,
+    CASE WHEN status <> 'ok' THEN NULL
+         WHEN p1 IS NULL THEN list_transform(text_tokens, x -> 'O')
+         ELSE list_transform(range(1, len(text_tokens) + 1), j -> CASE WHEN j = p1 THEN 'B'
+              WHEN j > p1 AND j < p1 + alen THEN 'I' ELSE 'O' END) END AS tags
+  FROM bt)"""
+    g_with = _with(gold)
+    o["bio_tags"] = g_with + "\nSELECT review_id, array_to_string(aspect, '|') AS aspect, array_to_string(tags, '|') AS tags, status FROM bio"
+    o["bio_clean"] = g_with + "\nSELECT review_id, array_to_string(tags, '|') AS tags FROM bio WHERE status = 'ok'"
+    o["bio_encode"] = g_with + ("\nSELECT review_id, array_to_string(list_transform(tags, t -> CASE t WHEN 'O' THEN 0 "
+                                "WHEN 'B' THEN 1 ELSE 2 END), '|') AS codes FROM bio WHERE status = 'ok'")
+    o["bio_status_counts"] = g_with + "\nSELECT status, CAST(count(*) AS BIGINT) AS n FROM bio GROUP BY status"
+    o["gold_quality_flags"] = g_with + (
+        "\nSELECT review_id, NOT (len(asp) > 1 AND list_contains(asp, 'NULL')) AS is_explicit, "
+        "CASE WHEN len(asp) = 1 AND asp[1] = 'NULL' THEN 'non_aspect' ELSE 'aspect' END AS type_aspect FROM gi")
+    o["token_length_filter"] = g_with + "\nSELECT review_id FROM bio WHERE status = 'ok' AND len(text_tokens) <= 32"
+    o["parse_list_column"] = g_with + (
+        "\nSELECT review_id, '[' || array_to_string(list_transform(aspect, a -> '''' || a || ''''), ', ') || ']' AS aspect_text, "
+        "array_to_string(aspect, '|') AS aspect FROM gold")
+    o["bio_decode"] = g_with + """,
+bw AS (SELECT review_id, unnest(text_tokens) AS word, unnest(tags) AS tag, unnest(range(len(tags))) AS i
+       FROM bio WHERE status = 'ok'),
+bx AS (SELECT *, lag(i) OVER (PARTITION BY review_id ORDER BY i) AS prv FROM bw WHERE tag <> 'O'),
+byy AS (SELECT *, sum(CASE WHEN tag = 'I' AND i - prv = 1 THEN 0 ELSE 1 END) OVER (PARTITION BY review_id ORDER BY i
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS span_no FROM bx),
+bz AS (SELECT review_id, span_no, min(i) AS first_i, string_agg(word, ' ' ORDER BY i) AS aspect FROM byy GROUP BY review_id, span_no),
+bk AS (SELECT review_id FROM bio WHERE status = 'ok')
+SELECT bk.review_id, coalesce(array_to_string(list(bz.aspect ORDER BY bz.first_i) FILTER (WHERE bz.aspect IS NOT NULL), '|'), 'None') AS aspects,
+       coalesce(array_to_string(list(CAST(bz.first_i AS VARCHAR) ORDER BY bz.first_i) FILTER (WHERE bz.aspect IS NOT NULL), '|'), '0') AS first_ids
+FROM bk LEFT JOIN bz ON bz.review_id = bk.review_id GROUP BY bk.review_id"""
+    return o
+
+
+def _lambdas(sql: str) -> str:
+    """DuckDB's lambda syntax: ``x -> e`` is written ``lambda x: e``."""
+    return re.sub(r"\b([a-z_][a-z_0-9]*) -> ", r"lambda \1: ", sql)
+
+
+ORACLES: dict[str, str] = {k: _lambdas(v) for k, v in build().items()}
