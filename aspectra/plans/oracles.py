@@ -549,6 +549,93 @@ bk AS (SELECT review_id FROM bio WHERE status = 'ok')
 SELECT bk.review_id, coalesce(array_to_string(list(bz.aspect ORDER BY bz.first_i) FILTER (WHERE bz.aspect IS NOT NULL), '|'), 'None') AS aspects,
        coalesce(array_to_string(list(CAST(bz.first_i AS VARCHAR) ORDER BY bz.first_i) FILTER (WHERE bz.aspect IS NOT NULL), '|'), '0') AS first_ids
 FROM bk LEFT JOIN bz ON bz.review_id = bk.review_id GROUP BY bk.review_id"""
+    toks = g_with + f""",
+gtk AS (SELECT review_id, unnest(text_tokens) AS word, unnest(tags) AS gold, unnest(range(len(tags))) AS i
+        FROM bio WHERE status = 'ok'),
+gk AS (SELECT *, {kind_sql('word')} AS kind FROM gtk),
+gp AS (SELECT *, CASE WHEN kind = 'noun' AND lag(kind) OVER w = 'adj' THEN 'B'
+                      WHEN kind = 'noun' AND lag(kind) OVER w = 'noun' AND lag(kind, 2) OVER w = 'adj' THEN 'I'
+                      ELSE 'O' END AS pred
+       FROM gk WINDOW w AS (PARTITION BY review_id ORDER BY i))"""
+    o["token_features"] = toks + """
+SELECT review_id, CAST(i AS BIGINT) AS i, word, lower(word) AS lower,
+  coalesce(lag(lower(word), 1) OVER w, '<s>') AS prev1, coalesce(lag(lower(word), 2) OVER w, '<s>') AS prev2,
+  coalesce(lead(lower(word), 1) OVER w, '</s>') AS next1, coalesce(lead(lower(word), 2) OVER w, '</s>') AS next2,
+  right(lower(word), 3) AS suffix3,
+  regexp_replace(regexp_replace(regexp_replace(word, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'd', 'g') AS shape,
+  gold
+FROM gk WINDOW w AS (PARTITION BY review_id ORDER BY i)"""
+    spans = """,
+sg AS (SELECT *, sum(CASE WHEN gold <> 'O' AND (gold = 'B' OR coalesce(pg, 'O') = 'O') THEN 1 ELSE 0 END)
+          OVER (PARTITION BY review_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rg,
+          sum(CASE WHEN pred <> 'O' AND (pred = 'B' OR coalesce(pp, 'O') = 'O') THEN 1 ELSE 0 END)
+          OVER (PARTITION BY review_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rp
+       FROM (SELECT *, lag(gold) OVER (PARTITION BY review_id ORDER BY i) AS pg,
+                       lag(pred) OVER (PARTITION BY review_id ORDER BY i) AS pp FROM gp)),
+es_g AS (SELECT review_id, min(i) AS s, max(i) AS e FROM sg WHERE gold <> 'O' GROUP BY review_id, rg),
+es_p AS (SELECT review_id, min(i) AS s, max(i) AS e FROM sg WHERE pred <> 'O' GROUP BY review_id, rp),
+cnt AS (SELECT (SELECT count(*) FROM es_g JOIN es_p USING (review_id, s, e))::DOUBLE AS tp,
+               (SELECT count(*) FROM es_p)::DOUBLE AS np, (SELECT count(*) FROM es_g)::DOUBLE AS ng,
+               (SELECT avg(CASE WHEN gold = pred THEN 1.0 ELSE 0.0 END) FROM gp) AS acc),
+pr AS (SELECT CASE WHEN np = 0 THEN 0.0 ELSE tp / np END AS p, CASE WHEN ng = 0 THEN 0.0 ELSE tp / ng END AS r, acc FROM cnt)
+SELECT round(p, 6) AS precision, round(r, 6) AS recall,
+       round(CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END, 6) AS f1, round(acc, 6) AS accuracy FROM pr"""
+    o["seq_report"] = toks + spans
+    o["token_outcomes"] = toks + """
+SELECT CASE WHEN gold = 'O' AND pred = 'O' THEN 'TN' WHEN gold = pred THEN 'TP' WHEN gold = 'O' THEN 'FP'
+            WHEN pred = 'O' THEN 'FN' ELSE 'FP' END AS outcome, CAST(count(*) AS BIGINT) AS n
+FROM gp GROUP BY 1"""
+    flags = toks + """,
+per AS (SELECT review_id, list(gold ORDER BY i) AS gl, list(pred ORDER BY i) AS pl FROM gp GROUP BY review_id),
+ef AS (
+  SELECT b.review_id, CAST(CASE WHEN len(b.aspect) = 1 AND b.aspect[1] = 'NULL' THEN 0 ELSE len(b.aspect) END AS BIGINT) AS aspect_size,
+    CAST(len(b.text_tokens) AS BIGINT) AS sentence_size,
+    list_bool_or(list_transform(b.aspect, x -> x LIKE '% %')) AS composed_aspect, per.gl = per.pl AS is_correct
+  FROM bio b JOIN per ON per.review_id = b.review_id WHERE b.status = 'ok')"""
+    o["error_flags"] = flags + "\nSELECT * FROM ef"
+    o["error_stats"] = flags + """
+SELECT is_correct, CAST(count(sentence_size) AS BIGINT) AS count, round(avg(sentence_size), 6) AS mean,
+  round(stddev_samp(sentence_size), 6) AS std, CAST(min(sentence_size) AS DOUBLE) AS min, CAST(max(sentence_size) AS DOUBLE) AS max,
+  quantile_cont(sentence_size, 0.25) AS q25, quantile_cont(sentence_size, 0.5) AS q50, quantile_cont(sentence_size, 0.75) AS q75
+FROM ef GROUP BY is_correct"""
+    o["aspect_training_set"] = g_with + """,
+ts AS (SELECT review_id, array_to_string(list_transform(tags, t -> CASE t WHEN 'O' THEN 0 WHEN 'B' THEN 1 ELSE 2 END), '|') AS codes,
+              CASE WHEN len(aspect) = 1 AND aspect[1] = 'NULL' THEN 'non_aspect' ELSE 'aspect' END AS type_aspect
+       FROM bio WHERE status = 'ok' AND len(text_tokens) <= 32),
+tr AS (SELECT *, row_number() OVER (PARTITION BY type_aspect ORDER BY md5('100:' || CAST(review_id AS VARCHAR)), review_id) AS rn,
+              count(*) OVER (PARTITION BY type_aspect) AS n FROM ts)
+SELECT type_aspect, review_id, codes, CASE WHEN rn <= ceil(n * 0.2) THEN 'valid' ELSE 'train' END AS split FROM tr"""
+    bench_src = "SELECT item_id AS review_id, text AS review_text FROM benchmark"
+    ev = _with(training_ctes(), nb_ctes(), text_ctes(bench_src), rule_ctes(), entity_ctes(), predict_ctes(), gold) + """,
+fl AS (SELECT review_id, list(aspect ORDER BY sent_id, rule_no NULLS FIRST, ord_i NULLS FIRST, aspect NULLS FIRST, sentiment) AS aspects,
+              list(sentiment ORDER BY sent_id, rule_no NULLS FIRST, ord_i NULLS FIRST, aspect NULLS FIRST, sentiment) AS pp
+       FROM pl GROUP BY review_id),
+gp2 AS (SELECT gold.review_id, gold.review_text, gold.aspect,
+               list_transform(gold.aspect, a -> ['positive', 'negative', 'neutral', 'conflict'][gold.review_id % 4 + 1]) AS polarity,
+               fl.aspects, fl.pp,
+               """ + _wc("gold.review_text") + """ AS nw
+        FROM gold JOIN fl ON fl.review_id = gold.review_id)"""
+    o["eval_polarity"] = ev + """
+SELECT review_id, lower(coalesce(polarity[1], 'None')) AS y_true, lower(coalesce(pp[1], 'None')) AS y_pred,
+       lower(coalesce(polarity[1], 'None')) = lower(coalesce(pp[1], 'None')) AS ok
+FROM gp2 WHERE len(aspect) = 1 AND nw >= 5 AND polarity[1] <> 'conflict'"""
+    o["eval_aspect"] = ev + """,
+ea AS (SELECT *, CASE WHEN len(aspect) = 0 THEN ['None'] ELSE aspect END AS a2,
+              CASE WHEN len(aspect) = 0 THEN ['positive'] ELSE polarity END AS p2 FROM gp2)
+SELECT review_id, a2[1] AS gold_aspect,
+       coalesce(list_bool_or(list_transform(aspects, p -> instr(a2[1], coalesce(p, 'None')) > 0)), false) AS hit
+FROM ea WHERE len(a2) = 1 AND nw <= 15 AND p2[1] <> 'conflict'"""
+    o["build_reviews"] = f"""WITH lr AS ({LABELLED})
+SELECT review_id, source, {clean_sql('review_text')} AS review_text, NULL::DOUBLE AS rating, polarity FROM lr
+UNION ALL
+SELECT conv_id * 1000 + review_pos AS review_id, 'lara-tripadvisor' AS source, {clean_sql('text')} AS review_text,
+       rating, CASE WHEN rating <= 2 THEN 'negative' WHEN rating >= 3 THEN 'positive' ELSE 'neutral' END AS polarity
+FROM (SELECT conv_id, text, role, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS review_pos,
+             CAST((turn % 5) + 1 AS DOUBLE) AS rating FROM conversations) c WHERE role = 'user' AND text IS NOT NULL
+UNION ALL
+SELECT page_id AS review_id, 'multi-domain-amazon' AS source,
+       {clean_sql("CASE WHEN contains(html, '<title') THEN trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)) END")} AS review_text,
+       NULL::DOUBLE AS rating, NULL::VARCHAR AS polarity FROM pages"""
     return o
 
 
