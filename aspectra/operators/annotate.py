@@ -68,8 +68,9 @@ def split_sentences(reviews: DataFrame, id_col: str = "review_id",
 def tokenize(sentences: DataFrame) -> DataFrame:
     """Explode token matches; ``idx`` = char offset in the cleaned sentence (running sum
     of the lengths of the preceding matches, trailing space included)."""
-    S.require_columns(sentences, SENT_KEYS + ["matches"], "tokenize")
-    t = (sentences.select(*SENT_KEYS, F.posexplode("matches").alias("i", "m"))
+    S.require_columns(sentences, SENT_KEYS + ["sentence"], "tokenize")
+    matches = F.col("matches") if "matches" in sentences.columns else TX.token_matches(F.col("sentence"))
+    t = (sentences.select(*SENT_KEYS, F.posexplode(matches).alias("i", "m"))
          .withColumn("m", F.replace(F.col("m"), F.lit(TX.NT_MARK), F.lit("")))
          .withColumn("text", F.trim(F.col("m"))))
     w = _sent_window().rowsBetween(Window.unboundedPreceding, -1)
@@ -244,7 +245,9 @@ def annotate_corpus(reviews: DataFrame, id_col: str = "review_id", text_col: str
     sentences = split_sentences(prepared, assume_partitioned=True, exact_unicode=exact_unicode)
     tokens = annotate(sentences)
     if materialize:
-        sentences = sentences.persist(StorageLevel.MEMORY_AND_DISK)
+        # cache only what later steps read: keys, cleaned text, token count
+        sentences = sentences.select(*SENT_KEYS, "sentence", "n_tokens").persist(StorageLevel.MEMORY_AND_DISK)
+        sentences.count()
         tokens = annotate(sentences).persist(StorageLevel.MEMORY_AND_DISK)
         tokens.count()
     return prepared, sentences, tokens

@@ -67,10 +67,16 @@ def flatten(long_df: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
     return out
 
 
-def predict(reviews: DataFrame, model: P.NaiveBayesModel, flat: bool = False, **kw) -> DataFrame:
-    """Batch prediction, long or flat.  ``reviews`` has review_id, review_text."""
+def predict(reviews: DataFrame, model: P.NaiveBayesModel, flat: bool = False,
+            include_text: bool = False, **kw) -> DataFrame:
+    """Batch prediction, long or flat.  ``reviews`` has review_id, review_text.
+
+    ``include_text`` adds the review text as column ``review`` (a join back to the
+    reviews on review_id); it is off by default because it re-reads the text."""
     prepared, sentences, tokens = A.annotate_corpus(reviews)
     long_df = predict_long(prepared, model, sentences=sentences, tokens=tokens, **kw)
     if not flat:
-        return long_df.join(prepared.select("review_id", F.col("review_text").alias("review")), "review_id")
-    return flatten(long_df, prepared)
+        if include_text:
+            return long_df.join(prepared.select("review_id", F.col("review_text").alias("review")), "review_id")
+        return long_df
+    return flatten(long_df, prepared if include_text else None)

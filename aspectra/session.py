@@ -22,6 +22,9 @@ PLAN_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Cached tables keep the partitioning they were built with, so plans over them can
+    # rely on it (AQE may not coalesce a cached plan's output behind their back).
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 
