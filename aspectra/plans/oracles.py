@@ -255,6 +255,11 @@ LABELLED = (f"SELECT d.doc_id AS review_id, d.source, d.text AS review_text, {LA
             f"FROM documents d JOIN labels l ON l.doc_id = d.doc_id")
 
 
+def _tag(x: str, tag: str) -> str:
+    v = f"regexp_extract({x}, '(?s)<{tag}[^>]*>(.*?)</{tag}>', 1)"
+    return f"CASE WHEN contains({x}, '<{tag}') THEN regexp_replace({v}, '^\\s+|\\s+$', '', 'g') END"
+
+
 def _wc(x: str) -> str:
     t = f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
     return f"CASE WHEN {t} = '' THEN 0 ELSE len(string_split({t}, ' ')) END"
@@ -456,8 +461,7 @@ allr AS (SELECT * FROM bd UNION ALL SELECT * FROM nohit)"""
         "CASE WHEN (turn % 5) + 1 <= 2 THEN 'negative' WHEN (turn % 5) + 1 >= 3 THEN 'positive' ELSE 'neutral' END "
         "AS polarity FROM conversations QUALIFY role = 'user' AND text IS NOT NULL")
     o["tag_extract"] = (
-        "SELECT page_id, CASE WHEN contains(html, '<title') THEN trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)) END AS title, "
-        "CASE WHEN contains(html, '<h1') THEN trim(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)) END AS h1 FROM pages")
+        f"SELECT page_id, {_tag('html', 'title')} AS title, {_tag('html', 'h1')} AS h1 FROM pages")
 
     # metrics on the NB polarity of labelled reviews
     scored = _with(training_ctes(), nb_ctes(),
@@ -634,8 +638,24 @@ FROM (SELECT conv_id, text, role, CAST(row_number() OVER (PARTITION BY conv_id O
              CAST((turn % 5) + 1 AS DOUBLE) AS rating FROM conversations) c WHERE role = 'user' AND text IS NOT NULL
 UNION ALL
 SELECT page_id AS review_id, 'multi-domain-amazon' AS source,
-       {clean_sql("CASE WHEN contains(html, '<title') THEN trim(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)) END")} AS review_text,
+       {clean_sql(_tag('html', 'title'))} AS review_text,
        NULL::DOUBLE AS rating, NULL::VARCHAR AS polarity FROM pages"""
+    o["read_tagged_reviews"] = f"""WITH p AS (SELECT page_id, url, {_tag('html', 'title')} AS title FROM pages)
+SELECT CASE WHEN regexp_extract(url, '/([a-z]{{2}})/', 1) = '' THEN 'xx' ELSE regexp_extract(url, '/([a-z]{{2}})/', 1) END AS domain,
+       CASE WHEN page_id % 2 = 0 THEN 'positive' ELSE 'negative' END AS polarity, url AS product_name,
+       CAST(page_id % 5 + 1 AS DOUBLE) AS rating, regexp_replace(coalesce(title, ''), '^\\s+|\\s+$', '', 'g') AS review_text
+FROM p"""
+    o["read_app_reviews"] = f"""WITH lr AS ({LABELLED}), n AS (SELECT count(*) AS n FROM part),
+rv AS (SELECT p.p_name AS app, lr.review_text, lr.polarity FROM lr CROSS JOIN n JOIN part p ON p.p_partkey = lr.review_id % n.n + 1)
+SELECT 'google-play' AS source, a.p_name AS product_name, rv.review_text,
+       CASE rv.polarity WHEN 'positive' THEN 0.5 WHEN 'negative' THEN -0.5 ELSE 0.0 END AS rating, rv.polarity
+FROM part a JOIN rv ON rv.app = a.p_name"""
+    o["read_gold_xml"] = g_with + """
+SELECT review_text, array_to_string(aspect, '|') AS aspect,
+       array_to_string(list_transform(aspect, a -> ['positive', 'negative', 'neutral', 'conflict'][review_id % 4 + 1]), '|') AS polarity,
+       CASE WHEN review_id % 5 = 0 THEN 'test' ELSE 'train' END AS partition,
+       array_to_string(list_transform(aspect, a -> CAST(instr(review_text, a) AS VARCHAR)), '|') AS starts
+FROM gold WHERE len(aspect) > 0"""
     return o
 
 

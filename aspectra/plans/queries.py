@@ -224,6 +224,38 @@ def q_parse_list_column(spark, sf):
     return finalize(g.select("review_id", lit.alias("aspect_text"), TX.parse_list_literal(lit).alias("aspect")))
 
 
+def q_read_tagged_reviews(spark, sf):
+    from ..sources import derived as DV
+    root = DV.write_tagged_reviews(spark, sf)
+    return finalize(RD.read_tagged_reviews(spark, root).select("domain", "polarity", "product_name", "rating",
+                                                               "review_text"))
+
+
+def q_read_gold_xml(spark, sf):
+    from ..sources import derived as DV
+    root = DV.write_gold_xml(spark, sf)
+    g = RD.read_gold_terms(spark, f"{root}/*.xml", source=RD.GOLD_MAMS)
+    return finalize(g.select("review_text", "aspect", "polarity", "partition",
+                             F.transform("position", lambda p: p["start"]).alias("starts")))
+
+
+def q_read_app_reviews(spark, sf):
+    from ..sources import derived as DV
+    apps, revs = DV.write_app_csvs(spark, sf)
+    return finalize(RD.read_app_reviews(spark, apps, revs))
+
+
+def q_build_gold(spark, sf):
+    from ..sources import derived as DV
+    root = DV.write_gold_xml(spark, sf)
+    mams = RD.read_gold_terms(spark, f"{root}/*.xml", source=RD.GOLD_MAMS)
+    other = RD.read_gold_terms(spark, f"{root}/train.xml", source=RD.GOLD_2014, domain="laptop")
+    out = DV.scratch_path(spark, "gold")
+    RD.write_gold(RD.build_gold([mams, other]), out)
+    g = RD.read_gold(spark, out)
+    return finalize(g.select("source", "partition", "domain", "review_text", "aspect"))
+
+
 def q_build_reviews(spark, sf):
     return finalize(RD.build_reviews(spark, sf).select("review_id", "source", "review_text", "rating", "polarity"))
 
@@ -445,6 +477,10 @@ QUERIES: dict[str, Query] = {
     "tag_extract": q_tag_extract,
     "parse_list_column": q_parse_list_column,
     "build_reviews": q_build_reviews,
+    "read_tagged_reviews": q_read_tagged_reviews,
+    "read_gold_xml": q_read_gold_xml,
+    "read_app_reviews": q_read_app_reviews,
+    "build_gold": q_build_gold,
     "bio_tags": q_bio_tags,
     "bio_clean": q_bio_clean,
     "bio_encode": q_bio_encode,

@@ -129,7 +129,8 @@ def extract_tags(records: DataFrame, fields: list[str], value_col: str = "value"
     out = records
     for f in fields:
         v = F.regexp_extract(F.col(value_col), f"(?s)<{f}[^>]*>(.*?)</{f}>", 1)
-        out = out.withColumn(f, F.when(F.col(value_col).contains(f"<{f}"), F.trim(v)))
+        stripped = F.regexp_replace(v, r"^\s+|\s+$", "")
+        out = out.withColumn(f, F.when(F.col(value_col).contains(f"<{f}"), stripped))
     return out
 
 
@@ -140,8 +141,9 @@ def read_tagged_reviews(spark: SparkSession, root: str) -> DataFrame:
             .withColumn("_path", F.col("_metadata.file_path"))
             .filter(F.col("value").contains("<review>")))
     x = extract_tags(recs, SHOP_FIELDS)
-    label = F.regexp_extract("_path", r"/(positive|negative)\.review$", 1)
-    domain = F.regexp_extract("_path", r"/([^/]+)/[^/]+\.review$", 1)
+    # a "file" may also be a folder of part files written by Spark
+    label = F.regexp_extract("_path", r"/(positive|negative)\.review(/|$)", 1)
+    domain = F.regexp_extract("_path", r"/([^/]+)/(positive|negative)\.review(/|$)", 1)
     return x.select(F.lit(SHOP).alias("source"), "product_name", "review_text",
                     F.expr("try_cast(rating AS DOUBLE)").alias("rating"), label.alias("polarity"),
                     domain.alias("domain"))
@@ -162,7 +164,7 @@ def read_gold_terms(spark: SparkSession, path: str, source: str = GOLD_MAMS,
                     F.transform(terms, lambda t: t["_term"].cast("string")).alias("aspect"),
                     F.transform(terms, lambda t: F.lower(t["_polarity"].cast("string"))).alias("polarity"),
                     F.lit(source).alias("source"), F.lit(domain).alias("domain"),
-                    F.regexp_extract("_path", r"([^/]+)\.xml$", 1).alias("partition"),
+                    F.regexp_extract("_path", r"/([^/]+?)\.xml(/|$)", 1).alias("partition"),
                     F.transform(terms, lambda t: F.struct(t["_from"].cast("int").alias("start"),
                                                           t["_to"].cast("int").alias("end"))).alias("position"))
 
@@ -189,7 +191,7 @@ def read_gold_opinions(spark: SparkSession, path: str, year: str = "2015",
                     F.transform(ops, lambda o: o["_target"].cast("string")).alias("aspect"),
                     F.transform(ops, lambda o: F.lower(o["_polarity"].cast("string"))).alias("polarity"),
                     F.lit(source).alias("source"), F.lit("restaurants").alias("domain"),
-                    F.regexp_extract("_path", r"([^/]+)\.xml$", 1).alias("partition"),
+                    F.regexp_extract("_path", r"/([^/]+?)\.xml(/|$)", 1).alias("partition"),
                     F.transform(ops, lambda o: F.struct(o["_from"].cast("int").alias("start"),
                                                         o["_to"].cast("int").alias("end"))).alias("position"))
 
@@ -248,3 +250,17 @@ def build_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("double").alias("rating"), F.lit(None).cast("string").alias("polarity"))
     u = docs.unionByName(conv).unionByName(pages)
     return u.withColumn("review_text", TX.clean_text(F.col("review_text")))
+
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """Read a gold dataset written by ``write_gold`` (partition columns restored)."""
+    return spark.read.parquet(path)
+
+
+def build_gold(parts: list[DataFrame]) -> DataFrame:
+    """Bag union of gold sources (2014, 2015, 2016, MAMS) in one schema."""
+    cols = ["review_text", "aspect", "polarity", "source", "domain", "partition", "position"]
+    out = parts[0].select(*cols)
+    for p in parts[1:]:
+        out = out.unionByName(p.select(*cols))
+    return out
