@@ -205,8 +205,9 @@ def lr_score(model, docs: DataFrame, key_col: str = "review_id", text_col: str =
     p = model.transform(d.withColumn("polarity", F.lit(labels[0])))
     arr = vector_to_array(F.col("probability"))
     names = F.array(*[F.lit(x) for x in labels])
-    out = p.select(key_col, F.array_max(arr).alias("prob"),
-                   F.element_at(names, F.array_position(arr, F.array_max(arr)).cast("int")).alias("label"))
+    # L3: class probabilities sorted descending; the first one is the prediction
+    probs = F.sort_array(F.arrays_zip(arr.alias("prob"), names.alias("label")), asc=False)
+    out = p.select(key_col, F.get(probs, 0)["prob"].alias("prob"), F.get(probs, 0)["label"].alias("label"))
     out = out.withColumn("prob", F.round("prob", 6))
     if threshold is not None:
         out = out.withColumn("sentiment", neutral_threshold(F.col("label"), F.col("prob"), threshold))

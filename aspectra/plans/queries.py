@@ -164,6 +164,15 @@ def q_lr_train(spark, sf):
     return finalize(P.lr_score(model, reviews_en(spark, sf)))
 
 
+def q_model_bundle(spark, sf):
+    from ..operators import models as MD
+    from ..sources.derived import scratch_path
+    m = _model(spark, sf)
+    path = scratch_path(spark, "nb-bundle")
+    MD.save_nb_bundle(m, path, labels=EV.label_index(labelled_reviews(spark, sf), "polarity"))
+    return finalize(MD.load_nb_bundle(spark, path).vocab)
+
+
 def q_predict_long(spark, sf):
     m = _model(spark, sf)
     out = PR.predict(reviews_en(spark, sf), m, flat=False)
@@ -467,6 +476,7 @@ QUERIES: dict[str, Query] = {
     "polarity_score": q_polarity_score,
     "neutral_threshold": q_neutral_threshold,
     "lr_train": q_lr_train,
+    "model_bundle": q_model_bundle,
     "predict_long": q_predict_long,
     "predict_flat": q_predict_flat,
     "reject_reviews": q_reject_reviews,
