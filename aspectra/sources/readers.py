@@ -152,11 +152,27 @@ def read_tagged_reviews(spark: SparkSession, root: str) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 # Gold XML
 # ---------------------------------------------------------------------------------------
+_TERM = T.StructType([T.StructField(f, T.StringType()) for f in ("_term", "_polarity", "_from", "_to")])
+TERMS_XML_SCHEMA = T.StructType([
+    T.StructField("_id", T.StringType()), T.StructField("text", T.StringType()),
+    T.StructField("aspectTerms", T.StructType([T.StructField("aspectTerm", T.ArrayType(_TERM))])),
+])
+_OPINION = T.StructType([T.StructField(f, T.StringType())
+                         for f in ("_target", "_category", "_polarity", "_from", "_to")])
+OPINIONS_XML_SCHEMA = T.StructType([
+    T.StructField("_rid", T.StringType()),
+    T.StructField("sentences", T.StructType([T.StructField("sentence", T.ArrayType(T.StructType([
+        T.StructField("_id", T.StringType()), T.StructField("text", T.StringType()),
+        T.StructField("Opinions", T.StructType([T.StructField("Opinion", T.ArrayType(_OPINION))])),
+    ])))])),
+])
+
+
 def read_gold_terms(spark: SparkSession, path: str, source: str = GOLD_MAMS,
                     domain: str = "restaurants") -> DataFrame:
     """``<sentence><text/><aspectTerms><aspectTerm term polarity from to/>``.
     Sentences lacking text or a term list are skipped; partition from the file name."""
-    x = (spark.read.format("xml").option("rowTag", "sentence").load(path)
+    x = (spark.read.format("xml").option("rowTag", "sentence").schema(TERMS_XML_SCHEMA).load(path)
          .withColumn("_path", F.col("_metadata.file_path")))
     terms = F.col("aspectTerms.aspectTerm")
     x = x.filter(F.col("text").isNotNull() & terms.isNotNull())
@@ -177,7 +193,7 @@ def read_gold_opinions(spark: SparkSession, path: str, year: str = "2015",
     if year not in ("2015", "2016"):
         raise ValueError(f"year must be 2015 or 2016, got {year}")
     source = GOLD_2015 if year == "2015" else GOLD_2016
-    x = (spark.read.format("xml").option("rowTag", "Review").load(path)
+    x = (spark.read.format("xml").option("rowTag", "Review").schema(OPINIONS_XML_SCHEMA).load(path)
          .withColumn("_path", F.col("_metadata.file_path"))
          .withColumn("_rid", F.monotonically_increasing_id()))
     s = x.select("_path", "_rid", F.posexplode("sentences.sentence").alias("pos", "s"))
