@@ -657,6 +657,12 @@ SELECT review_text, array_to_string(aspect, '|') AS aspect,
        CASE WHEN review_id % 5 = 0 THEN 'test' ELSE 'train' END AS partition,
        array_to_string(list_transform(aspect, a -> CAST(instr(review_text, a) AS VARCHAR)), '|') AS starts
 FROM gold WHERE len(aspect) > 0"""
+    o["build_gold"] = g_with + """
+SELECT 'mams_atsa' AS source, CASE WHEN review_id % 5 = 0 THEN 'test' ELSE 'train' END AS partition,
+       'restaurants' AS domain, review_text, array_to_string(aspect, '|') AS aspect FROM gold WHERE len(aspect) > 0
+UNION ALL
+SELECT 'sem-eval-2014', 'train', 'laptop', review_text, array_to_string(aspect, '|') FROM gold
+WHERE len(aspect) > 0 AND review_id % 5 <> 0"""
     return o
 
 
