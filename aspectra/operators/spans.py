@@ -56,21 +56,24 @@ def attach_span(spans: DataFrame, sentences: DataFrame, tokens: DataFrame) -> Da
     """Add ``aspect_sentence`` = cleaned text of tokens [win_left, win_right).
 
     Every extra column of ``tokens`` (besides keys, i, idx, text) is carried for the
-    first (``l_``) and last (``r_``) token of the span; both lookups are equi-joins on
-    the sentence keys and reuse the token table's partitioning.
+    first (``l_``) and last (``r_``) token of the span.  The tokens of each sentence are
+    gathered once into an array ordered by position (bounded by the sentence length;
+    a hash aggregate on the already-partitioned token table), so both span ends are
+    array lookups after a single join on the sentence keys.
     """
     extra = [c for c in tokens.columns if c not in K + ["i", "idx", "text"]]
-    tl = tokens.select(*K, F.col("i").alias("win_left"), F.col("idx").alias("l_idx"),
-                       *[F.col(c).alias("l_" + c) for c in extra])
-    tr = tokens.select(*K, (F.col("i") + 1).alias("win_right"),
-                       (F.col("idx") + F.length("text")).alias("r_end"),
-                       *[F.col(c).alias("r_" + c) for c in extra])
-    a = (spans.join(sentences.select(*K, "sentence"), K)
-         .join(tl, K + ["win_left"], "left").join(tr, K + ["win_right"], "left"))
+    fields = [F.col("i"), F.col("idx"), (F.col("idx") + F.length("text")).alias("end"), *[F.col(c) for c in extra]]
+    arr = tokens.groupBy(*K).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_toks"))
+    a = spans.join(sentences.select(*K, "sentence"), K).join(arr, K, "left")
+    first = F.get(F.col("_toks"), F.col("win_left"))
+    last = F.get(F.col("_toks"), F.col("win_right") - 1)
     text = F.when(F.col("win_right") > F.col("win_left"),
-                  F.substring(F.col("sentence"), F.col("l_idx") + 1, F.col("r_end") - F.col("l_idx"))
+                  F.substring(F.col("sentence"), first["idx"] + 1, last["end"] - first["idx"])
                   ).otherwise(F.lit(""))
-    return a.withColumn("aspect_sentence", text).drop("sentence", "l_idx", "r_end")
+    a = a.withColumn("aspect_sentence", text)
+    for c in extra:
+        a = a.withColumn("l_" + c, first[c]).withColumn("r_" + c, last[c])
+    return a.drop("sentence", "_toks")
 
 
 def aspect_window(aspects: DataFrame, sentences: DataFrame, tokens: DataFrame, n: int,
