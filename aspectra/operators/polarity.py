@@ -58,11 +58,10 @@ def balance_binary(df: DataFrame, label_col: str = "polarity", order_col: str =
     with a window over the (two-valued) class key."""
     S.require_columns(df, [label_col, order_col], "balance_binary")
     d = df.filter(F.col(label_col).isin(*labels))
-    counts = d.groupBy(label_col).count()
+    ranked, sizes = rank_within_groups(d, [label_col], [order_col], rank_col="_rn", with_sizes=True)
     # A missing class means the smaller class has 0 rows.
-    lim = counts.agg(F.when(F.count(F.lit(1)) == len(labels), F.min("count"))
-                     .otherwise(F.lit(0)).alias("_k"))
-    ranked = rank_within_groups(d, [label_col], [order_col], rank_col="_rn")
+    lim = sizes.agg(F.when(F.count(F.lit(1)) == len(labels), F.min("group_size"))
+                    .otherwise(F.lit(0)).alias("_k"))
     return (ranked.crossJoin(F.broadcast(lim)).filter(F.col("_rn") <= F.col("_k"))
                   .drop("_rn", "_k"))
 
@@ -114,6 +113,8 @@ def nb_train(train: DataFrame, text_col: str = "review_text", label_col: str = "
         (F.col(label_col) == S.POSITIVE).alias("_pos"), F.explode(words_of(F.col(text_col))).alias("word"))
     counts = t.groupBy("word").agg(F.sum(F.col("_pos").cast("long")).alias("n_pos"),
                                    F.sum((~F.col("_pos")).cast("long")).alias("n_neg"))
+    if materialize:
+        counts = cut_lineage(counts)  # one pass over the training text; totals read it back
     tot = counts.agg(F.sum("n_pos").alias("_tot_pos"), F.sum("n_neg").alias("_tot_neg"),
                      F.count(F.lit(1)).alias("_vsize"))
     vocab = (counts.crossJoin(F.broadcast(tot))
@@ -124,8 +125,9 @@ def nb_train(train: DataFrame, text_col: str = "review_text", label_col: str = "
                      F.sum((F.col(label_col) == S.NEGATIVE).cast("long")).alias("d_neg"))
     prior = docs.select(F.log(F.col("d_pos") / F.col("d_neg")).alias("prior_lo"))
     if materialize:
-        vocab = cut_lineage(vocab)
-        prior = cut_lineage(prior)
+        # the prior is one number: keep it as a literal one-row table
+        v = prior.first()["prior_lo"]
+        prior = train.sparkSession.createDataFrame([(v,)], "prior_lo double")
     return NaiveBayesModel(vocab, prior)
 
 

@@ -23,11 +23,12 @@ _PID_SHIFT = 33  # monotonically_increasing_id = partition index << 33 | row pos
 
 def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[Column | str],
                        rank_col: str = "rn", num_partitions: int | None = None,
-                       materialize: bool = True) -> DataFrame:
+                       materialize: bool = True, with_sizes: bool = False):
     """Add ``rank_col`` = row_number() OVER (PARTITION BY group_cols ORDER BY order_cols).
 
     ``order_cols`` must make the order total (include a unique id) for a deterministic
-    result.  The sorted data is checkpointed (reliable, in spark.checkpoint.dir) so the
+    result.  With ``with_sizes`` also returns (group_cols, group_size), read from the
+    per-partition counts.  The sorted data is checkpointed (reliable, in spark.checkpoint.dir) so the
     row ids used by the count pass and the numbering pass are the same even if an
     executor is lost in between.
     """
@@ -48,8 +49,13 @@ def rank_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[Co
     out = (sorted_df.withColumn("_pid", pid)
            .join(F.broadcast(stats.select("_pid", *group_cols, "_off", "_first")),
                  ["_pid", *group_cols], "inner"))
-    return (out.withColumn(rank_col, (F.col("_mid") - F.col("_first") + F.col("_off") + 1).cast("bigint"))
-               .drop("_mid", "_pid", "_off", "_first"))
+    ranked = (out.withColumn(rank_col, (F.col("_mid") - F.col("_first") + F.col("_off") + 1).cast("bigint"))
+                 .drop("_mid", "_pid", "_off", "_first"))
+    if not with_sizes:
+        return ranked
+    # group sizes from the small per-partition table: no extra pass over the data
+    sizes = stats.groupBy(*group_cols).agg(F.sum("_cnt").alias("group_size"))
+    return ranked, sizes
 
 
 def histogram_quantiles(df: DataFrame, value_col: str, probs: list[float],
