@@ -147,8 +147,9 @@ def link_tokens(tagged: DataFrame) -> DataFrame:
     t = tagged.withColumn(
         "clause_id",
         F.coalesce(F.sum(sep).over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    clause = Window.partitionBy(*SENT_KEYS, "clause_id")
-    corder = clause.orderBy("i")
+    # every clause window is ordered by position so all of them share one sort
+    corder = Window.partitionBy(*SENT_KEYS, "clause_id").orderBy("i")
+    clause = corder.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     kind = F.col("kind")
     pred_verb = F.min(F.when(kind == "verb", F.col("i"))).over(clause)
     pred_be = F.min(F.when(kind == "be", F.col("i"))).over(clause)
@@ -211,13 +212,12 @@ def annotate(sentences: DataFrame) -> DataFrame:
 def entities(tokens: DataFrame) -> DataFrame:
     """Runs of consecutive capitalised tokens (not sentence-initial); the root of the
     entity is its last token.  Output: review_id, sent_id, root_idx, root_i, ent_text."""
-    ws = _sent_window()
+    # gaps and islands over the (few) capitalised tokens only: a run starts where the
+    # previous capitalised token is not the previous token
     cap = (F.col("i") > 0) & F.col("text").rlike("^[A-Z]")
-    t = (tokens.select(*SENT_KEYS, "i", "idx", "text")
-         .withColumn("cap", cap)
-         .withColumn("prev_cap", F.coalesce(F.lag(cap).over(ws), F.lit(False)))
-         .filter("cap")
-         .withColumn("start", (~F.col("prev_cap")).cast("int"))
+    ws = _sent_window()
+    t = (tokens.select(*SENT_KEYS, "i", "idx", "text").filter(cap)
+         .withColumn("start", F.coalesce((F.col("i") - F.lag("i").over(ws) != 1).cast("int"), F.lit(1)))
          .withColumn("run", F.sum("start").over(ws.rowsBetween(Window.unboundedPreceding, 0))))
     # Adjacent alphanumeric tokens are always one space apart in cleaned text, so the
     # span text is the run's tokens joined by a space.
