@@ -663,6 +663,21 @@ SELECT 'mams_atsa' AS source, CASE WHEN review_id % 5 = 0 THEN 'test' ELSE 'trai
 UNION ALL
 SELECT 'sem-eval-2014', 'train', 'laptop', review_text, array_to_string(aspect, '|') FROM gold
 WHERE len(aspect) > 0 AND review_id % 5 <> 0"""
+    o["aspect_type_counts"] = g_with + """
+SELECT CASE WHEN len(asp) = 1 AND asp[1] = 'NULL' THEN 'non_aspect' ELSE 'aspect' END AS type_aspect,
+       CAST(count(*) AS BIGINT) AS n FROM gi GROUP BY 1"""
+    o["polarity_accuracy"] = ev + """
+SELECT round(avg(CASE WHEN lower(coalesce(polarity[1], 'None')) = lower(coalesce(pp[1], 'None')) THEN 1.0 ELSE 0.0 END), 6)
+       AS accuracy, CAST(count(*) AS BIGINT) AS n
+FROM gp2 WHERE len(aspect) = 1 AND nw >= 5 AND polarity[1] <> 'conflict'"""
+    o["production_split"] = (
+        f"WITH lr AS ({LABELLED}), r AS (SELECT review_id, polarity, row_number() OVER (PARTITION BY polarity "
+        "ORDER BY md5('100:' || CAST(review_id AS VARCHAR)), review_id) AS rn, count(*) OVER (PARTITION BY polarity) AS n "
+        "FROM lr) SELECT polarity, review_id, 'train' AS split FROM r "
+        "UNION ALL SELECT polarity, review_id, 'valid' AS split FROM r WHERE rn <= ceil(n * 0.2)")
+    o["reviews_roundtrip"] = o["build_reviews"].replace(
+        "WITH lr AS", "WITH br AS (WITH lr AS", 1) + ") SELECT * FROM br WHERE source = 'lara-tripadvisor'"
+    o["predictions_csv"] = o["predict_flat"]
     return o
 
 

@@ -265,6 +265,29 @@ def q_build_gold(spark, sf):
     return finalize(g.select("source", "partition", "domain", "review_text", "aspect"))
 
 
+def q_reviews_roundtrip(spark, sf):
+    """K1 + S7: write the reviews dataset partitioned by source, read it back and
+    filter one source (partition pruning at the scan)."""
+    from ..sources.derived import scratch_path
+    path = scratch_path(spark, "reviews")
+    RD.write_reviews(RD.build_reviews(spark, sf), path)
+    r = RD.read_reviews_dataset(spark, path).filter(F.col("source") == RD.HOTELS)
+    return finalize(r.select("review_id", "source", "review_text", "rating", "polarity"))
+
+
+def q_predictions_csv(spark, sf):
+    """K3: flat predictions written as ';' CSV (lists as JSON text) and read back."""
+    from ..sources.derived import scratch_path
+    m = _model(spark, sf)
+    flat = PR.predict(reviews_en(spark, sf), m, flat=True)
+    path = scratch_path(spark, "predictions")
+    RD.write_predictions(flat, path, fmt="csv")
+    back = spark.read.option("sep", ";").option("header", True).csv(path)
+    return finalize(back.select(F.col("review_id").cast("bigint").alias("review_id"),
+                                F.from_json("aspects", "array<string>").alias("aspects"),
+                                F.from_json("polarity", "array<string>").alias("polarity")))
+
+
 def q_build_reviews(spark, sf):
     return finalize(RD.build_reviews(spark, sf).select("review_id", "source", "review_text", "rating", "polarity"))
 
@@ -449,6 +472,30 @@ def q_eval_aspect(spark, sf):
     return finalize(EV.eval_aspect(_eval_base(spark, sf)))
 
 
+def q_aspect_type_counts(spark, sf):
+    g = gold_items(spark, sf)
+    t = g.select(B.aspect_type(B.impute_empty(F.col("aspect"))).alias("type_aspect"))
+    return finalize(t.groupBy("type_aspect").agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_polarity_accuracy(spark, sf):
+    return finalize(EV.accuracy(EV.eval_polarity(_eval_base(spark, sf))))
+
+
+def q_lr_history(spark, sf):
+    from ..operators import models as MD
+    model = P.lr_train(P.polarity_training_set(labelled_reviews(spark, sf)))
+    return MD.training_history(spark, model)
+
+
+def q_production_split(spark, sf):
+    import warnings
+    lr = labelled_reviews(spark, sf).select("review_id", "polarity")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return finalize(SA.stratified_split(lr, "review_id", "polarity", production=True))
+
+
 def q_label_encode(spark, sf):
     lr = labelled_reviews(spark, sf)
     return finalize(EV.label_index(lr, "polarity"))
@@ -514,4 +561,10 @@ QUERIES: dict[str, Query] = {
     "eval_polarity": q_eval_polarity,
     "eval_aspect": q_eval_aspect,
     "label_encode": q_label_encode,
+    "aspect_type_counts": q_aspect_type_counts,
+    "polarity_accuracy": q_polarity_accuracy,
+    "lr_history": q_lr_history,
+    "production_split": q_production_split,
+    "reviews_roundtrip": q_reviews_roundtrip,
+    "predictions_csv": q_predictions_csv,
 }
