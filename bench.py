@@ -24,7 +24,8 @@ HEADLINE = ["clean_corpus", "token_table", "annotate_tokens", "extract_aspects",
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app_name="aspectra-bench")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
+                          app_name="aspectra-bench")
     times = {}
     for name in HEADLINE:
         t0 = time.time()
