@@ -81,17 +81,23 @@ HOTEL_SCHEMA = T.StructType([
 def explode_nested_reviews(nested: DataFrame, compat_prefix: bool = False) -> DataFrame:
     """S2 core: one row per element of ``Reviews``.  A review whose rating is missing or
     not numeric is rejected alone (``try_cast``); ``compat_prefix`` instead keeps only
-    the elements before the first bad one of each file."""
-    x = nested.select(F.col("_file"), F.col("HotelInfo.HotelID").alias("product_name"),
+    the elements before the first bad one of each file.
+
+    An optional ``_offset`` column gives the position of the record's first element in
+    its file (files split into bounded chunks).  The first bad position per file is an
+    aggregate (combined map-side) joined back, so a huge file is never one task.
+    """
+    off = F.col("_offset") if "_offset" in nested.columns else F.lit(0)
+    x = nested.select(F.col("_file"), F.col("HotelInfo.HotelID").alias("product_name"), off.alias("_offset"),
                       F.posexplode("Reviews").alias("review_pos", "r"))
-    x = x.select("_file", "product_name", "review_pos",
+    x = x.select("_file", "product_name", (F.col("_offset") + F.col("review_pos")).alias("review_pos"),
                  F.col("r.Content").alias("review_text"),
                  F.expr("try_cast(r.Ratings.Overall AS DOUBLE)").alias("rating"))
     bad = F.col("rating").isNull() | F.col("review_text").isNull()
     if compat_prefix:
-        w = Window.partitionBy("_file")
-        x = x.withColumn("_first_bad", F.min(F.when(bad, F.col("review_pos"))).over(w))
-        x = x.filter(F.col("_first_bad").isNull() | (F.col("review_pos") < F.col("_first_bad"))).drop("_first_bad")
+        first_bad = x.filter(bad).groupBy("_file").agg(F.min("review_pos").alias("_first_bad"))
+        x = (x.join(first_bad, "_file", "left")
+             .filter(F.col("_first_bad").isNull() | (F.col("review_pos") < F.col("_first_bad"))).drop("_first_bad"))
     else:
         x = x.filter(~bad)
     return x.select(F.lit(HOTELS).alias("source"), "product_name", "review_pos", "review_text", "rating",
@@ -104,15 +110,23 @@ def read_hotel_reviews(spark: SparkSession, path: str, compat_prefix: bool = Fal
     return explode_nested_reviews(nested, compat_prefix)
 
 
-def nest_conversations(conv: DataFrame) -> DataFrame:
-    """Driver-table stand-in for hotel files: one nested object per conversation, each
-    turn a review whose rating is derived from the turn number (assistant turns carry
-    no rating)."""
+NEST_CHUNK = 256
+
+
+def nest_conversations(conv: DataFrame, chunk: int = NEST_CHUNK) -> DataFrame:
+    """Driver-table stand-in for hotel files: each conversation is one "file" of nested
+    reviews (one per turn; assistant turns carry no rating).  Turns are nested in chunks
+    of at most ``chunk`` elements (``_offset`` = position of the chunk's first turn), so
+    no array grows with a conversation's length.  ``turn`` is the 0-based position of
+    the turn in its conversation."""
     rating = F.when(F.col("role") == "user", ((F.col("turn") % 5) + 1).cast("string"))
     elem = F.struct(F.struct(rating.alias("Overall")).alias("Ratings"), F.col("text").alias("Content"))
-    g = conv.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", elem.alias("e")))).alias("_r"))
+    c = conv.withColumn("_pos", F.col("turn")).withColumn("_chunk", F.floor(F.col("_pos") / chunk))
+    g = c.groupBy("conv_id", "_chunk").agg(
+        F.array_sort(F.collect_list(F.struct("_pos", elem.alias("e")))).alias("_r"))
     return g.select(F.col("conv_id").cast("string").alias("_file"),
                     F.struct(F.col("conv_id").cast("string").alias("HotelID")).alias("HotelInfo"),
+                    (F.col("_chunk") * chunk).cast("int").alias("_offset"),
                     F.transform("_r", lambda x: x["e"]).alias("Reviews"))
 
 
