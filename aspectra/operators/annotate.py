@@ -154,15 +154,19 @@ def link_tokens(tagged: DataFrame) -> DataFrame:
     pred_verb = F.min(F.when(kind == "verb", F.col("i"))).over(clause)
     pred_be = F.min(F.when(kind == "be", F.col("i"))).over(clause)
     pred_intj = F.min(F.when(kind == "intj", F.col("i"))).over(clause)
+    # "Next X after i" as a running minimum over the rows after i (descending order,
+    # frame up to the previous row): incremental, linear in the clause length.  A frame
+    # "1 following .. unbounded following" would be re-aggregated for every row.
+    after = Window.partitionBy(*SENT_KEYS, "clause_id").orderBy(F.col("i").desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    head_like = ~kind.isin("adv", "adj")
     t = (t.withColumn("pred_i", F.coalesce(pred_verb, pred_be, pred_intj))
           .withColumn("next_i", F.lead("i").over(corder))
           .withColumn("next_kind", F.lead("kind").over(corder))
-          .withColumn("next_noun_i", F.first(F.when(kind == "noun", F.col("i")), ignorenulls=True)
-                      .over(corder.rowsBetween(1, Window.unboundedFollowing)))
-          .withColumn("next_head_i", F.first(F.when(~kind.isin("adv", "adj"), F.col("i")), ignorenulls=True)
-                      .over(corder.rowsBetween(1, Window.unboundedFollowing)))
-          .withColumn("next_head_kind", F.first(F.when(~kind.isin("adv", "adj"), kind), ignorenulls=True)
-                      .over(corder.rowsBetween(1, Window.unboundedFollowing))))
+          .withColumn("next_noun_i", F.min(F.when(kind == "noun", F.col("i"))).over(after))
+          .withColumn("_next_head", F.min(F.when(head_like, F.struct(F.col("i"), kind.alias("k")))).over(after))
+          .withColumn("next_head_i", F.col("_next_head.i"))
+          .withColumn("next_head_kind", F.col("_next_head.k")))
     pred_i = F.col("pred_i")
     t = (t.withColumn("pred_kind", F.max(F.when(F.col("i") == pred_i, kind)).over(clause))
           .withColumn("subj_i", F.max(F.when(kind.isin("noun", "pron") & (F.col("i") < pred_i),
@@ -196,7 +200,7 @@ def link_tokens(tagged: DataFrame) -> DataFrame:
              .when((F.col("dep") == "advmod") & F.col("next_kind").isin("adj", "adv"),
                    F.col("next_i"))
              .otherwise(to_pred))
-    t = t.withColumn("dep", dep).withColumn("head_i", head.cast("int"))
+    t = t.withColumn("dep", dep).withColumn("head_i", head.cast("int")).drop("_next_head")
     return t.select(*SENT_KEYS, "i", "idx", "text", "lemma", "pos", "tag", "dep",
                     "head_i", "is_stop")
 

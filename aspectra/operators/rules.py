@@ -171,17 +171,9 @@ def extract_aspects(sentences: DataFrame, tokens: DataFrame, window: int = 6,
     emission order is (sent_id, rule_no, ord_i).  Sentences are left-joined to the
     findings once, which yields both the findings and the no-hit rows.
     """
-    from pyspark.sql import Window
     from . import spans as SP
     found = all_rules(tokens, compat_rule_ids)
     found = entity_match(map_pronouns(found), A.entities(tokens))
     rows = sentences.select(*K, "n_tokens").join(found, K, "left")
-    lst = F.collect_list("aspect_i").over(Window.partitionBy(*K))
-    s = F.array_sort(lst if keep_duplicates else F.array_distinct(lst))
-    left, right = SP.window_bounds(F.col("aspect_i"), F.col("_s"), F.col("n_tokens"), window)
-    hit = F.col("aspect_i").isNotNull()
-    rows = (rows.withColumn("_s", s)
-            .withColumn("win_left", F.when(hit, left).otherwise(F.lit(0)))
-            .withColumn("win_right", F.when(hit, right).otherwise(F.col("n_tokens").cast("int")))
-            .drop("_s", "n_tokens"))
+    rows = SP.add_window_bounds(rows, window, keep_duplicates).drop("n_tokens")
     return SP.attach_span(rows, sentences, span_tokens if span_tokens is not None else tokens)

@@ -11,45 +11,69 @@ from . import annotate as A
 K = A.SENT_KEYS
 
 
-def window_bounds(pos: Column, s: Column, n_tok: Column, n: int) -> tuple[Column, Column]:
+def bounds_from_neighbours(pos: Column, cnt: Column, prv: Column, nxt: Column, n_tok: Column,
+                           n: int) -> tuple[Column, Column]:
     """[left, right) of the text window around the aspect at ``pos``.
 
-    ``s`` = sorted aspect positions of the sentence.  One position -> whole sentence.
-    Right end: last aspect -> N; else min(pos+n, N) if below the next position, else
-    next-1.  Left end: first aspect -> 0; else max(pos-n, 0) if above the previous
-    position, else previous+1.  Python slice rules then apply (negative end counts from
-    the end; an end before the start gives an empty span).
+    ``cnt`` = number of aspect positions of the sentence; ``prv`` / ``nxt`` = the list
+    elements just before / after the first occurrence of ``pos`` in the sorted list
+    (null at the ends).  One position -> whole sentence.  Right end: last -> N; else
+    min(pos+n, N) if below the next position, else next-1.  Left end: first -> 0; else
+    max(pos-n, 0) if above the previous position, else previous+1.  Python slice rules
+    then apply (a negative end counts from the end; an end before the start gives an
+    empty span).
     """
-    cnt = F.size(s)
-    p = F.array_position(s, pos).cast("int")  # 1-based, first occurrence
-    nxt = F.get(s, p)          # 0-based get: element after p
-    prv = F.get(s, p - 2)      # element before p
     r0 = F.least(pos + n, n_tok)
-    right = (F.when(cnt == 1, n_tok).when(p == cnt, n_tok)
+    right = (F.when(cnt == 1, n_tok).when(nxt.isNull(), n_tok)
              .when(r0 < nxt, r0).otherwise(nxt - 1))
     l0 = F.greatest(pos - n, F.lit(0))
-    left = (F.when(cnt == 1, 0).when(p == 1, 0)
+    left = (F.when(cnt == 1, 0).when(prv.isNull(), 0)
             .when(l0 > prv, l0).otherwise(prv + 1))
     right = F.when(right < 0, right + n_tok).otherwise(right)
     right = F.least(n_tok, F.greatest(left, right))
     return left.cast("int"), right.cast("int")
 
 
-def aspect_bounds(aspects: DataFrame, sentences: DataFrame, n: int,
-                  keep_duplicates: bool = False, pos_col: str = "aspect_i") -> DataFrame:
-    """W1 bounds: add ``win_left`` / ``win_right`` (token positions, right exclusive).
+def window_bounds(pos: Column, s: Column, n_tok: Column, n: int) -> tuple[Column, Column]:
+    """W1 on an explicit sorted position array ``s`` (small inputs and tests)."""
+    p = F.array_position(s, pos).cast("int")  # 1-based, first occurrence
+    return bounds_from_neighbours(pos, F.size(s), F.get(s, p - 2), F.get(s, p), n_tok, n)
 
-    Default: the sorted *distinct* aspect positions of the sentence; ``keep_duplicates``
-    reproduces the variant where one position listed twice (two rules, one aspect)
-    empties the window.  The position list is per sentence, so it is bounded by the
-    sentence length.
+
+def add_window_bounds(df: DataFrame, n: int, keep_duplicates: bool = False,
+                      pos_col: str = "aspect_i", ntok_col: str = "n_tokens") -> DataFrame:
+    """W1 bounds for every row of ``df`` (rows with a null position get the whole
+    sentence): ``win_left`` / ``win_right``.
+
+    Relational form: the distinct positions of each sentence with their multiplicity,
+    ``lag`` / ``lead`` for the neighbours and a partition count — no row ever holds the
+    sentence's whole position list, so a sentence with many findings stays linear.
+    Default: distinct positions; ``keep_duplicates`` reproduces the variant where one
+    position listed twice (two rules, one aspect) is its own next neighbour.
     """
-    w = Window.partitionBy(*K)
-    lst = F.collect_list(pos_col).over(w)
-    s = F.array_sort(lst if keep_duplicates else F.array_distinct(lst))
-    a = aspects.withColumn("_s", s).join(sentences.select(*K, "n_tokens"), K)
-    left, right = window_bounds(F.col(pos_col), F.col("_s"), F.col("n_tokens"), n)
-    return a.withColumn("win_left", left).withColumn("win_right", right).drop("_s", "n_tokens")
+    pos = (df.filter(F.col(pos_col).isNotNull()).groupBy(*K, pos_col)
+           .agg(F.count(F.lit(1)).alias("_dup")))
+    w = Window.partitionBy(*K).orderBy(pos_col)
+    weight = F.col("_dup") if keep_duplicates else F.lit(1)
+    pos = (pos.withColumn("_prv", F.lag(pos_col).over(w))
+              .withColumn("_nxt", F.lead(pos_col).over(w))
+              .withColumn("_cnt", F.sum(weight).over(Window.partitionBy(*K))))
+    if keep_duplicates:
+        pos = pos.withColumn("_nxt", F.when(F.col("_dup") > 1, F.col(pos_col)).otherwise(F.col("_nxt")))
+    d = df.join(pos, K + [pos_col], "left")
+    left, right = bounds_from_neighbours(F.col(pos_col), F.col("_cnt"), F.col("_prv"), F.col("_nxt"),
+                                         F.col(ntok_col), n)
+    hit = F.col(pos_col).isNotNull()
+    return (d.withColumn("win_left", F.when(hit, left).otherwise(F.lit(0)))
+             .withColumn("win_right", F.when(hit, right).otherwise(F.col(ntok_col).cast("int")))
+             .drop("_dup", "_prv", "_nxt", "_cnt"))
+
+
+def aspect_bounds(aspects: DataFrame, sentences: DataFrame, n: int,
+                  keep_duplicates: bool = False, pos_col: str = "aspect_i") -> DataFrame:
+    """W1 bounds: add ``win_left`` / ``win_right`` (token positions, right exclusive)."""
+    a = aspects.join(sentences.select(*K, "n_tokens"), K)
+    return add_window_bounds(a, n, keep_duplicates, pos_col).drop("n_tokens")
 
 
 def attach_span(spans: DataFrame, sentences: DataFrame, tokens: DataFrame) -> DataFrame:

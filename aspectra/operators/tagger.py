@@ -78,11 +78,9 @@ def predict_aux(reviews: DataFrame, tagger, nb: P.NaiveBayesModel,
         "ri", (F.col("i") + F.col("_off")).cast("int"))
     # review-level windows: positions are review word ids
     n_words = off.groupBy("review_id").agg(F.sum("n_tokens").cast("int").alias("n_words"))
-    a = dec.select("review_id", F.col("first_i").alias("pos"), "aspect")
-    w = Window.partitionBy("review_id")
-    a = a.withColumn("_s", F.array_sort(F.array_distinct(F.collect_list("pos").over(w)))).join(n_words, "review_id")
-    left, right = SP.window_bounds(F.col("pos"), F.col("_s"), F.col("n_words"), window)
-    a = a.withColumn("win_left", left).withColumn("win_right", right).drop("_s")
+    a = dec.select("review_id", F.lit(0).alias("sent_id"), F.col("first_i").alias("pos"), "aspect")
+    a = a.join(n_words, "review_id")
+    a = SP.add_window_bounds(a, window, pos_col="pos", ntok_col="n_words").drop("sent_id")
     none = (n_words.join(a.select("review_id").distinct(), "review_id", "left_anti")
             .select("review_id", F.lit(0).alias("pos"), F.lit(S.NO_ASPECT).alias("aspect"),
                     "n_words", F.lit(0).alias("win_left"), F.col("n_words").alias("win_right")))

@@ -109,3 +109,20 @@ def test_decode_matches_python(spark):
            for r in SP.bio_decode_lists(SP.bio_decode(df), keys).collect()}
     for k, (tags, words) in cases.items():
         assert got[k] == py_decode(tags, words), (tags,)
+
+
+def test_relational_window_bounds_match_python(spark):
+    rnd = random.Random(23)
+    rows, sentences = [], {}
+    for sid in range(150):
+        n_tok = rnd.randint(1, 25)
+        positions = [rnd.randrange(n_tok) for _ in range(rnd.randint(1, 6))]
+        sentences[sid] = (n_tok, positions)
+        rows += [(1, sid, p, n_tok) for p in positions]
+    df = spark.createDataFrame(rows, "review_id long, sent_id int, aspect_i int, n_tokens int")
+    for keep in (False, True):
+        got = SP.add_window_bounds(df, 6, keep_duplicates=keep).collect()
+        for r in got:
+            n_tok, positions = sentences[r.sent_id]
+            s = sorted(positions) if keep else sorted(set(positions))
+            assert (r.win_left, r.win_right) == py_window(s, r.aspect_i, n_tok, 6), (positions, r.aspect_i, keep)
