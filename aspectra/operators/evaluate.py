@@ -126,10 +126,10 @@ def seq_report(tok: DataFrame, key_cols: list[str], gold_col: str = "gold", pred
     c = j.agg(F.sum(F.when(F.col("_g").isNotNull() & F.col("_p").isNotNull(), 1).otherwise(0)).alias("tp"),
               F.sum(F.coalesce(F.col("_p"), F.lit(0))).alias("npred"),
               F.sum(F.coalesce(F.col("_g"), F.lit(0))).alias("ngold"))
-    acc = tok.agg(F.avg((F.col(gold_col) == F.col(pred_col)).cast("double")).alias("accuracy"))
+    acc = tok.agg(F.avg((F.col(gold_col) == F.col(pred_col)).cast("double")).alias("accuracy")).first()["accuracy"]
     prec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("ngold")), F.lit(0.0))
-    r = c.crossJoin(acc).select(prec.alias("precision"), rec.alias("recall"), "accuracy")
+    r = c.select(prec.alias("precision"), rec.alias("recall"), F.lit(acc).cast("double").alias("accuracy"))
     r = r.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"),
                                                    F.col("precision") + F.col("recall")), F.lit(0.0)))
     return r.select(*[F.round(x, 6).alias(x) for x in ("precision", "recall", "f1", "accuracy")])

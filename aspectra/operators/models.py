@@ -32,7 +32,7 @@ def save_nb_bundle(model: P.NaiveBayesModel, path: str, labels: DataFrame | None
     the bundle has none yet."""
     spark = model.vocab.sparkSession
     model.vocab.write.mode("overwrite").parquet(f"{path}/vocab")
-    model.prior.write.mode("overwrite").parquet(f"{path}/prior")
+    spark.createDataFrame([(model.prior_lo,)], "prior_lo double").write.mode("overwrite").parquet(f"{path}/prior")
     if labels is not None:
         labels.write.mode("overwrite").parquet(f"{path}/labels")
     if metrics is not None:
@@ -50,7 +50,8 @@ def load_nb_bundle(spark: SparkSession, path: str) -> P.NaiveBayesModel:
     """K5: load a naive Bayes bundle; scoring without a model is an error."""
     if not model_status(spark, path):
         raise FileNotFoundError(f"no trained model at {path}; train and save one first")
-    return P.NaiveBayesModel(spark.read.parquet(f"{path}/vocab"), spark.read.parquet(f"{path}/prior"))
+    prior = spark.read.parquet(f"{path}/prior").first()["prior_lo"]
+    return P.NaiveBayesModel(spark.read.parquet(f"{path}/vocab"), prior)
 
 
 def save_pipeline(model, path: str) -> None:

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,11 +45,11 @@ def length_iqr_filter(df: DataFrame, text_col: str = "review_text") -> DataFrame
     quantiles (linear interpolation) taken over all rows of ``df``."""
     S.require_columns(df, [text_col], "length_iqr_filter")
     x = df.withColumn("_wc", TX.word_count(F.col(text_col)))
-    q = histogram_quantiles(x, "_wc", [0.25, 0.75], names=["_q1", "_q3"])
-    # q is one row: broadcast cross join.
-    return (x.crossJoin(F.broadcast(q))
-             .filter((F.col("_wc") > F.col("_q1")) & (F.col("_wc") < F.col("_q3")))
-             .drop("_wc", "_q1", "_q3"))
+    # two numbers from a histogram of word counts (bounded by the longest text)
+    q = histogram_quantiles(x, "_wc", [0.25, 0.75], names=["q1", "q3"]).first()
+    if q is None or q["q1"] is None:
+        return x.filter(F.lit(False)).drop("_wc")
+    return x.filter((F.col("_wc") > F.lit(q["q1"])) & (F.col("_wc") < F.lit(q["q3"]))).drop("_wc")
 
 
 def balance_binary(df: DataFrame, label_col: str = "polarity", order_col: str = "review_id",
@@ -59,11 +60,10 @@ def balance_binary(df: DataFrame, label_col: str = "polarity", order_col: str =
     S.require_columns(df, [label_col, order_col], "balance_binary")
     d = df.filter(F.col(label_col).isin(*labels))
     ranked, sizes = rank_within_groups(d, [label_col], [order_col], rank_col="_rn", with_sizes=True)
-    # A missing class means the smaller class has 0 rows.
-    lim = sizes.agg(F.when(F.count(F.lit(1)) == len(labels), F.min("group_size"))
-                    .otherwise(F.lit(0)).alias("_k"))
-    return (ranked.crossJoin(F.broadcast(lim)).filter(F.col("_rn") <= F.col("_k"))
-                  .drop("_rn", "_k"))
+    # one size per class (a tiny table); a missing class means the smaller class has 0 rows
+    got = {r[label_col]: r["group_size"] for r in sizes.collect()}
+    k = min(got.values()) if len(got) == len(labels) else 0
+    return ranked.filter(F.col("_rn") <= F.lit(k)).drop("_rn")
 
 
 def load_labelled_reviews(reviews: DataFrame, text_col: str = "review_text",
@@ -88,13 +88,16 @@ def polarity_training_set(reviews: DataFrame, text_col: str = "review_text",
 # ---------------------------------------------------------------------------------------
 @dataclass
 class NaiveBayesModel:
-    """``vocab``: word, n_pos, n_neg, lo.  ``prior``: one row with prior_lo."""
+    """``vocab``: word, n_pos, n_neg, lo.  ``prior_lo``: log prior odds (a number)."""
     vocab: DataFrame
-    prior: DataFrame
+    prior_lo: float | None
 
     def words(self) -> DataFrame:
         return self.vocab.select(F.col("word"), F.col("lo"))
 
+    def prior(self) -> Column:
+        return F.lit(self.prior_lo).cast("double")
+
 
 def words_of(text: Column) -> Column:
     """Lower-cased tokens of the cleaned text (same tokenizer as the token table)."""
@@ -115,20 +118,17 @@ def nb_train(train: DataFrame, text_col: str = "review_text", label_col: str = "
                                    F.sum((~F.col("_pos")).cast("long")).alias("n_neg"))
     if materialize:
         counts = cut_lineage(counts)  # one pass over the training text; totals read it back
-    tot = counts.agg(F.sum("n_pos").alias("_tot_pos"), F.sum("n_neg").alias("_tot_neg"),
-                     F.count(F.lit(1)).alias("_vsize"))
-    vocab = (counts.crossJoin(F.broadcast(tot))
-             .withColumn("lo", F.log((F.col("n_pos") + 1) / (F.col("_tot_pos") + F.col("_vsize")))
-                         - F.log((F.col("n_neg") + 1) / (F.col("_tot_neg") + F.col("_vsize"))))
+    # three numbers (token totals per class, vocabulary size) read from the counts
+    tot = counts.agg(F.sum("n_pos").alias("tp"), F.sum("n_neg").alias("tn"), F.count(F.lit(1)).alias("v")).first()
+    tp, tn, v = (tot["tp"] or 0), (tot["tn"] or 0), tot["v"]
+    vocab = (counts.withColumn("lo", F.log((F.col("n_pos") + 1) / F.lit(float(tp + v)))
+                               - F.log((F.col("n_neg") + 1) / F.lit(float(tn + v))))
              .select("word", "n_pos", "n_neg", "lo"))
     docs = train.agg(F.sum((F.col(label_col) == S.POSITIVE).cast("long")).alias("d_pos"),
-                     F.sum((F.col(label_col) == S.NEGATIVE).cast("long")).alias("d_neg"))
-    prior = docs.select(F.log(F.col("d_pos") / F.col("d_neg")).alias("prior_lo"))
-    if materialize:
-        # the prior is one number: keep it as a literal one-row table
-        v = prior.first()["prior_lo"]
-        prior = train.sparkSession.createDataFrame([(v,)], "prior_lo double")
-    return NaiveBayesModel(vocab, prior)
+                     F.sum((F.col(label_col) == S.NEGATIVE).cast("long")).alias("d_neg")).first()
+    d_pos, d_neg = docs["d_pos"] or 0, docs["d_neg"] or 0
+    prior_lo = math.log(d_pos / d_neg) if d_pos and d_neg else None
+    return NaiveBayesModel(vocab, prior_lo)
 
 
 def _vocab_side(model: NaiveBayesModel, max_rows: int = MAX_BROADCAST_VOCAB) -> DataFrame:
@@ -165,8 +165,7 @@ def polarity_score(docs: DataFrame, model: NaiveBayesModel, key_col: str = "revi
     words = docs.select(key_col, F.explode_outer(words_of(F.col(text_col))).alias("word"))
     s = (words.join(v, "word", "left")
          .groupBy(key_col).agg(F.sum(F.coalesce(F.col("lo"), F.lit(0.0))).alias("_sum")))
-    s = s.crossJoin(F.broadcast(model.prior))
-    label, prob, sentiment = probability_columns(F.col("prior_lo") + F.col("_sum"), threshold)
+    label, prob, sentiment = probability_columns(model.prior() + F.col("_sum"), threshold)
     out = s.select(key_col, label.alias("label"), prob.alias("prob"))
     if threshold is not None:
         out = out.withColumn("sentiment", neutral_threshold(F.col("label"), F.col("prob"), threshold))

@@ -29,14 +29,13 @@ def reject_reviews(reviews: DataFrame, id_col: str = "review_id",
             .filter(F.col("reason").isNotNull()))
 
 
-def span_scores(found: DataFrame, prior: DataFrame, threshold: float) -> DataFrame:
+def span_scores(found: DataFrame, prior: F.Column, threshold: float) -> DataFrame:
     """Score each span [win_left, win_right) = prior + sum of token log-odds."""
     nonempty = F.col("win_right") > F.col("win_left")
     span_sum = F.when(nonempty, F.col("r_cum_lo") - F.col("l_cum_lo") + F.col("l_lo")).otherwise(F.lit(0.0))
-    s = found.crossJoin(F.broadcast(prior)).withColumn("_score", F.col("prior_lo") + span_sum)
-    label, prob, sentiment = P.probability_columns(F.col("_score"), threshold)
-    return (s.withColumn("sentiment", sentiment).withColumn("sentiment_prob", prob)
-             .drop("_score", "prior_lo", "l_lo", "l_cum_lo", "r_lo", "r_cum_lo"))
+    label, prob, sentiment = P.probability_columns(prior + span_sum, threshold)
+    return (found.withColumn("sentiment", sentiment).withColumn("sentiment_prob", prob)
+                 .drop("l_lo", "l_cum_lo", "r_lo", "r_cum_lo"))
 
 
 def predict_long(reviews: DataFrame, model: P.NaiveBayesModel, window: int = S.WINDOW_MAIN,
@@ -50,7 +49,7 @@ def predict_long(reviews: DataFrame, model: P.NaiveBayesModel, window: int = S.W
     scored = P.token_scores(tokens.select(*K, "i", "idx", "text"), model)
     found = R.extract_aspects(sentences, tokens, window, compat_rule_ids, keep_duplicates,
                               span_tokens=scored.select(*K, "i", "idx", "text", "lo", "cum_lo"))
-    return span_scores(found, model.prior, threshold)
+    return span_scores(found, model.prior(), threshold)
 
 
 def flatten(long_df: DataFrame, reviews: DataFrame | None = None) -> DataFrame:

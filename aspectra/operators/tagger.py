@@ -91,7 +91,7 @@ def predict_aux(reviews: DataFrame, tagger, nb: P.NaiveBayesModel,
     R = sc.select("review_id", (F.col("ri") + 1).alias("win_right"), F.col("rcum").alias("r_cum"))
     j = a.join(L, ["review_id", "win_left"], "left").join(R, ["review_id", "win_right"], "left")
     span = F.when(F.col("win_right") > F.col("win_left"), F.col("r_cum") - F.col("l_cum") + F.col("l_lo")).otherwise(0.0)
-    j = j.crossJoin(F.broadcast(nb.prior)).withColumn("_score", F.col("prior_lo") + span)
+    j = j.withColumn("_score", nb.prior() + span)
     label, prob, sentiment = P.probability_columns(F.col("_score"), threshold)
     j = j.withColumn("polarity_aux", sentiment).withColumn("polarity_prob_aux", prob)
     g = j.groupBy("review_id").agg(F.array_sort(F.collect_list(

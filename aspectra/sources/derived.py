@@ -63,10 +63,10 @@ def write_app_csvs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     root = scratch_path(spark, "apps")
     part = table(spark, sf_dir, "part")
     apps = part.select(F.col("p_name").alias("App"), "p_partkey", "p_brand")
-    n = part.agg(F.count(F.lit(1)).alias("n"))
+    n = part.count()
     from ..plans.tables import labelled_reviews
-    lr = labelled_reviews(spark, sf_dir).crossJoin(F.broadcast(n))
-    rev = (lr.withColumn("p_partkey", (F.col("review_id") % F.col("n")) + 1)
+    lr = labelled_reviews(spark, sf_dir)
+    rev = (lr.withColumn("p_partkey", (F.col("review_id") % F.lit(n)) + 1)
            .join(part.select("p_partkey", F.col("p_name").alias("App")), "p_partkey")
            .select("App", F.col("review_text").alias("Translated_Review"),
                    F.initcap(F.col("polarity")).alias("Sentiment"),

@@ -24,8 +24,12 @@ HEADLINE = ["clean_corpus", "token_table", "annotate_tokens", "extract_aspects",
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    extra = {}
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")  # stage/task timings without the UI
+    if log_dir:
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
-                          app_name="aspectra-bench")
+                          app_name="aspectra-bench", extra=extra)
     times = {}
     for name in HEADLINE:
         t0 = time.time()
