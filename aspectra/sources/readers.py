@@ -16,7 +16,10 @@ from .. import schema as S
 from ..functions import text as TX
 from ..operators.polarity import rating_to_polarity
 
-# Dataset names (source column values) and their default folders.
+# --------------------------------------------------------------------------------------
+# FIXED VALUES: dataset names (values of the ``source`` column) and their default folders
+# under a data root.
+# --------------------------------------------------------------------------------------
 APP_STORE = "google-play"
 HOTELS = "lara-tripadvisor"
 SHOP = "multi-domain-amazon"
