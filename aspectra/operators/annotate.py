@@ -31,12 +31,16 @@ def prepare_reviews(reviews: DataFrame, id_col: str = "review_id", text_col: str
 
     Every later per-review / per-sentence operator (and a join back to this frame) reuses
     this partitioning.  Skip it (``assume_partitioned`` below) for tables already bucketed
-    by the id.
+    by the id.  Default partition count: ``session.text_partitions`` (input bytes / 32 MB,
+    at least one per core).
     """
+    from ..session import text_partitions
     S.require_columns(reviews, [id_col, text_col], "prepare_reviews")
     r = reviews.select(F.col(id_col).cast("bigint").alias("review_id"),
                        F.col(text_col).alias("review_text"))
-    return r.repartition(num_partitions, "review_id") if num_partitions else r.repartition("review_id")
+    # sized from the input files (not a fixed shuffle setting): the cached sentences and
+    # tokens keep this partitioning for the rest of the text path
+    return r.repartition(num_partitions or text_partitions(reviews), "review_id")
 
 
 def split_sentences(reviews: DataFrame, id_col: str = "review_id",

@@ -75,3 +75,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable, survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Compressed input bytes per partition of the text path: tokens expand the text several
+# times, so partitions are sized well below the usual 128 MB.
+TEXT_BYTES_PER_PARTITION = 32 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files a DataFrame scans (0 for in-memory data)."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def text_partitions(df: DataFrame, bytes_per_partition: int = TEXT_BYTES_PER_PARTITION) -> int:
+    """Partition count for the text path: enough partitions for the input size, and at
+    least one per core."""
+    n = -(-input_bytes(df) // bytes_per_partition)
+    return max(int(df.sparkSession.sparkContext.defaultParallelism), int(n), 1)
