@@ -678,6 +678,16 @@ FROM gp2 WHERE len(aspect) = 1 AND nw >= 5 AND polarity[1] <> 'conflict'"""
     o["reviews_roundtrip"] = o["build_reviews"].replace(
         "WITH lr AS", "WITH br AS (WITH lr AS", 1) + ") SELECT * FROM br WHERE source = 'lara-tripadvisor'"
     o["predictions_csv"] = o["predict_flat"]
+    op = g_with + """,
+ops AS (SELECT review_id, review_text, aspect, review_id // 4 AS rid,
+               min(CASE WHEN len(aspect) = 0 THEN review_id END) OVER (PARTITION BY review_id // 4) AS first_bad
+        FROM gold)
+SELECT review_text, array_to_string(aspect, '|') AS aspect,
+       array_to_string(list_transform(aspect, a -> ['positive', 'negative', 'neutral', 'conflict'][review_id % 4 + 1]), '|') AS polarity,
+       'train' AS partition, 'sem-eval-2015' AS source
+FROM ops WHERE len(aspect) > 0"""
+    o["read_gold_opinions"] = op
+    o["read_gold_opinions_compat"] = op + " AND (first_bad IS NULL OR review_id < first_bad)"
     return o
 
 

@@ -248,6 +248,15 @@ def q_read_gold_xml(spark, sf):
                              F.transform("position", lambda p: p["start"]).alias("starts")))
 
 
+def _opinions_query(compat: bool) -> Query:
+    def q(spark, sf):
+        from ..sources import derived as DV
+        root = DV.write_gold_opinions_xml(spark, sf)
+        g = RD.read_gold_opinions(spark, f"{root}/*.xml", year="2015", compat_truncate=compat)
+        return finalize(g.select("review_text", "aspect", "polarity", "partition", "source"))
+    return q
+
+
 def q_read_app_reviews(spark, sf):
     from ..sources import derived as DV
     apps, revs = DV.write_app_csvs(spark, sf)
@@ -537,6 +546,8 @@ QUERIES: dict[str, Query] = {
     "read_tagged_reviews": q_read_tagged_reviews,
     "read_gold_xml": q_read_gold_xml,
     "read_app_reviews": q_read_app_reviews,
+    "read_gold_opinions": _opinions_query(False),
+    "read_gold_opinions_compat": _opinions_query(True),
     "build_gold": q_build_gold,
     "bio_tags": q_bio_tags,
     "bio_clean": q_bio_clean,

@@ -77,3 +77,26 @@ def write_app_csvs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     apps.write.mode("overwrite").options(**opts).csv(f"{root}/apps.csv")
     rev.write.mode("overwrite").options(**opts).csv(f"{root}/reviews.csv")
     return f"{root}/apps.csv", f"{root}/reviews.csv"
+
+
+def write_gold_opinions_xml(spark: SparkSession, sf_dir: str) -> str:
+    """benchmark gold -> ``<root>/train.xml``: Review records of up to 4 consecutive
+    items (review id = item_id // 4), each a sentence with Opinions (none when the item
+    has no aspect)."""
+    root = scratch_path(spark, "goldopinions")
+    g = gold_items(spark, sf_dir)
+    ops = F.transform(F.arrays_zip("aspect", "polarity"), lambda z: F.struct(
+        z["aspect"].alias("_target"), F.lit(None).cast("string").alias("_category"),
+        z["polarity"].alias("_polarity"),
+        F.instr(F.col("review_text"), z["aspect"]).cast("string").alias("_from"),
+        (F.instr(F.col("review_text"), z["aspect"]) + F.length(z["aspect"])).cast("string").alias("_to")))
+    sent = F.struct(F.col("review_id").cast("string").alias("_id"), F.col("review_text").alias("text"),
+                    F.when(F.size("aspect") > 0, F.struct(ops.alias("Opinion"))).alias("Opinions"))
+    rev = (g.select((F.col("review_id") / 4).cast("long").alias("rid"), F.col("review_id").alias("k"),
+                    sent.alias("s"))
+           .groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("k", "s"))).alias("_s")))
+    x = rev.select(F.col("rid").cast("string").alias("_rid"),
+                   F.struct(F.transform("_s", lambda e: e["s"]).alias("sentence")).alias("sentences"))
+    (x.write.mode("overwrite").format("xml").option("rowTag", "Review").option("rootTag", "Reviews")
+     .save(f"{root}/train.xml"))
+    return root
