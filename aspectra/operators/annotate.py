@@ -238,7 +238,8 @@ def entities(tokens: DataFrame) -> DataFrame:
 
 
 def annotate_corpus(reviews: DataFrame, id_col: str = "review_id", text_col: str = "review_text",
-                    materialize: bool = True, exact_unicode: bool = False):
+                    materialize: bool = True, exact_unicode: bool = False,
+                    assume_partitioned: bool = False):
     """Reviews -> (prepared reviews, sentences, tokens).
 
     Sentences and tokens are read by many branches (rules, windows, scores).  With
@@ -249,7 +250,10 @@ def annotate_corpus(reviews: DataFrame, id_col: str = "review_id", text_col: str
     recomputes its own partitions.
     """
     from pyspark import StorageLevel
-    prepared = prepare_reviews(reviews, id_col, text_col)
+    if assume_partitioned:  # e.g. a table bucketed by the id: no shuffle at all
+        prepared = reviews.select(F.col(id_col).alias("review_id"), F.col(text_col).alias("review_text"))
+    else:
+        prepared = prepare_reviews(reviews, id_col, text_col)
     sentences = split_sentences(prepared, assume_partitioned=True, exact_unicode=exact_unicode)
     tokens = annotate(sentences)
     if materialize:

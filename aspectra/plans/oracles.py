@@ -427,6 +427,7 @@ allr AS (SELECT * FROM bd UNION ALL SELECT * FROM nohit)"""
     o["nb_train"] = _with(training_ctes(), nb_ctes()) + \
         "\nSELECT word, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg, round(lo, 6) AS lo FROM voc"
     o["model_bundle"] = o["nb_train"]
+    o["extract_aspects_bucketed"] = o["extract_aspects"]
     o["polarity_score"] = _with(training_ctes(), nb_ctes(), doc_score_ctes(EN_REVIEWS)) + \
         "\nSELECT review_id, label, prob FROM ds"
     o["neutral_threshold"] = _with(training_ctes(), nb_ctes(), doc_score_ctes(EN_REVIEWS)) + \

@@ -98,6 +98,24 @@ def q_extract_aspects(spark, sf):
                              "win_left", "win_right", "aspect_sentence"))
 
 
+def q_extract_aspects_bucketed(spark, sf):
+    """R8/R9 over a corpus table bucketed by review_id: the plan has no exchange."""
+    import uuid
+    from ..session import text_partitions
+    from ..sources.derived import scratch_path
+    r = reviews_en(spark, sf)
+    if spark.conf.get("spark.sql.catalogImplementation", "in-memory") != "in-memory":
+        # a Hive catalog would open a metastore database: use the one-shuffle path instead
+        _, s, tok = A.annotate_corpus(r)
+    else:
+        name = f"aspectra_reviews_{uuid.uuid4().hex[:8]}"
+        t = RD.write_bucketed_reviews(r, name, scratch_path(spark, "bucketed"), text_partitions(r))
+        _, s, tok = A.annotate_corpus(t, assume_partitioned=True)
+    e = R.extract_aspects(s, tok, S.WINDOW_MAIN)
+    return finalize(e.select(*K, "rule_no", "ord_i", "aspect", "modifier", "rule", "aspect_idx", "aspect_i",
+                             "win_left", "win_right", "aspect_sentence"))
+
+
 def _window_query(keep_duplicates: bool) -> Query:
     def q(spark, sf):
         _, s, t = _corpus(spark, sf)
@@ -519,6 +537,7 @@ QUERIES: dict[str, Query] = {
     "head_children": q_head_children,
     **{f"rule_r{n}": _rule_query(n) for n in range(1, 8)},
     "extract_aspects": q_extract_aspects,
+    "extract_aspects_bucketed": q_extract_aspects_bucketed,
     "aspect_window": _window_query(False),
     "aspect_window_compat": _window_query(True),
     "entity_match": q_entity_match,

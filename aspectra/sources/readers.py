@@ -252,6 +252,15 @@ def write_reviews(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("source").parquet(path)
 
 
+def write_bucketed_reviews(df: DataFrame, table_name: str, path: str, buckets: int) -> DataFrame:
+    """Corpus table bucketed (and sorted) by ``review_id`` at ``path``: every later
+    per-review step reads it without any shuffle (``annotate_corpus(...,
+    assume_partitioned=True)``).  Returns the table."""
+    (df.write.bucketBy(buckets, "review_id").sortBy("review_id").option("path", path)
+       .mode("overwrite").saveAsTable(table_name))
+    return df.sparkSession.table(table_name)
+
+
 def write_gold(df: DataFrame, path: str) -> None:
     """K2: Parquet partitioned by source and partition."""
     df.write.mode("overwrite").partitionBy("source", "partition").parquet(path)
