@@ -74,10 +74,17 @@ def load_labelled_reviews(reviews: DataFrame, text_col: str = "review_text",
 
 
 def polarity_training_set(reviews: DataFrame, text_col: str = "review_text",
-                          label_col: str = "polarity", order_col: str = "review_id") -> DataFrame:
+                          label_col: str = "polarity", order_col: str = "review_id",
+                          materialize: bool = True) -> DataFrame:
     """M1: drop null text -> IQR length filter (over all polarities) -> keep
-    positive/negative -> balance."""
+    positive/negative -> balance.
+
+    The input (typically a join of texts and labels) is read by three passes (length
+    histogram, range sampling, ranked checkpoint); with ``materialize`` it is
+    checkpointed once so those passes do not re-run the join."""
     x = reviews.filter(F.col(text_col).isNotNull())
+    if materialize:
+        x = cut_lineage(x)
     x = length_iqr_filter(x, text_col)
     x = x.filter(F.col(label_col).isin(S.POSITIVE, S.NEGATIVE))
     return balance_binary(x, label_col, order_col)
