@@ -151,22 +151,22 @@ def link_tokens(tagged: DataFrame) -> DataFrame:
     t = tagged.withColumn(
         "clause_id",
         F.coalesce(F.sum(sep).over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # every clause window is ordered by position so all of them share one sort
-    corder = Window.partitionBy(*SENT_KEYS, "clause_id").orderBy("i")
-    clause = corder.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # All clause windows share ONE order (position descending): whole-clause aggregates do
+    # not depend on the order, "next token" is lag() in descending order, and "next X
+    # after i" is a running minimum over the rows after i (incremental, linear in the
+    # clause length; a "1 following .. unbounded following" frame would be re-aggregated
+    # for every row).
+    desc = Window.partitionBy(*SENT_KEYS, "clause_id").orderBy(F.col("i").desc())
+    clause = desc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = desc.rowsBetween(Window.unboundedPreceding, -1)
     kind = F.col("kind")
     pred_verb = F.min(F.when(kind == "verb", F.col("i"))).over(clause)
     pred_be = F.min(F.when(kind == "be", F.col("i"))).over(clause)
     pred_intj = F.min(F.when(kind == "intj", F.col("i"))).over(clause)
-    # "Next X after i" as a running minimum over the rows after i (descending order,
-    # frame up to the previous row): incremental, linear in the clause length.  A frame
-    # "1 following .. unbounded following" would be re-aggregated for every row.
-    after = Window.partitionBy(*SENT_KEYS, "clause_id").orderBy(F.col("i").desc()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
     head_like = ~kind.isin("adv", "adj")
     t = (t.withColumn("pred_i", F.coalesce(pred_verb, pred_be, pred_intj))
-          .withColumn("next_i", F.lead("i").over(corder))
-          .withColumn("next_kind", F.lead("kind").over(corder))
+          .withColumn("next_i", F.lag("i").over(desc))
+          .withColumn("next_kind", F.lag("kind").over(desc))
           .withColumn("next_noun_i", F.min(F.when(kind == "noun", F.col("i"))).over(after))
           .withColumn("_next_head", F.min(F.when(head_like, F.struct(F.col("i"), kind.alias("k")))).over(after))
           .withColumn("next_head_i", F.col("_next_head.i"))
