@@ -24,3 +24,19 @@ def test_bucketed_corpus_needs_no_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Exchange" not in plan
     assert e.count() > 0
+
+
+def test_text_path_has_only_the_one_repartition(spark):
+    docs = (spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("lang = 'en'")
+            .select(F.col("doc_id").alias("review_id"), F.col("text").alias("review_text")))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, s, tok = A.annotate_corpus(docs)
+        e = R.extract_aspects(s, tok, 6)
+        plan = e._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.catalog.clearCache()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and all("REPARTITION_BY_NUM" in line for line in exchanges)
