@@ -8,7 +8,6 @@ A bundle is a folder: ``vocab`` / ``prior`` (naive Bayes tables) or ``pipeline``
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import polarity as P
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import schema as S
 from ..functions import text as TX
 from ..operators.polarity import rating_to_polarity
 
