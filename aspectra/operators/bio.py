@@ -30,6 +30,16 @@ def is_explicit(aspects: Column) -> Column:
     return ~((F.size(aspects) > 1) & F.array_contains(aspects, S.NULL_ASPECT))
 
 
+def lists_aligned(*lists: Column) -> Column:
+    """Trap 29: the list-valued gold columns (aspect, polarity, position) have one entry
+    per aspect; false when their lengths differ."""
+    first = F.size(lists[0])
+    cond = F.lit(True)
+    for other in lists[1:]:
+        cond = cond & (F.size(other) == first)
+    return cond
+
+
 def aspect_type(aspects: Column) -> Column:
     """P10: 'non_aspect' for exactly ['NULL'], else 'aspect'."""
     return F.when((F.size(aspects) == 1) & (F.get(aspects, 0) == S.NULL_ASPECT),

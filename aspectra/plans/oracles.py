@@ -539,7 +539,9 @@ bio AS (
     o["bio_status_counts"] = g_with + "\nSELECT status, CAST(count(*) AS BIGINT) AS n FROM bio GROUP BY status"
     o["gold_quality_flags"] = g_with + (
         "\nSELECT review_id, NOT (len(asp) > 1 AND list_contains(asp, 'NULL')) AS is_explicit, "
-        "CASE WHEN len(asp) = 1 AND asp[1] = 'NULL' THEN 'non_aspect' ELSE 'aspect' END AS type_aspect FROM gi")
+        "CASE WHEN len(asp) = 1 AND asp[1] = 'NULL' THEN 'non_aspect' ELSE 'aspect' END AS type_aspect, "
+        "len(aspect) = len(list_transform(aspect, a -> ['positive', 'negative', 'neutral', 'conflict'][review_id % 4 + 1])) "
+        "AS lists_aligned FROM gi")
     o["token_length_filter"] = g_with + "\nSELECT review_id FROM bio WHERE status = 'ok' AND len(text_tokens) <= 32"
     o["parse_list_column"] = g_with + (
         "\nSELECT review_id, '[' || array_to_string(list_transform(aspect, a -> '''' || a || ''''), ', ') || ']' AS aspect_text, "

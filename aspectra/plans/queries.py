@@ -377,7 +377,8 @@ def q_gold_quality_flags(spark, sf):
     g = gold_items(spark, sf)
     a = B.impute_empty(F.col("aspect"))
     return finalize(g.select("review_id", B.is_explicit(a).alias("is_explicit"),
-                             B.aspect_type(a).alias("type_aspect")))
+                             B.aspect_type(a).alias("type_aspect"),
+                             B.lists_aligned(F.col("aspect"), F.col("polarity")).alias("lists_aligned")))
 
 
 def q_token_length_filter(spark, sf):

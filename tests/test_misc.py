@@ -42,3 +42,11 @@ def test_text_partitions_grow_with_input(spark):
     small = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert text_partitions(small) == spark.sparkContext.defaultParallelism
     assert text_partitions(small, bytes_per_partition=1024) > spark.sparkContext.defaultParallelism
+
+
+def test_lists_aligned_flags_unequal_gold_lists(spark):
+    from aspectra.operators import bio as B
+    df = spark.createDataFrame([(["a", "b"], ["positive", "negative"]), (["a", "b"], ["positive"])],
+                               "aspect array<string>, polarity array<string>")
+    got = [r.ok for r in df.select(B.lists_aligned(F.col("aspect"), F.col("polarity")).alias("ok")).collect()]
+    assert got == [True, False]
