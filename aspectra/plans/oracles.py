@@ -265,10 +265,10 @@ def _wc(x: str) -> str:
     return f"CASE WHEN {t} = '' THEN 0 ELSE len(string_split({t}, ' ')) END"
 
 
-def training_ctes() -> str:
+def training_ctes(source: str = LABELLED) -> str:
     """lr (labelled) -> iq (length filter) -> bal (balanced training set)."""
     return f"""
-lr AS ({LABELLED}),
+lr AS ({source}),
 lw AS (SELECT *, {_wc('review_text')} AS wc FROM lr WHERE review_text IS NOT NULL),
 qq AS (SELECT quantile_cont(wc, 0.25) AS q1, quantile_cont(wc, 0.75) AS q3 FROM lw),
 iq AS (SELECT lw.* FROM lw, qq WHERE wc > q1 AND wc < q3),
@@ -353,6 +353,23 @@ def _rule_select(n: int) -> str:
             f"rule, CAST(aspect_idx AS BIGINT) AS aspect_idx, CAST(aspect_i AS BIGINT) AS aspect_i FROM r{n}")
 
 
+_REPORT_SQL = """labs AS (SELECT y_true AS label FROM yy UNION SELECT y_pred FROM yy),
+per AS (
+  SELECT lb.label,
+    (SELECT count(*) FROM yy WHERE yy.y_true = lb.label AND yy.y_pred = lb.label)::DOUBLE AS tp,
+    (SELECT count(*) FROM yy WHERE yy.y_pred = lb.label)::DOUBLE AS np,
+    (SELECT count(*) FROM yy WHERE yy.y_true = lb.label)::DOUBLE AS sup
+  FROM labs lb),
+pr AS (SELECT label, CASE WHEN np = 0 THEN 0.0 ELSE tp / np END AS precision,
+              CASE WHEN sup = 0 THEN 0.0 ELSE tp / sup END AS recall, sup, tp FROM per),
+pf AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM pr)
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(sup AS BIGINT) AS support FROM pf
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(sup), 6), CAST(sum(sup) AS BIGINT) FROM pf
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(sup) AS BIGINT) FROM pf
+UNION ALL SELECT 'weighted avg', round(sum(precision * sup) / sum(sup), 6), round(sum(recall * sup) / sum(sup), 6),
+                 round(sum(f1 * sup) / sum(sup), 6), CAST(sum(sup) AS BIGINT) FROM pf"""
+
+
 def build() -> dict[str, str]:
     o: dict[str, str] = {}
     o["clean_corpus"] = f"SELECT doc_id, {clean_sql('text')} AS clean_text FROM documents"
@@ -475,22 +492,18 @@ yy AS (SELECT lr.review_id, lr.polarity AS y_true, CASE WHEN ds.prob >= 0.7 THEN
         "CAST(count(*) FILTER (WHERE y_pred = 'neutral') AS BIGINT) AS neutral, "
         "CAST(count(*) FILTER (WHERE y_pred = 'positive') AS BIGINT) AS positive FROM yy GROUP BY y_true")
     o["micro_f1"] = scored + "\nSELECT round(avg(CASE WHEN y_true = y_pred THEN 1.0 ELSE 0.0 END), 6) AS micro_f1 FROM yy"
-    o["classification_report"] = scored + """,
-labs AS (SELECT y_true AS label FROM yy UNION SELECT y_pred FROM yy),
-per AS (
-  SELECT lb.label,
-    (SELECT count(*) FROM yy WHERE yy.y_true = lb.label AND yy.y_pred = lb.label)::DOUBLE AS tp,
-    (SELECT count(*) FROM yy WHERE yy.y_pred = lb.label)::DOUBLE AS np,
-    (SELECT count(*) FROM yy WHERE yy.y_true = lb.label)::DOUBLE AS sup
-  FROM labs lb),
-pr AS (SELECT label, CASE WHEN np = 0 THEN 0.0 ELSE tp / np END AS precision,
-              CASE WHEN sup = 0 THEN 0.0 ELSE tp / sup END AS recall, sup, tp FROM per),
-pf AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM pr)
-SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(sup AS BIGINT) AS support FROM pf
-UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(sup), 6), CAST(sum(sup) AS BIGINT) FROM pf
-UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(sup) AS BIGINT) FROM pf
-UNION ALL SELECT 'weighted avg', round(sum(precision * sup) / sum(sup), 6), round(sum(recall * sup) / sum(sup), 6),
-                 round(sum(f1 * sup) / sum(sup), 6), CAST(sum(sup) AS BIGINT) FROM pf"""
+    o["classification_report"] = scored + ",\n" + _REPORT_SQL
+    heldout_src = f"""WITH base AS (SELECT * FROM ({LABELLED}) WHERE polarity IN ('positive', 'negative')),
+rk AS (SELECT *, row_number() OVER (PARTITION BY polarity ORDER BY md5('100:' || CAST(review_id AS VARCHAR)), review_id) AS rn,
+              count(*) OVER (PARTITION BY polarity) AS n FROM base)
+SELECT review_id, source, review_text, polarity, rn <= ceil(n * 0.2) AS is_valid FROM rk"""
+    held = _with(f"sp AS ({heldout_src})",
+                 training_ctes("SELECT review_id, source, review_text, polarity FROM sp WHERE NOT is_valid"),
+                 nb_ctes(), doc_score_ctes("SELECT review_id, review_text FROM sp WHERE is_valid")) + """,
+yy AS (SELECT sp.review_id, sp.polarity AS y_true, CASE WHEN ds.prob >= 0.7 THEN ds.label ELSE 'neutral' END AS y_pred
+       FROM sp JOIN ds ON ds.review_id = sp.review_id WHERE sp.is_valid),
+""" + _REPORT_SQL
+    o["heldout_report"] = held
     o["roc_auc"] = scored + """,
 sc AS (SELECT round(CASE WHEN label = 'positive' THEN prob ELSE 1 - prob END, 6) AS s, y_true = 'positive' AS is_pos FROM yy),
 g AS (SELECT s, sum(CASE WHEN is_pos THEN 1 ELSE 0 END) AS npos, sum(CASE WHEN is_pos THEN 0 ELSE 1 END) AS nneg FROM sc GROUP BY s),

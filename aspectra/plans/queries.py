@@ -439,6 +439,20 @@ def _scored_labels(spark, sf):
         sc.select("review_id", F.col("sentiment").alias("y_pred"), "label", "prob"), "review_id")
 
 
+def q_heldout_report(spark, sf):
+    """E8 on the held-out split: stratified 80/20 split of the labelled reviews, naive
+    Bayes trained on the training part (M1 chain), report on the validation part."""
+    lr = labelled_reviews(spark, sf).filter(F.col("polarity").isin(S.POSITIVE, S.NEGATIVE))
+    sp = SA.stratified_split(lr, "review_id", "polarity")
+    train = sp.filter(F.col("split") == "train").drop("split")
+    valid = sp.filter(F.col("split") == "valid").drop("split")
+    m = P.nb_train(P.polarity_training_set(train))
+    sc = P.polarity_score(valid, m, threshold=S.NEUTRAL_THRESHOLD)
+    y = valid.select("review_id", F.col("polarity").alias("y_true")).join(
+        sc.select("review_id", F.col("sentiment").alias("y_pred")), "review_id")
+    return finalize(EV.classification_report(y))
+
+
 def q_classification_report(spark, sf):
     return finalize(EV.classification_report(_scored_labels(spark, sf)))
 
@@ -582,6 +596,7 @@ QUERIES: dict[str, Query] = {
     "tagger_predict": q_tagger_predict,
     "predict_aux": q_predict_aux,
     "classification_report": q_classification_report,
+    "heldout_report": q_heldout_report,
     "confusion_matrix": q_confusion_matrix,
     "micro_f1": q_micro_f1,
     "roc_auc": q_roc_auc,
