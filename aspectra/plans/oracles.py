@@ -665,7 +665,7 @@ FROM p"""
     o["read_app_reviews"] = f"""WITH lr AS ({LABELLED}), n AS (SELECT count(*) AS n FROM part),
 rv AS (SELECT p.p_name AS app, lr.review_text, lr.polarity FROM lr CROSS JOIN n JOIN part p ON p.p_partkey = lr.review_id % n.n + 1)
 SELECT 'google-play' AS source, a.p_name AS product_name, rv.review_text,
-       CASE rv.polarity WHEN 'positive' THEN 0.5 WHEN 'negative' THEN -0.5 ELSE 0.0 END AS rating, rv.polarity
+       CAST(CASE rv.polarity WHEN 'positive' THEN 0.5 WHEN 'negative' THEN -0.5 ELSE 0.0 END AS DOUBLE) AS rating, rv.polarity
 FROM part a JOIN rv ON rv.app = a.p_name"""
     o["read_gold_xml"] = g_with + """
 SELECT review_text, array_to_string(aspect, '|') AS aspect,

@@ -527,7 +527,7 @@ def q_polarity_accuracy(spark, sf):
 def q_lr_history(spark, sf):
     from ..operators import models as MD
     model = P.lr_train(P.polarity_training_set(labelled_reviews(spark, sf)))
-    return MD.training_history(spark, model)
+    return finalize(MD.training_history(spark, model))
 
 
 def q_production_split(spark, sf):
