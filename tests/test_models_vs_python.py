@@ -126,3 +126,23 @@ def test_relational_window_bounds_match_python(spark):
             n_tok, positions = sentences[r.sent_id]
             s = sorted(positions) if keep else sorted(set(positions))
             assert (r.win_left, r.win_right) == py_window(s, r.aspect_i, n_tok, 6), (positions, r.aspect_i, keep)
+
+
+def test_distributed_rank_matches_row_number_with_a_hot_group(spark):
+    from pyspark.sql import Window
+
+    from aspectra.operators.stats import histogram_quantiles, rank_within_groups
+    rnd = random.Random(3)
+    rows = [(i, "hot" if rnd.random() < 0.7 else rnd.choice(["a", "b", "c"]), rnd.randint(0, 50)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, g string, v int")
+    exp = {r.id: r.rn for r in df.withColumn(
+        "rn", F.row_number().over(Window.partitionBy("g").orderBy("v", "id"))).collect()}
+    for parts in (1, 7, 16):
+        got = {r.id: r.rn for r in rank_within_groups(df, ["g"], ["v", "id"], num_partitions=parts).collect()}
+        assert got == exp, parts
+    # exact quantiles from the histogram equal numpy's linear interpolation
+    import numpy as np
+    q = {r.g: (r.q25, r.q75) for r in histogram_quantiles(df, "v", [0.25, 0.75], ["g"], ["q25", "q75"]).collect()}
+    for g in q:
+        vals = [v for _, gg, v in rows if gg == g]
+        assert q[g] == (float(np.quantile(vals, 0.25)), float(np.quantile(vals, 0.75)))
