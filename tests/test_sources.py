@@ -88,3 +88,14 @@ def test_rejects_and_required_columns(spark):
         [(1, "null_text"), (2, "blank_text")]
     with pytest.raises(ValueError):
         require_columns(df, ["review_id", "aspect"], "test")
+
+
+def test_reviews_dataset_legacy_csv(spark):
+    d = _dir()
+    _write(f"{d}/reviews_dataset.csv", ";source;product_name;review_text;rating;polarity\n"
+                                       "0;google-play;A1;nice app;0.5;positive\n"
+                                       "1;lara-tripadvisor;h1;;1.0;negative\n")
+    rows = RD.read_reviews_dataset(spark, f"{d}/reviews_dataset.csv").orderBy("product_name").collect()
+    assert [(r.source, r.product_name, r.rating, r.polarity) for r in rows] == \
+        [("google-play", "A1", 0.5, "positive"), ("lara-tripadvisor", "h1", 1.0, "negative")]
+    assert rows[1].review_text is None  # dropped later by the null-text filter (P4)
