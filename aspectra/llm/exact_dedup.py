@@ -51,9 +51,9 @@ def frequent_candidates(digests: DataFrame, sha: str = _SHA) -> DataFrame:
     """64-bit keys of the digests a Misra-Gries summary reports, at most MAX_HEAVY rows."""
     parts = digests.groupBy((F.spark_partition_id() % MERGE_FAN).alias("g")).agg(
         F.expr(f"approx_top_k_accumulate(xxhash64({sha}), {SKETCH_ITEMS})").alias("s"))
-    merged = parts.agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
-    return (merged.filter("s IS NOT NULL")
-            .select(F.explode(F.expr(f"approx_top_k_estimate(s, {MAX_HEAVY})")).alias("e"))
+    # a keyed aggregate: a global one would also merge the empty summaries of empty partitions
+    merged = parts.groupBy(F.lit(1).alias("one")).agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
+    return (merged.select(F.explode(F.expr(f"approx_top_k_estimate(s, {MAX_HEAVY})")).alias("e"))
             .select(F.col("e.item").alias("__dd_key"), F.col("e.count").alias("__dd_est"))
             .filter("__dd_key IS NOT NULL AND __dd_est >= 2"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, quality
+from . import bpe_chunks, exact_dedup, packing, quality, token_counts
 from .common import documents
 
 
@@ -12,6 +12,14 @@ def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
 
+def op5_byte_bpe(spark, sf_dir):
+    return bpe_chunks.round_trip_digests(bpe_chunks.encode(documents(spark, sf_dir)))
+
+
+def op7_token_counts(spark, sf_dir):
+    return token_counts.token_counts(documents(spark, sf_dir))
+
+
 def op8_quality_rules(spark, sf_dir):
     led = quality.ledger(documents(spark, sf_dir))
     return led.select(
@@ -19,7 +27,14 @@ def op8_quality_rules(spark, sf_dir):
         (~quality.passes("base", 1)).alias("base_failed"), quality.passes("web", 2).alias("kept"), "fail_mask")
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_exact_dedup, op8_quality_rules)}
+def op10_packing(spark, sf_dir):
+    pieces = packing.pack(documents(spark, sf_dir))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
+LLM_QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op5_byte_bpe, op7_token_counts, op8_quality_rules, op10_packing)}
 
 LLM_ORACLES = {
     "op1_exact_dedup": """
