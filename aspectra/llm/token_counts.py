@@ -64,7 +64,8 @@ def prove_whole_tokens(path: str) -> frozenset[str]:
 
 @lru_cache(maxsize=1)
 def _plain_patterns():
-    cats = {chr(c): unicodedata.category(chr(c)) for c in range(PLAIN_END)}
+    plain = "".join(map(chr, range(PLAIN_END)))
+    cats = {c: unicodedata.category(c) for c in plain + plain.lower()}   # some lower-case beyond the range
     cls = lambda chars: "".join(re.escape(c) for c in chars)
     letters = cls(c for c, k in cats.items() if k[0] == "L")
     numbers = cls(c for c, k in cats.items() if k[0] == "N")
