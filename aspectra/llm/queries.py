@@ -4,18 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, exact_dedup, packing, quality, token_counts
-from .common import documents
+from . import bpe_chunks, exact_dedup, langid, order_minhash, packing, quality, secret_scan, token_counts, toxicity, warc
+from .common import documents, held_out, ready, run_folder
 
 
 def op1_exact_dedup(spark, sf_dir):
     return exact_dedup.duplicate_groups(documents(spark, sf_dir))
 
 
+def op2_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(toxicity.training_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op3_secret_scan(spark, sf_dir):
+    found = secret_scan.scan(documents(spark, sf_dir))
+    joined = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
+    return found.select("doc_id", *[of(k).alias(f"n_{k}") for k in secret_scan.BASE],
+                        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op4_warc(spark, sf_dir):
+    pages = ready(spark).read.parquet(f"{sf_dir}/pages.parquet")
+    index = warc.write_archives(pages, run_folder(spark, "warc"))
+    back = warc.read_records(index, with_payload=False)
+    return back.select(F.col("record_id").try_cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+                       "record_type", F.col("refers_to").try_cast("long").alias("refers_to"))
+
+
 def op5_byte_bpe(spark, sf_dir):
     return bpe_chunks.round_trip_digests(bpe_chunks.encode(documents(spark, sf_dir)))
 
 
+def op6_order_minhash(spark, sf_dir):
+    return order_minhash.near_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", "class_id", "class_size", "n_words", "kept")
+
+
 def op7_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents(spark, sf_dir))
 
@@ -27,6 +58,12 @@ def op8_quality_rules(spark, sf_dir):
         (~quality.passes("base", 1)).alias("base_failed"), quality.passes("web", 2).alias("kept"), "fail_mask")
 
 
+def op9_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = langid.train(langid.training_rows(docs))
+    return langid.predict(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op10_packing(spark, sf_dir):
     pieces = packing.pack(documents(spark, sf_dir))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -34,7 +71,7 @@ def op10_packing(spark, sf_dir):
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op5_byte_bpe, op7_token_counts, op8_quality_rules, op10_packing)}
+    op1_exact_dedup, op2_toxicity, op3_secret_scan, op4_warc, op5_byte_bpe, op6_order_minhash, op7_token_counts, op8_quality_rules, op9_language_id, op10_packing)}
 
 LLM_ORACLES = {
     "op1_exact_dedup": """
@@ -46,6 +83,20 @@ LLM_ORACLES = {
         FROM documents
         WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op4_warc": r"""
+        WITH p AS (
+          SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+        q AS (
+          SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id,
+                 list_transform(range(0, 8), lambda g: ('0x' || substr(x, (5 * g + 1)::BIGINT, 5))::BIGINT) AS n
+          FROM p)
+        SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+               array_to_string(list_transform(n, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+                 lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+        FROM q
+    """,
     "op8_quality_rules": r"""
         WITH d AS (
           SELECT doc_id, coalesce(text, '') AS t,
