@@ -29,22 +29,18 @@ TOKEN_PATTERN = ("(" + NT_MARK + "?n't|'(?:s|ve|re|d|ll|m)\\b|[A-Za-z0-9]+|[(),:
 # ---------------------------------------------------------------------------------------
 # T2 accent folding
 # ---------------------------------------------------------------------------------------
-def _in_expansion_blocks(cp: int) -> bool:
-    # Latin letters, general punctuation, currency, alphabetic presentation forms.
-    return cp < 0x2100 or 0xFB00 <= cp <= 0xFB4F
-
-
 @lru_cache(maxsize=1)
 def accent_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """(from_chars, to_chars, expansions) derived from Unicode NFKD by rule.
+    """(from_chars, to_chars, expansions) derived from Unicode NFKD by rule, over every
+    code point.
 
-    Every BMP character whose NFKD form reduces to exactly one ASCII character goes into
-    a single ``translate``; characters of the Latin and punctuation blocks whose NFKD
-    form reduces to several ASCII characters become ``replace`` steps; every other
-    non-ASCII character is deleted afterwards, which is what NFKD + ASCII-ignore does.
+    Characters whose NFKD form reduces to exactly one ASCII character go into a single
+    ``translate``; those that reduce to several become a lookup per character, used for
+    the rows that hold one; every other non-ASCII character is deleted afterwards, which
+    is what NFKD + ASCII-ignore does.
     """
     src, dst, exp = [], [], []
-    for cp in range(0x80, 0x10000):
+    for cp in range(0x80, 0x110000):
         if 0xD800 <= cp <= 0xDFFF:
             continue
         ch = chr(cp)
@@ -52,7 +48,7 @@ def accent_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
         if len(folded) == 1:
             src.append(ch)
             dst.append(folded)
-        elif len(folded) > 1 and _in_expansion_blocks(cp):
+        elif len(folded) > 1:
             exp.append((ch, folded))
     return "".join(src), "".join(dst), tuple(exp)
 
@@ -60,9 +56,10 @@ def accent_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
 def fold_accents(col: Column) -> Column:
     """NFKD + drop non-ASCII, as column expressions (no UDF)."""
     src, dst, exp = accent_tables()
-    expanded = col
-    for ch, rep in exp:
-        expanded = F.replace(expanded, F.lit(ch), F.lit(rep))
+    table = F.create_map(*[F.lit(x) for pair in exp for x in pair])
+    chars = F.regexp_extract_all(col, F.lit("(?s)."), F.lit(0))
+    expanded = F.array_join(F.transform(chars, lambda c: F.when(c < "\u0080", c).otherwise(
+        F.coalesce(F.element_at(table, c), c))), "")
     # cheap presence test for the rare multi-character expansions (a translate that
     # deletes them shortens the text), instead of a regex scan
     exp_chars = "".join(ch for ch, _ in exp)
@@ -82,16 +79,6 @@ def fold_accents_exact(s):  # pragma: no cover - exercised in tests only
 # ---------------------------------------------------------------------------------------
 # T1-T8 cleaning
 # ---------------------------------------------------------------------------------------
-def keep_whitelist(col: Column) -> Column:
-    """Characters outside ``A-Za-z0-9(),:;!?'`` and backtick become a space."""
-    return F.regexp_replace(col, NON_WHITELIST, " ")
-
-
-def squeeze_spaces(col: Column) -> Column:
-    """T4: collapse whitespace runs to one space and trim."""
-    return F.trim(F.regexp_replace(col, r"\s+", " "))
-
-
 # ASCII characters outside the whitelist (T3 on text that is already pure ASCII).
 _ASCII_NON_WHITELIST = "".join(chr(c) for c in range(128)
                                if not (chr(c).isascii() and (chr(c).isalnum() or chr(c) in "(),:;!?'`")))
@@ -141,21 +128,20 @@ def word_count(col: Column) -> Column:
     return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, " "))).cast("bigint")
 
 
-def label_canon(col: Column) -> Column:
-    """Lower-case label, null -> 'none'."""
-    return F.lower(F.coalesce(col, F.lit("None")))
-
-
 def parse_list_literal(col: Column) -> Column:
-    """T20: "['a', 'b']" -> array('a','b'); null when the text is not a plain list.
-
-    Items containing a quote character make the quote swap ambiguous; such rows give
-    null so the caller can route them to a rejects table.
-    """
-    body = F.regexp_extract(col, r"^\s*\[(.*)\]\s*$", 1)
-    plain = col.rlike(r"^\s*\[\s*('[^'\"]*'\s*(,\s*'[^'\"]*'\s*)*)?\]\s*$")
-    items = F.regexp_extract_all(body, F.lit(r"'([^'\"]*)'"), F.lit(1))
-    return F.when(plain, items)
+    """T20: "['a', \"chef's\"]" -> array('a', "chef's"); null when the text is not a list
+    of quoted strings.  Items are in single or double quotes with backslash escapes."""
+    item = r"(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'" + r'|"[^"\\]*+(?:\\.[^"\\]*+)*+")'
+    is_list = col.rlike(rf"(?s)^\s*\[\s*(?:{item}\s*(?:,\s*{item}\s*)*+)?\]\s*$")
+    items = F.regexp_extract_all(col, F.lit("(?s)" + item), F.lit(0))
+
+    def value(x: Column) -> Column:
+        v = F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit("\\\\"), F.lit(NT_MARK))
+        for esc, ch in (("\\n", "\n"), ("\\t", "\t"), ("\\r", "\r")):
+            v = F.replace(v, F.lit(esc), F.lit(ch))
+        return F.replace(F.regexp_replace(v, r"\\(.)", "$1"), F.lit(NT_MARK), F.lit("\\"))
+
+    return F.when(is_list, F.transform(items, value))
 
 
 # ---------------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ Partitioning plan: reviews are hash-partitioned by ``review_id`` once (the one s
 of the text path) *before* sentences and tokens are exploded, so every later window,
 aggregate and self-join keyed by ``(review_id, sent_id, ...)`` finds its required
 distribution already satisfied (a hash partitioning on ``review_id`` satisfies any
-clustering that contains ``review_id``).  Token rows are never shuffled.
+clustering that contains ``review_id``).  Ids keep the caller's type.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ def prepare_reviews(reviews: DataFrame, id_col: str = "review_id", text_col: str
     """
     from ..session import text_partitions
     S.require_columns(reviews, [id_col, text_col], "prepare_reviews")
-    r = reviews.select(F.col(id_col).cast("bigint").alias("review_id"),
+    r = reviews.select(F.col(id_col).alias("review_id"),
                        F.col(text_col).alias("review_text"))
     # sized from the input files (not a fixed shuffle setting): the cached sentences and
     # tokens keep this partitioning for the rest of the text path
@@ -54,7 +54,7 @@ def split_sentences(reviews: DataFrame, id_col: str = "review_id",
     Sentences whose cleaned text is empty are kept (they yield the all-null aspect row).
     """
     if assume_partitioned:
-        r = reviews.select(F.col(id_col).cast("bigint").alias("review_id"),
+        r = reviews.select(F.col(id_col).alias("review_id"),
                            F.col(text_col).alias("review_text"))
     else:
         r = prepare_reviews(reviews, id_col, text_col, num_partitions)

@@ -56,6 +56,7 @@ def _fold_sql(words_col: str, asp_col: str, compat_null: bool) -> str:
              f"WHEN j = p[0] THEN IF(b.labels[greatest(p[0] - 1, 0)] IN ('B', 'I'), 'I', 'B') "
              f"WHEN j > p[0] AND j < p[0] + size(p) THEN 'I' ELSE l END), 'status', 'ok')")
     step = (f"(acc, a) -> CASE WHEN acc.status <> 'ok' THEN acc "
+            f"WHEN size(a) = 0 THEN named_struct('labels', acc.labels, 'status', '{S.STATUS_CORRUPTED}') "
             f"WHEN size(a) = 1 AND array_position({words_col}, a[0]) = 0 "
             f"THEN named_struct('labels', acc.labels, 'status', '{S.STATUS_CORRUPTED}') "
             f"WHEN size(a) = 1 THEN {one_word} "
@@ -80,7 +81,7 @@ def bio_tags(df: DataFrame, text_col: str = "review_text", aspect_col: str = "as
     ``status`` (ok | implicit_aspect | corrupted | aspect_multi_occurrence).
 
     Aspects are applied in order (later ones overwrite); the first failure decides the
-    status.  ``compat_null`` reproduces the substring test for 'NULL' (so an aspect
+    status.  An aspect without a token (punctuation only) is corrupted.  ``compat_null`` reproduces the substring test for 'NULL' (so an aspect
     starting with N, U, L, LL ... counts as null)."""
     S.require_columns(df, [text_col, aspect_col], "bio_tags")
     x = (df.withColumn("text_tokens", words(F.col(text_col)))

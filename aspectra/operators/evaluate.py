@@ -1,8 +1,8 @@
 """Metrics and evaluations.
 
 Every metric starts with a pre-aggregation whose size is bounded by the label set (or
-by the number of distinct 6-digit scores for ROC), so nothing proportional to the data
-is ever gathered in one task.
+by running totals over range partitions for ROC), so nothing proportional to the data is
+ever gathered in one task.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from .stats import histogram_quantiles
+from .stats import histogram_quantiles, running_totals
 
 
 def accuracy(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
@@ -76,30 +76,36 @@ def micro_f1(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> D
                                          F.lit(0.0)), 6).alias("micro_f1"))
 
 
-def roc_points(df: DataFrame, score_col: str, is_pos_col: str) -> DataFrame:
-    """A13 curve: per distinct threshold (score rounded to 6 digits, descending) the
-    cumulative tpr and fpr.  The grouped table has at most 10^6 + 1 rows per unit of
-    score range, so the ordered window runs over a bounded table."""
-    g = (df.groupBy(F.round(F.col(score_col), 6).alias("threshold"))
+# Scores that agree to this many digits are ties: sums of the same numbers in another
+# order differ in the last bits.
+TIE_DIGITS = 9
+
+
+def _roc_groups(df: DataFrame, score_col: str, is_pos_col: str) -> DataFrame:
+    """Distinct scores, descending, with counts and the counts above them (running totals
+    over range partitions: no single task sees all scores)."""
+    g = (df.groupBy(F.round(F.col(score_col), TIE_DIGITS).alias("threshold"))
          .agg(F.sum(F.col(is_pos_col).cast("long")).alias("npos"),
               F.sum((~F.col(is_pos_col)).cast("long")).alias("nneg")))
-    w = Window.orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy()
-    return (g.withColumn("tp", F.sum("npos").over(w)).withColumn("fp", F.sum("nneg").over(w))
-             .withColumn("tpr", F.col("tp") / F.sum("npos").over(tot))
-             .withColumn("fpr", F.col("fp") / F.sum("nneg").over(tot)))
+    return running_totals(g, "threshold", ["npos", "nneg"], descending=True)
+
+
+def roc_points(df: DataFrame, score_col: str, is_pos_col: str) -> DataFrame:
+    """A13 curve: per distinct threshold (descending) the cumulative tpr and fpr."""
+    g = _roc_groups(df, score_col, is_pos_col)
+    tot = g.agg(F.sum("npos").alias("p"), F.sum("nneg").alias("n")).first()
+    rate = lambda c, n: F.try_divide(F.col(c), F.lit(n or 0).cast("double"))
+    return g.select("threshold", F.col("npos_total").alias("tp"), F.col("nneg_total").alias("fp"),
+                    rate("npos_total", tot["p"]).alias("tpr"), rate("nneg_total", tot["n"]).alias("fpr"))
 
 
 def roc_auc(df: DataFrame, score_col: str, is_pos_col: str) -> DataFrame:
     """A13 AUC (one class against the rest), ties counted half: trapezoid rule."""
-    g = (df.groupBy(F.round(F.col(score_col), 6).alias("s"))
-         .agg(F.sum(F.col(is_pos_col).cast("long")).alias("npos"),
-              F.sum((~F.col(is_pos_col)).cast("long")).alias("nneg")))
-    w = Window.orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("above", F.coalesce(F.sum("npos").over(w), F.lit(0)))
-    return g.agg(F.sum("npos").cast("bigint").alias("n_pos"), F.sum("nneg").cast("bigint").alias("n_neg"),
-                 F.round(F.sum(F.col("nneg") * (F.col("above") + 0.5 * F.col("npos")))
-                         / (F.sum("npos") * F.sum("nneg")), 6).alias("auc"))
+    g = _roc_groups(df, score_col, is_pos_col).withColumn("above", F.col("npos_total") - F.col("npos"))
+    area = F.sum(F.col("nneg") * (F.col("above") + 0.5 * F.col("npos")))
+    return g.agg(F.coalesce(F.sum("npos"), F.lit(0)).cast("bigint").alias("n_pos"),
+                 F.coalesce(F.sum("nneg"), F.lit(0)).cast("bigint").alias("n_neg"),
+                 F.try_divide(area, (F.sum("npos") * F.sum("nneg")).cast("double")).alias("auc"))
 
 
 # ---------------------------------------------------------------------------------------
@@ -166,12 +172,20 @@ def label_index(df: DataFrame, label_col: str) -> DataFrame:
 
 
 def encode_labels(df: DataFrame, index: DataFrame, label_col: str) -> DataFrame:
-    """J7 encode; an unknown label is an error (checked with a count of misses)."""
-    j = df.join(F.broadcast(index.withColumnRenamed("label", label_col)), label_col, "left")
-    missing = j.filter(F.col("label_id").isNull() & F.col(label_col).isNotNull()).limit(1).count()
-    if missing:
-        raise ValueError(f"unknown label in column {label_col}")
-    return j
+    """J7 encode: adds ``label_id``.  An unknown label fails the job that meets it; a null
+    label stays null."""
+    j = df.join(index.withColumnRenamed("label", label_col), label_col, "left")
+    unknown = F.col("label_id").isNull() & F.col(label_col).isNotNull()
+    wrong = F.raise_error(F.concat(F.lit(f"unknown label in column {label_col}: "), F.col(label_col)))
+    return j.withColumn("label_id", F.when(unknown, wrong.cast("bigint")).otherwise(F.col("label_id")))
+
+
+def decode_labels(df: DataFrame, index: DataFrame, id_col: str = "label_id", label_col: str = "label") -> DataFrame:
+    """J7 decode: adds the label of an id; an unknown id fails the job that meets it."""
+    j = df.join(index.select(F.col("label_id").alias(id_col), F.col("label").alias(label_col)), id_col, "left")
+    unknown = F.col(label_col).isNull() & F.col(id_col).isNotNull()
+    wrong = F.raise_error(F.concat(F.lit(f"unknown id in column {id_col}: "), F.col(id_col).cast("string")))
+    return j.withColumn(label_col, F.when(unknown, wrong.cast("string")).otherwise(F.col(label_col)))
 
 
 def eval_polarity(base: DataFrame) -> DataFrame:

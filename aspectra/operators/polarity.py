@@ -14,10 +14,9 @@ from ..functions import text as TX
 from ..session import cut_lineage
 from .stats import histogram_quantiles, rank_within_groups
 
-SCORE_CLAMP = 30.0
-# Vocabulary tables up to this many rows are broadcast to the token join; larger ones
-# are joined with a shuffle on the word (AQE splits hot words).
-MAX_BROADCAST_VOCAB = 2_000_000
+# The most frequent words, up to this many bytes, are broadcast to the token join; tokens
+# not among them are joined by a shuffle on the word (none of those words is frequent).
+HEAD_BYTES = 32 << 20
 
 
 # ---------------------------------------------------------------------------------------
@@ -97,7 +96,7 @@ def polarity_training_set(reviews: DataFrame, text_col: str = "review_text",
 class NaiveBayesModel:
     """``vocab``: word, n_pos, n_neg, lo.  ``prior_lo``: log prior odds (a number)."""
     vocab: DataFrame
-    prior_lo: float | None
+    prior_lo: float
 
     def words(self) -> DataFrame:
         return self.vocab.select(F.col("word"), F.col("lo"))
@@ -134,23 +133,51 @@ def nb_train(train: DataFrame, text_col: str = "review_text", label_col: str = "
     docs = train.agg(F.sum((F.col(label_col) == S.POSITIVE).cast("long")).alias("d_pos"),
                      F.sum((F.col(label_col) == S.NEGATIVE).cast("long")).alias("d_neg")).first()
     d_pos, d_neg = docs["d_pos"] or 0, docs["d_neg"] or 0
-    prior_lo = math.log(d_pos / d_neg) if d_pos and d_neg else None
-    return NaiveBayesModel(vocab, prior_lo)
-
-
-def _vocab_side(model: NaiveBayesModel, max_rows: int = MAX_BROADCAST_VOCAB) -> DataFrame:
-    """Word -> lo table, broadcast only when its row count is within ``max_rows``."""
-    w = model.words()
-    n = w.count()  # the model is materialised: this count reads a small checkpoint
-    return F.broadcast(w) if n <= max_rows else w
+    if not d_pos or not d_neg:
+        raise ValueError("nb_train needs positive and negative reviews")
+    return NaiveBayesModel(vocab, math.log(d_pos / d_neg))
+
+
+def _frequent_words(model: NaiveBayesModel, max_bytes: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(head, tail): word and lo of the words above a frequency, within ``max_bytes`` (so
+    the head may be broadcast), and of the others (None if there are none)."""
+    max_bytes = HEAD_BYTES if max_bytes is None else max_bytes
+    n = F.col("n_pos") + F.col("n_neg")
+    # bytes by power of two of the frequency: at most 64 rows
+    sizes = (model.vocab.groupBy(F.floor(F.log2(n.cast("double"))).cast("int").alias("k"))
+             .agg(F.sum(F.octet_length("word") + 24).alias("b")).orderBy(F.desc("k")).collect())
+    floor, total = None, 0
+    for r in sizes:
+        total += r["b"]
+        if total > max_bytes:
+            break
+        floor = r["k"]
+    words = model.vocab.select("word", "lo", n.alias("_n"))
+    if total <= max_bytes:
+        return words.select("word", "lo"), None
+    least = F.lit(2.0 ** floor if floor is not None else float("inf"))
+    return (words.filter(F.col("_n") >= least).select("word", "lo"),
+            words.filter(F.col("_n") < least).select("word", "lo"))
+
+
+def with_log_odds(rows: DataFrame, model: NaiveBayesModel, word: Column, max_bytes: int | None = None) -> DataFrame:
+    """``rows`` plus ``lo`` of their word (0 for unknown words and null).  Frequent words
+    are settled on the map side; only rows with other words are shuffled by the word."""
+    head, tail = _frequent_words(model, max_bytes)
+    r = rows.withColumn("_word", word)
+    j = r.join(F.broadcast(head.withColumnRenamed("word", "_word")), "_word", "left")
+    if tail is not None:
+        known = F.col("lo").isNotNull() | F.col("_word").isNull()
+        rest = j.filter(~known).drop("lo").join(tail.withColumnRenamed("word", "_word"), "_word", "left")
+        j = j.filter(known).unionByName(rest)
+    return j.withColumn("lo", F.coalesce("lo", F.lit(0.0))).drop("_word")
 
 
 def probability_columns(score: Column, threshold: float | None = S.NEUTRAL_THRESHOLD):
-    """(label, prob, sentiment) from a log-odds score; prob rounded to 6 digits."""
-    s = F.greatest(F.least(score, F.lit(SCORE_CLAMP)), F.lit(-SCORE_CLAMP))
-    p = 1.0 / (1.0 + F.exp(-s))
+    """(label, prob, sentiment) from a log-odds score."""
+    p = 1.0 / (1.0 + F.exp(-score))
     label = F.when(p >= 0.5, F.lit(S.POSITIVE)).otherwise(F.lit(S.NEGATIVE))
-    prob = F.round(F.greatest(p, 1.0 - p), 6)
+    prob = F.greatest(p, 1.0 - p)
     sentiment = neutral_threshold(label, prob, threshold) if threshold is not None else label
     return label, prob, sentiment
 
@@ -158,22 +185,22 @@ def probability_columns(score: Column, threshold: float | None = S.NEUTRAL_THRES
 def token_scores(tokens: DataFrame, model: NaiveBayesModel) -> DataFrame:
     """Token table + ``lo`` (0 for unknown words) + ``cum_lo`` (running sum in the
     sentence) so that any token span [l, r) scores as cum(r-1) - cum(l) + lo(l)."""
-    v = _vocab_side(model)
-    t = (tokens.join(v, F.lower(tokens["text"]) == v["word"], "left").drop("word")
-         .withColumn("lo", F.coalesce(F.col("lo"), F.lit(0.0))))
+    t = with_log_odds(tokens, model, F.lower("text"))
     w = Window.partitionBy("review_id", "sent_id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     return t.withColumn("cum_lo", F.sum("lo").over(w))
 
 
 def polarity_score(docs: DataFrame, model: NaiveBayesModel, key_col: str = "review_id",
                    text_col: str = "review_text", threshold: float | None = None) -> DataFrame:
-    """M3 (b): score whole texts: prior + sum of word log-odds -> label, prob."""
-    v = _vocab_side(model)
+    """M3 (b): score whole texts: prior + sum of word log-odds -> score, label, prob.
+
+    Null and blank texts get no prediction (``predict.reject_reviews`` lists them)."""
+    docs = docs.filter(F.col(text_col).rlike(r"\S"))
     words = docs.select(key_col, F.explode_outer(words_of(F.col(text_col))).alias("word"))
-    s = (words.join(v, "word", "left")
-         .groupBy(key_col).agg(F.sum(F.coalesce(F.col("lo"), F.lit(0.0))).alias("_sum")))
-    label, prob, sentiment = probability_columns(model.prior() + F.col("_sum"), threshold)
-    out = s.select(key_col, label.alias("label"), prob.alias("prob"))
+    s = (with_log_odds(words, model, F.col("word"))
+         .groupBy(key_col).agg((model.prior() + F.sum("lo")).alias("score")))
+    label, prob, sentiment = probability_columns(F.col("score"), threshold)
+    out = s.select(key_col, "score", label.alias("label"), prob.alias("prob"))
     if threshold is not None:
         out = out.withColumn("sentiment", neutral_threshold(F.col("label"), F.col("prob"), threshold))
     return out
@@ -216,7 +243,6 @@ def lr_score(model, docs: DataFrame, key_col: str = "review_id", text_col: str =
     # L3: class probabilities sorted descending; the first one is the prediction
     probs = F.sort_array(F.arrays_zip(arr.alias("prob"), names.alias("label")), asc=False)
     out = p.select(key_col, F.get(probs, 0)["prob"].alias("prob"), F.get(probs, 0)["label"].alias("label"))
-    out = out.withColumn("prob", F.round("prob", 6))
     if threshold is not None:
         out = out.withColumn("sentiment", neutral_threshold(F.col("label"), F.col("prob"), threshold))
     return out

@@ -25,7 +25,7 @@ def reject_reviews(reviews: DataFrame, id_col: str = "review_id",
     t = F.col(text_col)
     reason = (F.when(t.isNull(), F.lit("null_text"))
                .when(~t.rlike(r"\S"), F.lit("blank_text")))
-    return (reviews.select(F.col(id_col).cast("bigint").alias("review_id"), reason.alias("reason"))
+    return (reviews.select(F.col(id_col).alias("review_id"), reason.alias("reason"))
             .filter(F.col("reason").isNotNull()))
 
 

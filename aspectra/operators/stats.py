@@ -86,3 +86,20 @@ def histogram_quantiles(df: DataFrame, value_col: str, probs: list[float],
         frac = F.max(h - k0)
         aggs.append((v0 + frac * (v1 - v0)).cast("double").alias(name))
     return hist.groupBy(*g).agg(*aggs)
+
+
+def running_totals(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False) -> DataFrame:
+    """``df`` with ``<col>_total``: the sum of ``col`` up to and including the row, in the
+    order of ``order_col`` (distinct values).
+
+    Rows are range-partitioned and checkpointed, so partition numbers are fixed; each
+    partition is summed on its own and shifted by the sums of the partitions before it (a
+    table of one row per partition)."""
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    parts = cut_lineage(df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()))
+    sums = parts.groupBy("_part").agg(*[F.sum(c).alias(f"_s_{c}") for c in value_cols])
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = sums.select("_part", *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in value_cols])
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = parts.withColumns({f"_r_{c}": F.sum(c).over(inside) for c in value_cols}).join(F.broadcast(shift), "_part")
+    return out.select(*df.columns, *[(F.col(f"_r_{c}") + F.col(f"_b_{c}")).alias(f"{c}_total") for c in value_cols])

@@ -8,6 +8,8 @@ Shared steps are CTE fragments; every query states its full pipeline.
 from __future__ import annotations
 
 import re
+import unicodedata
+from functools import lru_cache
 
 from .. import schema as S
 from ..functions import text as TX
@@ -21,12 +23,22 @@ def _in(words) -> str:
     return "(" + ", ".join(_q(w) for w in words) + ")"
 
 
+@lru_cache(maxsize=1)
+def _nfkd() -> tuple[str, str, dict[str, str]]:
+    """Straight from Unicode: characters with one ASCII character in their NFKD form, that
+    character, and the forms of those with several."""
+    forms = {chr(c): unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode()
+             for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000}
+    one = {c: f for c, f in forms.items() if len(f) == 1}
+    return "".join(one), "".join(one.values()), {c: f for c, f in forms.items() if len(f) > 1}
+
+
 def clean_sql(x: str) -> str:
-    src, dst, exp = TX.accent_tables()
-    expanded = x
-    for ch, rep in exp:
-        expanded = f"replace({expanded}, {_q(ch)}, {_q(rep)})"
-    guard = "[" + "".join(ch for ch, _ in exp) + "]"
+    src, dst, exp = _nfkd()
+    table = "MAP([" + ", ".join(map(_q, exp)) + "], [" + ", ".join(map(_q, exp.values())) + "])"
+    expanded = (f"array_to_string(list_transform(regexp_extract_all({x}, '(?s).'), c -> "
+                f"coalesce({table}[c], c)), '')")
+    guard = "[" + "".join(exp) + "]"
     folded = f"CASE WHEN regexp_matches({x}, {_q(guard)}) THEN {expanded} ELSE {x} END"
     folded = f"regexp_replace(translate({folded}, {_q(src)}, {_q(dst)}), '[^\\x00-\\x7F]', '', 'g')"
     white = f"regexp_replace({folded}, {_q(TX.NON_WHITELIST)}, ' ', 'g')"
@@ -248,7 +260,7 @@ def span_join(alias: str = "x") -> str:
   LEFT JOIN ln tr ON tr.review_id = {alias}.review_id AND tr.sent_id = {alias}.sent_id AND tr.i = {alias}.win_right - 1"""
 
 
-EN_REVIEWS = "SELECT doc_id AS review_id, text AS review_text FROM documents WHERE lang = 'en'"
+REVIEWS = "SELECT doc_id AS review_id, text AS review_text FROM documents"
 LABEL = ("CASE WHEN quality = 1 AND toxic = 0 THEN 'positive' WHEN quality = 0 THEN 'negative' "
          "WHEN quality = 1 AND toxic = 1 THEN 'conflict' END")
 LABELLED = (f"SELECT d.doc_id AS review_id, d.source, d.text AS review_text, {LABEL} AS polarity "
@@ -256,8 +268,9 @@ LABELLED = (f"SELECT d.doc_id AS review_id, d.source, d.text AS review_text, {LA
 
 
 def _tag(x: str, tag: str) -> str:
-    v = f"regexp_extract({x}, '(?s)<{tag}[^>]*>(.*?)</{tag}>', 1)"
-    return f"CASE WHEN contains({x}, '<{tag}') THEN regexp_replace({v}, '^\\s+|\\s+$', '', 'g') END"
+    start = f"<{tag}(?:\\s[^>]*)?>"
+    v = f"regexp_extract({x}, '(?s){start}(.*?)</{tag}>', 1)"
+    return f"CASE WHEN regexp_matches({x}, '{start}') THEN regexp_replace({v}, '^\\s+|\\s+$', '', 'g') END"
 
 
 def _wc(x: str) -> str:
@@ -292,15 +305,13 @@ pri AS (SELECT ln(sum(CASE WHEN polarity = 'positive' THEN 1 ELSE 0 END) / sum(C
 
 
 def prob_sql(score: str) -> str:
-    s = f"greatest(least({score}, 30.0), -30.0)"
-    p = f"(1.0 / (1.0 + exp(-({s}))))"
-    return p
+    return f"(1.0 / (1.0 + exp(-({score}))))"
 
 
 def label_prob(score: str) -> tuple[str, str]:
     p = prob_sql(score)
     return (f"CASE WHEN {p} >= 0.5 THEN 'positive' ELSE 'negative' END",
-            f"round(greatest({p}, 1.0 - {p}), 6)")
+            f"greatest({p}, 1.0 - {p})")
 
 
 def doc_score_ctes(src: str) -> str:
@@ -310,7 +321,7 @@ dw AS (SELECT review_id, unnest(list_transform({words_sql(clean_sql('review_text
 dk AS (SELECT review_id FROM ({src})),
 ds0 AS (SELECT dk.review_id, coalesce(sum(voc.lo), 0.0) AS s
         FROM dk LEFT JOIN dw ON dw.review_id = dk.review_id LEFT JOIN voc ON voc.word = dw.word GROUP BY dk.review_id),
-ds AS (SELECT review_id, {lab} AS label, {prob} AS prob FROM ds0, pri)"""
+ds AS (SELECT review_id, prior_lo + s AS score, {lab} AS label, {prob} AS prob FROM ds0, pri)"""
 
 
 def predict_ctes(n: int = S.WINDOW_MAIN) -> str:
@@ -344,7 +355,7 @@ def _with(*parts: str) -> str:
     return "WITH " + ",".join(p.strip().rstrip(",") for p in parts)
 
 
-def _text_query(select: str, source: str = EN_REVIEWS, extra: tuple[str, ...] = ()) -> str:
+def _text_query(select: str, source: str = REVIEWS, extra: tuple[str, ...] = ()) -> str:
     return _with(text_ctes(source), *extra) + "\n" + select
 
 
@@ -393,6 +404,15 @@ def build() -> dict[str, str]:
         "has_cop, neg, neg_or_modal, has_det_no FROM hc", extra=(rule_ctes(),))
     for n in range(1, 8):
         o[f"rule_r{n}"] = _text_query(_rule_select(n), extra=(rule_ctes(),))
+        if n in (5, 6):  # over a derived token table
+            be = f"(dep = 'auxpass' AND lemma IN {_in(S.LEX_BE)})"
+            other = f"""
+lx AS (SELECT * REPLACE (
+         is_stop AND NOT {be} AS is_stop,
+         CASE WHEN {be} THEN 'cop' WHEN dep = 'nsubjpass' THEN 'nsubj' ELSE dep END AS dep,
+         CASE WHEN dep = 'ROOT' AND pos = 'VERB' AND i % 2 = 0 THEN 'INTJ' ELSE pos END AS pos) FROM ln)"""
+            rules = re.sub(r"\b(FROM|JOIN) ln\b", r"\1 lx", rule_ctes())
+            o[f"rule_r{n}"] = _text_query(_rule_select(n), extra=(other, rules))
     o["entity_match"] = _text_query(
         "SELECT review_id, CAST(sent_id AS BIGINT) AS sent_id, CAST(rule_no AS BIGINT) AS rule_no, "
         "CAST(ord_i AS BIGINT) AS ord_i, CAST(aspect_idx AS BIGINT) AS aspect_idx, aspect FROM am",
@@ -445,23 +465,24 @@ allr AS (SELECT * FROM bd UNION ALL SELECT * FROM nohit)"""
         "\nSELECT word, CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg, round(lo, 6) AS lo FROM voc"
     o["model_bundle"] = o["nb_train"]
     o["extract_aspects_bucketed"] = o["extract_aspects"]
-    o["polarity_score"] = _with(training_ctes(), nb_ctes(), doc_score_ctes(EN_REVIEWS)) + \
-        "\nSELECT review_id, label, prob FROM ds"
-    o["neutral_threshold"] = _with(training_ctes(), nb_ctes(), doc_score_ctes(EN_REVIEWS)) + \
-        "\nSELECT review_id, label, prob, CASE WHEN prob >= 0.7 THEN label ELSE 'neutral' END AS sentiment FROM ds"
-    o["predict_long"] = _with(training_ctes(), nb_ctes(), text_ctes(EN_REVIEWS), rule_ctes(), entity_ctes(),
+    o["polarity_score"] = _with(training_ctes(), nb_ctes(), doc_score_ctes(REVIEWS)) + \
+        "\nSELECT review_id, label, round(prob, 6) AS prob FROM ds"
+    o["neutral_threshold"] = _with(training_ctes(), nb_ctes(), doc_score_ctes(REVIEWS)) + \
+        "\nSELECT review_id, label, round(prob, 6) AS prob, CASE WHEN prob >= 0.7 THEN label ELSE 'neutral' END AS sentiment FROM ds"
+    o["predict_long"] = _with(training_ctes(), nb_ctes(), text_ctes(REVIEWS), rule_ctes(), entity_ctes(),
                               predict_ctes()) + (
         "\nSELECT review_id, CAST(sent_id AS BIGINT) AS sent_id, CAST(rule_no AS BIGINT) AS rule_no, "
         "CAST(ord_i AS BIGINT) AS ord_i, aspect, modifier, rule, CAST(aspect_i AS BIGINT) AS aspect_i, "
-        "aspect_sentence, sentiment, sentiment_prob FROM pl")
-    o["predict_flat"] = _with(training_ctes(), nb_ctes(), text_ctes(EN_REVIEWS), rule_ctes(), entity_ctes(),
+        "aspect_sentence, sentiment, round(sentiment_prob, 6) AS sentiment_prob FROM pl")
+    o["predict_flat"] = _with(training_ctes(), nb_ctes(), text_ctes(REVIEWS), rule_ctes(), entity_ctes(),
                               predict_ctes()) + (
         "\nSELECT review_id, "
         "array_to_string(list(coalesce(aspect, '') ORDER BY sent_id, rule_no NULLS FIRST, ord_i NULLS FIRST, aspect NULLS FIRST, sentiment), '|') AS aspects, "
         "array_to_string(list(coalesce(sentiment, '') ORDER BY sent_id, rule_no NULLS FIRST, ord_i NULLS FIRST, aspect NULLS FIRST, sentiment), '|') AS polarity "
         "FROM pl GROUP BY review_id")
-    o["reject_reviews"] = ("SELECT doc_id AS review_id, CASE WHEN text IS NULL THEN 'null_text' ELSE 'blank_text' END "
-                           "AS reason FROM documents WHERE text IS NULL OR NOT regexp_matches(text, '\\S')")
+    o["reject_reviews"] = ("SELECT doc_id AS review_id, CASE WHEN doc_id % 10 = 0 OR text IS NULL THEN 'null_text' "
+                           "ELSE 'blank_text' END AS reason FROM documents "
+                           "WHERE doc_id % 10 < 2 OR text IS NULL OR NOT regexp_matches(text, '\\S')")
 
     # sampling
     o["seeded_sample"] = ("SELECT doc_id, source FROM documents ORDER BY md5('1:' || CAST(doc_id AS VARCHAR)), doc_id "
@@ -486,7 +507,7 @@ allr AS (SELECT * FROM bd UNION ALL SELECT * FROM nohit)"""
     scored = _with(training_ctes(), nb_ctes(),
                    doc_score_ctes("SELECT review_id, review_text FROM lr WHERE polarity IN ('positive', 'negative')")) + """,
 yy AS (SELECT lr.review_id, lr.polarity AS y_true, CASE WHEN ds.prob >= 0.7 THEN ds.label ELSE 'neutral' END AS y_pred,
-              ds.label, ds.prob FROM lr JOIN ds ON ds.review_id = lr.review_id WHERE lr.polarity IN ('positive', 'negative'))"""
+              ds.label, ds.prob, ds.score FROM lr JOIN ds ON ds.review_id = lr.review_id WHERE lr.polarity IN ('positive', 'negative'))"""
     o["confusion_matrix"] = scored + (
         "\nSELECT y_true, CAST(count(*) FILTER (WHERE y_pred = 'negative') AS BIGINT) AS negative, "
         "CAST(count(*) FILTER (WHERE y_pred = 'neutral') AS BIGINT) AS neutral, "
@@ -505,11 +526,22 @@ yy AS (SELECT sp.review_id, sp.polarity AS y_true, CASE WHEN ds.prob >= 0.7 THEN
 """ + _REPORT_SQL
     o["heldout_report"] = held
     o["roc_auc"] = scored + """,
-sc AS (SELECT round(CASE WHEN label = 'positive' THEN prob ELSE 1 - prob END, 6) AS s, y_true = 'positive' AS is_pos FROM yy),
+sc AS (SELECT round(score, 9) AS s, y_true = 'positive' AS is_pos FROM yy),
 g AS (SELECT s, sum(CASE WHEN is_pos THEN 1 ELSE 0 END) AS npos, sum(CASE WHEN is_pos THEN 0 ELSE 1 END) AS nneg FROM sc GROUP BY s),
 ga AS (SELECT *, coalesce(sum(npos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM g)
 SELECT CAST(sum(npos) AS BIGINT) AS n_pos, CAST(sum(nneg) AS BIGINT) AS n_neg,
        round(sum(nneg * (above + 0.5 * npos)) / (sum(npos) * sum(nneg)), 6) AS auc FROM ga"""
+    curve = """ SELECT '{name}' AS label, s AS threshold, CAST(sum(p) OVER w AS BIGINT) AS tp, CAST(sum(n) OVER w AS BIGINT) AS fp,
+  sum(p) OVER w / sum(p) OVER () AS tpr, sum(n) OVER w / sum(n) OVER () AS fpr
+FROM (SELECT round({sign} * score, 9) AS s, count(*) FILTER (WHERE y_true = '{name}') AS p,
+             count(*) FILTER (WHERE y_true <> '{name}') AS n FROM yy GROUP BY 1)
+WINDOW w AS (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+    both = " UNION ALL ".join("SELECT * FROM (" + curve.format(name=n, sign=g) + ")" for n, g in (("positive", 1), ("negative", -1)))
+    o["roc_curve"] = scored + f"""
+SELECT label, round(threshold, 6) AS threshold, tp, fp, round(tpr, 6) AS tpr, round(fpr, 6) AS fpr FROM ({both})"""
+    o["label_roundtrip"] = (f"WITH lr AS ({LABELLED}) SELECT review_id, polarity, CASE WHEN polarity IS NOT NULL THEN "
+                            "CAST(dense_rank() OVER (ORDER BY polarity NULLS LAST) - 1 AS BIGINT) END AS label_id, "
+                            "polarity AS decoded FROM lr")
     o["label_encode"] = (f"SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS BIGINT) AS label_id FROM "
                          f"(SELECT DISTINCT polarity AS label FROM ({LABELLED}) WHERE polarity IS NOT NULL)")
 
@@ -647,14 +679,14 @@ SELECT review_id, a2[1] AS gold_aspect,
        coalesce(list_bool_or(list_transform(aspects, p -> instr(a2[1], coalesce(p, 'None')) > 0)), false) AS hit
 FROM ea WHERE len(a2) = 1 AND nw <= 15 AND p2[1] <> 'conflict'"""
     o["build_reviews"] = f"""WITH lr AS ({LABELLED})
-SELECT review_id, source, {clean_sql('review_text')} AS review_text, NULL::DOUBLE AS rating, polarity FROM lr
+SELECT source || ':' || review_id AS review_id, source, {clean_sql('review_text')} AS review_text, NULL::DOUBLE AS rating, polarity FROM lr
 UNION ALL
-SELECT conv_id * 1000 + review_pos AS review_id, 'lara-tripadvisor' AS source, {clean_sql('text')} AS review_text,
+SELECT 'lara-tripadvisor:' || conv_id || ':' || review_pos AS review_id, 'lara-tripadvisor' AS source, {clean_sql('text')} AS review_text,
        rating, CASE WHEN rating <= 2 THEN 'negative' WHEN rating >= 3 THEN 'positive' ELSE 'neutral' END AS polarity
 FROM (SELECT conv_id, text, role, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS review_pos,
              CAST((turn % 5) + 1 AS DOUBLE) AS rating FROM conversations) c WHERE role = 'user' AND text IS NOT NULL
 UNION ALL
-SELECT page_id AS review_id, 'multi-domain-amazon' AS source,
+SELECT 'multi-domain-amazon:' || page_id AS review_id, 'multi-domain-amazon' AS source,
        {clean_sql(_tag('html', 'title'))} AS review_text,
        NULL::DOUBLE AS rating, NULL::VARCHAR AS polarity FROM pages"""
     o["read_tagged_reviews"] = f"""WITH p AS (SELECT page_id, url, {_tag('html', 'title')} AS title FROM pages)
@@ -663,10 +695,10 @@ SELECT CASE WHEN regexp_extract(url, '/([a-z]{{2}})/', 1) = '' THEN 'xx' ELSE re
        CAST(page_id % 5 + 1 AS DOUBLE) AS rating, regexp_replace(coalesce(title, ''), '^\\s+|\\s+$', '', 'g') AS review_text
 FROM p"""
     o["read_app_reviews"] = f"""WITH lr AS ({LABELLED}), n AS (SELECT count(*) AS n FROM part),
-rv AS (SELECT p.p_name AS app, lr.review_text, lr.polarity FROM lr CROSS JOIN n JOIN part p ON p.p_partkey = lr.review_id % n.n + 1)
-SELECT 'google-play' AS source, a.p_name AS product_name, rv.review_text,
+rv AS (SELECT p.p_name || ' ' || p.p_partkey AS app, lr.review_text, lr.polarity FROM lr CROSS JOIN n JOIN part p ON p.p_partkey = lr.review_id % n.n + 1)
+SELECT 'google-play' AS source, rv.app AS product_name, rv.review_text,
        CAST(CASE rv.polarity WHEN 'positive' THEN 0.5 WHEN 'negative' THEN -0.5 ELSE 0.0 END AS DOUBLE) AS rating, rv.polarity
-FROM part a JOIN rv ON rv.app = a.p_name"""
+FROM part a JOIN rv ON rv.app = a.p_name || ' ' || a.p_partkey"""
     o["read_gold_xml"] = g_with + """
 SELECT review_text, array_to_string(aspect, '|') AS aspect,
        array_to_string(list_transform(aspect, a -> ['positive', 'negative', 'neutral', 'conflict'][review_id % 4 + 1]), '|') AS polarity,

@@ -23,14 +23,14 @@ from ..operators import rules as R
 from ..operators import sampling as SA
 from ..operators import spans as SP
 from ..sources import readers as RD
-from .tables import finalize, gold_items, labelled_reviews, reviews_en, table
+from .tables import finalize, gold_items, labelled_reviews, reviews, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 K = A.SENT_KEYS
 
 
 def _corpus(spark, sf):
-    return A.annotate_corpus(reviews_en(spark, sf))
+    return A.annotate_corpus(reviews(spark, sf))
 
 
 def _model(spark, sf) -> P.NaiveBayesModel:
@@ -55,12 +55,12 @@ def q_normalise_variants(spark, sf):
 
 
 def q_sentence_table(spark, sf):
-    s = A.split_sentences(reviews_en(spark, sf))
+    s = A.split_sentences(reviews(spark, sf))
     return finalize(s.select(*K, "sentence", "n_tokens"))
 
 
 def q_token_table(spark, sf):
-    t = A.tokenize(A.split_sentences(reviews_en(spark, sf)))
+    t = A.tokenize(A.split_sentences(reviews(spark, sf)))
     return finalize(t)
 
 
@@ -82,9 +82,21 @@ def q_head_children(spark, sf):
                               "has_det_no"))
 
 
+def _copula_tokens(t):
+    """Token table of another tagger, derived from ours: auxiliary forms of *be* are
+    copulas, and predicates that are verbs of even position count as interjections."""
+    be = (F.col("dep") == "auxpass") & F.col("lemma").isin(S.LEX_BE)
+    root = (F.col("dep") == "ROOT") & (F.col("pos") == "VERB") & (F.col("i") % 2 == 0)
+    return (t.withColumn("is_stop", F.col("is_stop") & ~be)
+             .withColumn("dep", F.when(be, F.lit("cop")).otherwise(F.col("dep")))
+             .withColumn("pos", F.when(root, F.lit("INTJ")).otherwise(F.col("pos"))))
+
+
 def _rule_query(n: int) -> Query:
     def q(spark, sf):
         _, _, t = _corpus(spark, sf)
+        if n in (5, 6):  # our linker makes neither copulas nor interjections with subjects
+            t = _copula_tokens(t).withColumn("dep", F.when(F.col("dep") == "nsubjpass", "nsubj").otherwise(F.col("dep")))
         return finalize(R.rule_by_number(t, n).drop("rule_no"))
     q.__name__ = f"q_rule_r{n}"
     return q
@@ -103,14 +115,10 @@ def q_extract_aspects_bucketed(spark, sf):
     import uuid
     from ..session import text_partitions
     from ..sources.derived import scratch_path
-    r = reviews_en(spark, sf)
-    if spark.conf.get("spark.sql.catalogImplementation", "in-memory") != "in-memory":
-        # a Hive catalog would open a metastore database: use the one-shuffle path instead
-        _, s, tok = A.annotate_corpus(r)
-    else:
-        name = f"aspectra_reviews_{uuid.uuid4().hex[:8]}"
-        t = RD.write_bucketed_reviews(r, name, scratch_path(spark, "bucketed"), text_partitions(r))
-        _, s, tok = A.annotate_corpus(t, assume_partitioned=True)
+    r = reviews(spark, sf)
+    name = f"aspectra_reviews_{uuid.uuid4().hex[:8]}"
+    t = RD.write_bucketed_reviews(r, name, scratch_path(spark, "bucketed"), text_partitions(r))
+    _, s, tok = A.annotate_corpus(t, assume_partitioned=True)
     e = R.extract_aspects(s, tok, S.WINDOW_MAIN)
     return finalize(e.select(*K, "rule_no", "ord_i", "aspect", "modifier", "rule", "aspect_idx", "aspect_i",
                              "win_left", "win_right", "aspect_sentence"))
@@ -169,17 +177,17 @@ def q_nb_train(spark, sf):
 
 def q_polarity_score(spark, sf):
     m = _model(spark, sf)
-    return finalize(P.polarity_score(reviews_en(spark, sf), m))
+    return finalize(P.polarity_score(reviews(spark, sf), m).drop("score"))
 
 
 def q_neutral_threshold(spark, sf):
     m = _model(spark, sf)
-    return finalize(P.polarity_score(reviews_en(spark, sf), m, threshold=S.NEUTRAL_THRESHOLD))
+    return finalize(P.polarity_score(reviews(spark, sf), m, threshold=S.NEUTRAL_THRESHOLD).drop("score"))
 
 
 def q_lr_train(spark, sf):
     model = P.lr_train(P.polarity_training_set(labelled_reviews(spark, sf)))
-    return finalize(P.lr_score(model, reviews_en(spark, sf)))
+    return finalize(P.lr_score(model, reviews(spark, sf)))
 
 
 def q_model_bundle(spark, sf):
@@ -193,19 +201,22 @@ def q_model_bundle(spark, sf):
 
 def q_predict_long(spark, sf):
     m = _model(spark, sf)
-    out = PR.predict(reviews_en(spark, sf), m, flat=False)
+    out = PR.predict(reviews(spark, sf), m, flat=False)
     return finalize(out.select(*K, "rule_no", "ord_i", "aspect", "modifier", "rule", "aspect_i",
                                "aspect_sentence", "sentiment", "sentiment_prob"))
 
 
 def q_predict_flat(spark, sf):
     m = _model(spark, sf)
-    out = PR.predict(reviews_en(spark, sf), m, flat=True)
+    out = PR.predict(reviews(spark, sf), m, flat=True)
     return finalize(out.select("review_id", "aspects", "polarity"))
 
 
 def q_reject_reviews(spark, sf):
-    d = table(spark, sf, "documents")
+    """Every tenth text is made null and every tenth blank, so both reasons occur."""
+    k = F.col("doc_id") % 10
+    d = table(spark, sf, "documents").withColumn(
+        "text", F.when(k == 0, F.lit(None)).when(k == 1, F.lit(" \n\t")).otherwise(F.col("text")))
     return finalize(PR.reject_reviews(d, "doc_id", "text"))
 
 
@@ -306,7 +317,7 @@ def q_predictions_csv(spark, sf):
     """K3: flat predictions written as ';' CSV (lists as JSON text) and read back."""
     from ..sources.derived import scratch_path
     m = _model(spark, sf)
-    flat = PR.predict(reviews_en(spark, sf), m, flat=True)
+    flat = PR.predict(reviews(spark, sf), m, flat=True)
     path = scratch_path(spark, "predictions")
     RD.write_predictions(flat, path, fmt="csv")
     back = spark.read.option("sep", ";").option("header", True).csv(path)
@@ -424,7 +435,7 @@ def q_predict_aux(spark, sf):
     t = _gold_tokens(spark, sf)
     model = TG.tagger_train(TG.token_features(t, ["review_id"]))
     m = _model(spark, sf)
-    out = TG.predict_aux(reviews_en(spark, sf), model, m)
+    out = TG.predict_aux(reviews(spark, sf), model, m)
     return finalize(out)
 
 
@@ -436,7 +447,7 @@ def _scored_labels(spark, sf):
     lr = labelled_reviews(spark, sf).filter(F.col("polarity").isin(S.POSITIVE, S.NEGATIVE))
     sc = P.polarity_score(lr, m, threshold=S.NEUTRAL_THRESHOLD)
     return lr.select("review_id", F.col("polarity").alias("y_true")).join(
-        sc.select("review_id", F.col("sentiment").alias("y_pred"), "label", "prob"), "review_id")
+        sc.select("review_id", F.col("sentiment").alias("y_pred"), "label", "prob", "score"), "review_id")
 
 
 def q_heldout_report(spark, sf):
@@ -466,10 +477,17 @@ def q_micro_f1(spark, sf):
 
 
 def q_roc_auc(spark, sf):
+    d = _scored_labels(spark, sf).withColumn("is_pos", F.col("y_true") == S.POSITIVE)
+    return finalize(EV.roc_auc(d, "score", "is_pos"))
+
+
+def q_roc_curve(spark, sf):
+    """The curve of each class against the other: thresholds are log odds of the class."""
     d = _scored_labels(spark, sf)
-    p_pos = F.when(F.col("label") == S.POSITIVE, F.col("prob")).otherwise(1 - F.col("prob"))
-    d = d.withColumn("p_pos", p_pos).withColumn("is_pos", F.col("y_true") == S.POSITIVE)
-    return finalize(EV.roc_auc(d, "p_pos", "is_pos"))
+    curves = [EV.roc_points(d.select((F.col("score") * sign).alias("s"), (F.col("y_true") == name).alias("is")), "s", "is")
+              .select(F.lit(name).alias("label"), "threshold", "tp", "fp", "tpr", "fpr")
+              for name, sign in ((S.POSITIVE, 1), (S.NEGATIVE, -1))]
+    return finalize(curves[0].unionByName(curves[1]))
 
 
 def q_seq_report(spark, sf):
@@ -543,6 +561,14 @@ def q_label_encode(spark, sf):
     return finalize(EV.label_index(lr, "polarity"))
 
 
+def q_label_roundtrip(spark, sf):
+    """Encode every label by the index, decode it again."""
+    lr = labelled_reviews(spark, sf).select("review_id", "polarity")
+    index = EV.label_index(lr, "polarity")
+    back = EV.decode_labels(EV.encode_labels(lr, index, "polarity"), index, label_col="decoded")
+    return finalize(back.select("review_id", "polarity", "label_id", "decoded"))
+
+
 QUERIES: dict[str, Query] = {
     "clean_corpus": q_clean_corpus,
     "normalise_variants": q_normalise_variants,
@@ -600,6 +626,7 @@ QUERIES: dict[str, Query] = {
     "confusion_matrix": q_confusion_matrix,
     "micro_f1": q_micro_f1,
     "roc_auc": q_roc_auc,
+    "roc_curve": q_roc_curve,
     "seq_report": q_seq_report,
     "token_outcomes": q_token_outcomes,
     "error_flags": q_error_flags,
@@ -607,6 +634,7 @@ QUERIES: dict[str, Query] = {
     "eval_polarity": q_eval_polarity,
     "eval_aspect": q_eval_aspect,
     "label_encode": q_label_encode,
+    "label_roundtrip": q_label_roundtrip,
     "aspect_type_counts": q_aspect_type_counts,
     "polarity_accuracy": q_polarity_accuracy,
     "lr_history": q_lr_history,

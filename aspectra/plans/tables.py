@@ -1,7 +1,7 @@
 """Mapping of the driver's tables onto the review data model.
 
-* reviews: ``documents`` (review_id = doc_id, review_text = text, source); the aspect
-  path reads English rows only.
+* reviews: ``documents`` (review_id = doc_id, review_text = text, source)
+  in every language.
 * polarity labels: ``labels`` — quality 1 and toxic 0 -> positive; quality 0 ->
   negative; quality 1 and toxic 1 -> conflict.
 * numeric ratings: ``events.value``.
@@ -30,8 +30,8 @@ def label_from_quality(quality: Column, toxic: Column) -> Column:
              .when((quality == 1) & (toxic == 1), F.lit(S.CONFLICT)))
 
 
-def reviews_en(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (table(spark, sf_dir, "documents")
             .select(F.col("doc_id").alias("review_id"), F.col("text").alias("review_text")))
 
 

@@ -65,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="aspectra-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -83,19 +85,18 @@ TEXT_BYTES_PER_PARTITION = 32 * 1024 * 1024
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Total size of the files a DataFrame scans (0 for in-memory data)."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
+    """Catalyst's size estimate of a DataFrame (file sizes for scans; no file is listed
+    again by the driver)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def text_partitions(df: DataFrame, bytes_per_partition: int = TEXT_BYTES_PER_PARTITION) -> int:
     """Partition count for the text path: enough partitions for the input size, and at
-    least one per core."""
-    n = -(-input_bytes(df) // bytes_per_partition)
+    least one per core.  An input without statistics (Spark then assumes the largest size)
+    takes the session's shuffle setting."""
+    size = input_bytes(df)
+    if size >= 1 << 60 or size < 0:
+        return max(int(df.sparkSession.sparkContext.defaultParallelism),
+                   int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = -(-size // bytes_per_partition)
     return max(int(df.sparkSession.sparkContext.defaultParallelism), int(n), 1)

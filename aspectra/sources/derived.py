@@ -58,16 +58,17 @@ def write_gold_xml(spark: SparkSession, sf_dir: str) -> str:
 
 
 def write_app_csvs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """part -> app metadata CSV (App = p_name); labelled documents -> user-review CSV
-    whose App is the part of ``doc_id % #parts + 1``."""
+    """part -> app metadata CSV (App = name and key, so every app is one row); labelled
+    documents -> user-review CSV whose App is the part of ``doc_id % #parts + 1``."""
     root = scratch_path(spark, "apps")
     part = table(spark, sf_dir, "part")
-    apps = part.select(F.col("p_name").alias("App"), "p_partkey", "p_brand")
+    app = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
+    apps = part.select(app.alias("App"), "p_partkey", "p_brand")
     n = part.count()
     from ..plans.tables import labelled_reviews
     lr = labelled_reviews(spark, sf_dir)
     rev = (lr.withColumn("p_partkey", (F.col("review_id") % F.lit(n)) + 1)
-           .join(part.select("p_partkey", F.col("p_name").alias("App")), "p_partkey")
+           .join(part.select("p_partkey", app.alias("App")), "p_partkey")
            .select("App", F.col("review_text").alias("Translated_Review"),
                    F.initcap(F.col("polarity")).alias("Sentiment"),
                    F.when(F.col("polarity") == "positive", 0.5).when(F.col("polarity") == "negative", -0.5)

@@ -43,6 +43,7 @@ def source_path(root: str, name: str) -> str:
 # ---------------------------------------------------------------------------------------
 # S1 + J1 + P1: app-store reviews (two CSV files joined on the app name)
 # ---------------------------------------------------------------------------------------
+# FIXED VALUES: columns of the app-store review file.
 APP_REVIEW_SCHEMA = T.StructType([
     T.StructField("App", T.StringType()), T.StructField("Translated_Review", T.StringType()),
     T.StructField("Sentiment", T.StringType()), T.StructField("Sentiment_Polarity", T.DoubleType()),
@@ -58,8 +59,9 @@ def join_app_reviews(apps: DataFrame, reviews: DataFrame, dedupe_apps: bool = Fa
 
 
 def read_app_reviews(spark: SparkSession, apps_csv: str, reviews_csv: str,
-                     dedupe_apps: bool = False) -> DataFrame:
-    opts = dict(header=True, quote='"', escape='"', multiLine=True)
+                     dedupe_apps: bool = False, multi_line: bool = True) -> DataFrame:
+    """S1.  ``multi_line=False`` lets Spark split large files whose texts hold no newline."""
+    opts = dict(header=True, quote='"', escape='"', multiLine=multi_line)
     apps = spark.read.options(**opts).csv(apps_csv).select("App")
     rev = spark.read.options(**opts).schema(APP_REVIEW_SCHEMA).csv(reviews_csv)
     j = join_app_reviews(apps, rev, dedupe_apps)
@@ -135,8 +137,8 @@ def nest_conversations(conv: DataFrame, chunk: int = NEST_CHUNK) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 # S3: tagged shop reviews (line-oriented pseudo-XML, one file per class per domain)
 # ---------------------------------------------------------------------------------------
-SHOP_FIELDS = ["unique_id", "asin", "product_name", "helpful", "rating", "title", "date",
-               "reviewer", "reviewer_location", "review_text"]
+# FIXED VALUES: tags of a shop review that are read.
+SHOP_FIELDS = ["product_name", "rating", "review_text"]
 
 
 def extract_tags(records: DataFrame, fields: list[str], value_col: str = "value") -> DataFrame:
@@ -144,9 +146,10 @@ def extract_tags(records: DataFrame, fields: list[str], value_col: str = "value"
     the tag is absent)."""
     out = records
     for f in fields:
-        v = F.regexp_extract(F.col(value_col), f"(?s)<{f}[^>]*>(.*?)</{f}>", 1)
+        tag = rf"<{f}(?:\s[^>]*)?>"        # not the start of a longer tag name
+        v = F.regexp_extract(F.col(value_col), f"(?s){tag}(.*?)</{f}>", 1)
         stripped = F.regexp_replace(v, r"^\s+|\s+$", "")
-        out = out.withColumn(f, F.when(F.col(value_col).contains(f"<{f}"), stripped))
+        out = out.withColumn(f, F.when(F.col(value_col).rlike(tag), stripped))
     return out
 
 
@@ -231,18 +234,22 @@ def read_gold_opinions(spark: SparkSession, path: str, year: str = "2015",
 # ---------------------------------------------------------------------------------------
 # S7 / S8 / K1-K5
 # ---------------------------------------------------------------------------------------
+# Legacy files: quotes inside a quoted field are doubled, texts may hold newlines.
+LEGACY_CSV = {"sep": ";", "header": True, "quote": '"', "escape": '"', "multiLine": True}
+
+
 def read_reviews_dataset(spark: SparkSession, path: str) -> DataFrame:
     """The reviews dataset (Parquet written by ``write_reviews``; CSV ';' accepted)."""
     if path.endswith(".csv"):
         schema = "idx long, source string, product_name string, review_text string, rating double, polarity string"
-        return spark.read.option("sep", ";").option("header", True).schema(schema).csv(path).drop("idx")
+        return spark.read.options(**LEGACY_CSV).schema(schema).csv(path).drop("idx")
     return spark.read.parquet(path)
 
 
 def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:
     """Legacy ';' CSV with stringified lists -> arrays; bad list texts give null
     (routed to rejects by the caller)."""
-    g = spark.read.option("sep", ";").option("header", True).csv(path)
+    g = spark.read.options(**LEGACY_CSV).csv(path)
     return g.select("review_text", TX.parse_list_literal(F.col("aspect")).alias("aspect"))
 
 
@@ -277,16 +284,17 @@ def write_predictions(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def build_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U1 + P1 + T1 over the driver tables: documents with labels, nested conversation
-    reviews and tagged pages, cleaned, one schema."""
+    reviews and tagged pages, cleaned, one schema.  ``review_id`` is the source and the
+    id within it, so it is unique over all sources."""
     from ..plans.tables import labelled_reviews, table
     docs = labelled_reviews(spark, sf_dir).select(
-        "review_id", "source", F.lit(None).cast("string").alias("product_name"), "review_text",
+        F.concat_ws(":", "source", F.col("review_id").cast("string")).alias("review_id"), "source", F.lit(None).cast("string").alias("product_name"), "review_text",
         F.lit(None).cast("double").alias("rating"), "polarity")
     conv = explode_nested_reviews(nest_conversations(table(spark, sf_dir, "conversations")))
-    conv = conv.select((F.col("product_name").cast("bigint") * 1000 + F.col("review_pos")).alias("review_id"),
+    conv = conv.select(F.concat_ws(":", "source", "product_name", F.col("review_pos").cast("string")).alias("review_id"),
                        "source", "product_name", "review_text", "rating", "polarity")
     pages = extract_tags(table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("value")), ["title"])
-    pages = pages.select(F.col("page_id").alias("review_id"), F.lit(SHOP).alias("source"),
+    pages = pages.select(F.concat_ws(":", F.lit(SHOP), F.col("page_id").cast("string")).alias("review_id"), F.lit(SHOP).alias("source"),
                          F.lit(None).cast("string").alias("product_name"), F.col("title").alias("review_text"),
                          F.lit(None).cast("double").alias("rating"), F.lit(None).cast("string").alias("polarity"))
     u = docs.unionByName(conv).unionByName(pages)
