@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["cut_lineage", "documents", "ready", "run_folder", "text_or_empty", "held_out", "texts_of"]
+__all__ = ["Scratch", "cut_lineage", "documents", "ready", "run_folder", "text_or_empty", "held_out", "texts_of"]
 
 # Rows per Arrow batch handed to a Python worker: with documents of 100 KB a batch stays
 # near 25 MB, with documents of 3 KB near 1 MB.
@@ -37,6 +37,26 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Intermediate tables as Parquet in the shared folder: a plan that reads one starts at
+    files with known sizes, whatever it took to make them, and a lost executor costs only
+    the tasks that read them again."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.count = spark, run_folder(spark, name), 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.folder}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Delete the tables; call it when nothing reads them any more."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
