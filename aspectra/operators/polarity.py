@@ -54,15 +54,21 @@ def length_iqr_filter(df: DataFrame, text_col: str = "review_text") -> DataFrame
 def balance_binary(df: DataFrame, label_col: str = "polarity", order_col: str = "review_id",
                    labels=(S.POSITIVE, S.NEGATIVE)) -> DataFrame:
     """Cut the larger of the two classes to the size of the smaller one, keeping its
-    first rows by ``order_col``.  Ranks are computed with a range-partitioned sort, never
-    with a window over the (two-valued) class key."""
+    first rows by ``order_col`` (a unique id).  Only the keys are ranked, with a
+    range-partitioned sort; the last key kept of each class is the cut-off by which the
+    rows themselves are filtered, so no text is shuffled."""
     S.require_columns(df, [label_col, order_col], "balance_binary")
     d = df.filter(F.col(label_col).isin(*labels))
-    ranked, sizes = rank_within_groups(d, [label_col], [order_col], rank_col="_rn", with_sizes=True)
+    ranked, sizes = rank_within_groups(d.select(label_col, order_col), [label_col], [order_col],
+                                       rank_col="_rn", with_sizes=True)
     # one size per class (a tiny table); a missing class means the smaller class has 0 rows
     got = {r[label_col]: r["group_size"] for r in sizes.collect()}
     k = min(got.values()) if len(got) == len(labels) else 0
-    return ranked.filter(F.col("_rn") <= F.lit(k)).drop("_rn")
+    last = {r[label_col]: r[order_col] for r in ranked.filter(F.col("_rn") == k).collect()}
+    keep = F.lit(False)
+    for label, key in last.items():
+        keep = keep | ((F.col(label_col) == label) & (F.col(order_col) <= F.lit(key)))
+    return d.filter(keep)
 
 
 def load_labelled_reviews(reviews: DataFrame, text_col: str = "review_text",

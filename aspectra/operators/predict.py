@@ -8,6 +8,8 @@ are never re-tokenised or exploded.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from . import polarity as P
 from . import rules as R
 
 K = A.SENT_KEYS
+Scorer = Callable[[DataFrame], DataFrame]
 
 
 def reject_reviews(reviews: DataFrame, id_col: str = "review_id",
@@ -41,11 +44,19 @@ def span_scores(found: DataFrame, prior: F.Column, threshold: float) -> DataFram
 def predict_long(reviews: DataFrame, model: P.NaiveBayesModel, window: int = S.WINDOW_MAIN,
                  threshold: float = S.NEUTRAL_THRESHOLD, compat_rule_ids: bool = False,
                  keep_duplicates: bool = False, tokens: DataFrame | None = None,
-                 sentences: DataFrame | None = None) -> DataFrame:
+                 sentences: DataFrame | None = None, scorer: Scorer | None = None) -> DataFrame:
     """E1/E3 long form: one row per finding (plus one all-null row per sentence without
-    a finding) with sentiment and its probability."""
+    a finding) with sentiment and its probability.  ``scorer`` replaces the naive Bayes
+    score: it gets each distinct window text once."""
     sentences = A.split_sentences(reviews) if sentences is None else sentences
     tokens = A.annotate(sentences) if tokens is None else tokens
+    if scorer is not None:
+        found = R.extract_aspects(sentences, tokens, window, compat_rule_ids, keep_duplicates,
+                                  span_tokens=tokens.select(*K, "i", "idx", "text"))
+        texts = found.select(F.col("aspect_sentence").alias("text")).distinct()
+        scored = scorer(texts).select(F.col("text").alias("_text"), "label", F.col("prob").alias("sentiment_prob"))
+        return (found.join(scored, found["aspect_sentence"] == scored["_text"], "left").drop("_text")
+                .withColumn("sentiment", P.neutral_threshold(F.col("label"), F.col("sentiment_prob"), threshold)).drop("label"))
     scored = P.token_scores(tokens.select(*K, "i", "idx", "text"), model)
     found = R.extract_aspects(sentences, tokens, window, compat_rule_ids, keep_duplicates,
                               span_tokens=scored.select(*K, "i", "idx", "text", "lo", "cum_lo"))
@@ -67,15 +78,36 @@ def flatten(long_df: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
 
 
 def predict(reviews: DataFrame, model: P.NaiveBayesModel, flat: bool = False,
-            include_text: bool = False, **kw) -> DataFrame:
-    """Batch prediction, long or flat.  ``reviews`` has review_id, review_text.
-
-    ``include_text`` adds the review text as column ``review`` (a join back to the
-    reviews on review_id); it is off by default because it re-reads the text."""
-    prepared, sentences, tokens = A.annotate_corpus(reviews)
-    long_df = predict_long(prepared, model, sentences=sentences, tokens=tokens, **kw)
-    if not flat:
-        if include_text:
-            return long_df.join(prepared.select("review_id", F.col("review_text").alias("review")), "review_id")
-        return long_df
-    return flatten(long_df, prepared if include_text else None)
+            include_text: bool = False, tokens: DataFrame | None = None, scorer: Scorer | None = None,
+            aux=None, **kw) -> DataFrame:
+    """Batch prediction, long or flat.  ``reviews`` has review_id, review_text; null and
+    blank texts give no row (``reject_reviews`` lists them).
+
+    * ``tokens``: a token table of another annotator (SENT_KEYS, i, idx, text, lemma, pos,
+      tag, dep, head_i, is_stop); ``sent_id`` and ``idx`` refer to ``split_sentences``.
+    * ``scorer``: a function from a DataFrame with a ``text`` column to (text, label, prob),
+      for example ``lr_scorer``; default: the naive Bayes model.
+    * ``aux``: a tagger for the auxiliary path (a fitted pipeline or a function, see
+      ``tagger.predict_aux``); adds aspects_aux, polarity_aux, polarity_prob_aux per review.
+    * ``include_text`` adds the review text as column ``review`` (a join back to the
+      reviews on review_id); it is off by default because it re-reads the text."""
+    good = reviews.filter(F.col("review_text").rlike(r"\S"))
+    if tokens is None:
+        prepared, sentences, tokens = A.annotate_corpus(good)
+    else:
+        prepared = A.prepare_reviews(good)
+        sentences = A.split_sentences(prepared, assume_partitioned=True)
+    out = predict_long(prepared, model, sentences=sentences, tokens=tokens, scorer=scorer, **kw)
+    if flat:
+        out = flatten(out)
+    if aux is not None:
+        from .tagger import predict_aux
+        out = out.join(predict_aux(prepared, aux, model, parts=(sentences, tokens)), "review_id", "left")
+    if include_text:
+        out = out.join(prepared.select("review_id", F.col("review_text").alias("review")), "review_id")
+    return out
+
+
+def lr_scorer(pipeline) -> Scorer:
+    """A scorer for ``predict`` from a fitted ``polarity.lr_train`` pipeline."""
+    return lambda texts: P.lr_score(pipeline, texts, key_col="text", text_col="text")

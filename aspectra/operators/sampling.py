@@ -13,8 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..session import cut_lineage
 from .stats import rank_within_groups
 
+# One row per stratum is broadcast up to this many strata; beyond it the join is shuffled.
+MAX_BROADCAST_STRATA = 100_000
+
 
 def seeded_key(id_col: str, seed: int):
     return F.md5(F.concat(F.lit(str(seed)), F.lit(":"), F.col(id_col).cast("string")))
@@ -35,15 +39,17 @@ def stratified_split(df: DataFrame, id_col: str, stratum_col: str | None = None,
     strat = stratum_col or "_all"
     d = df if stratum_col else df.withColumn("_all", F.lit(1))
     d = d.withColumn("_k", seeded_key(id_col, seed))
-    ranked = rank_within_groups(d, [strat], ["_k", id_col], rank_col="_rn")
-    sizes = d.groupBy(strat).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per stratum: small, broadcast
-    r = ranked.join(F.broadcast(sizes), strat)
-    is_valid = F.col("_rn") <= F.ceil(F.col("_n") * F.lit(valid_fraction))
+    # only keys are ranked; the last validation key of a stratum is its cut-off
+    ranked, sizes = rank_within_groups(d.select(strat, "_k", id_col), [strat], ["_k", id_col], rank_col="_rn",
+                                       with_sizes=True)
+    cut = cut_lineage(ranked.join(sizes, strat).filter(F.col("_rn") == F.ceil(F.col("group_size") * F.lit(valid_fraction)))
+                      .select(strat, F.struct("_k", id_col).alias("_cut")))
+    r = d.join(F.broadcast(cut) if cut.count() <= MAX_BROADCAST_STRATA else cut, strat, "left")
+    is_valid = F.coalesce(F.struct("_k", id_col) <= F.col("_cut"), F.lit(False))
     out = r.withColumn("split", F.when(is_valid, F.lit("valid")).otherwise(F.lit("train")))
     if production:
         warnings.warn("production split: the training set contains the validation rows")
         out = (out.withColumn("split", F.lit("train"))
                .unionByName(out.filter(is_valid).withColumn("split", F.lit("valid"))))
-    out = out.drop("_rn", "_n", "_k")
+    out = out.select(strat, *[c for c in df.columns if c != strat], "split")
     return out.drop("_all") if not stratum_col else out

@@ -59,17 +59,20 @@ def tagger_predict(model, features: DataFrame) -> DataFrame:
 
 
 def predict_aux(reviews: DataFrame, tagger, nb: P.NaiveBayesModel,
-                window: int = S.WINDOW_AUX, threshold: float = S.NEUTRAL_THRESHOLD) -> DataFrame:
+                window: int = S.WINDOW_AUX, threshold: float = S.NEUTRAL_THRESHOLD,
+                parts: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Tagger aspects of each review (computed once per review), a text window of
     ``window`` tokens around each first word (same tokenization as the main path), and
-    its polarity.  No tagged word -> ['None'] with the whole review as window."""
-    prepared, sentences, tokens = A.annotate_corpus(reviews)
+    its polarity.  ``tagger`` is a fitted pipeline, or a function from words (review_id,
+    sent_id, i, word) to the same rows with ``tag_pred``; ``parts`` are the sentences and
+    tokens if they exist already.  No tagged word -> ['None'] with the whole review as window."""
+    sentences, tokens = parts or A.annotate_corpus(reviews)[1:]
     # review-level word positions: offset of each sentence's first token
     ws = Window.partitionBy("review_id").orderBy("sent_id")
     off = sentences.select("review_id", "sent_id", "n_tokens").withColumn(
         "_off", F.coalesce(F.sum("n_tokens").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     words = tokens.select("review_id", "sent_id", "i", F.col("text").alias("word"))
-    pred = tagger_predict(tagger, token_features(words, ["review_id", "sent_id"]))
+    pred = tagger(words) if callable(tagger) else tagger_predict(tagger, token_features(words, ["review_id", "sent_id"]))
     pred = pred.join(off.select("review_id", "sent_id", "_off"), ["review_id", "sent_id"]).withColumn(
         "ri", (F.col("i") + F.col("_off")).cast("int"))
     dec = SP.bio_decode(pred, ["review_id"], "tag_pred", "word", "ri")

@@ -484,6 +484,34 @@ allr AS (SELECT * FROM bd UNION ALL SELECT * FROM nohit)"""
                            "ELSE 'blank_text' END AS reason FROM documents "
                            "WHERE doc_id % 10 < 2 OR text IS NULL OR NOT regexp_matches(text, '\\S')")
 
+    aux = f"""
+at0 AS (SELECT review_id, sent_id, i, text, CASE WHEN kind = 'noun' AND lag(kind) OVER w = 'adj' THEN 'B'
+          WHEN kind = 'noun' AND lag(kind) OVER w = 'noun' AND lag(kind, 2) OVER w = 'adj' THEN 'I' ELSE 'O' END AS tag_pred
+        FROM tg WINDOW w AS (PARTITION BY review_id, sent_id ORDER BY i)),
+ofs AS (SELECT review_id, sent_id, coalesce(sum(n_tokens) OVER (PARTITION BY review_id ORDER BY sent_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM spm),
+aw AS (SELECT t.review_id, t.i + ofs.o AS ri, t.text, t.tag_pred, coalesce(voc.lo, 0.0) AS lo
+       FROM at0 t JOIN ofs USING (review_id, sent_id) LEFT JOIN voc ON voc.word = lower(t.text)),
+rn AS (SELECT review_id, 0 AS sent_id, CAST(sum(n_tokens) AS BIGINT) AS n_tokens FROM spm GROUP BY review_id),
+ax AS (SELECT *, lag(ri) OVER (PARTITION BY review_id ORDER BY ri) AS prv FROM aw WHERE tag_pred <> 'O'),
+ay AS (SELECT *, sum(CASE WHEN tag_pred = 'I' AND ri - prv = 1 THEN 0 ELSE 1 END) OVER (PARTITION BY review_id ORDER BY ri
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sp FROM ax),
+az AS (SELECT review_id, 0 AS sent_id, CAST(min(ri) AS BIGINT) AS aspect_i, string_agg(text, ' ' ORDER BY ri) AS aspect FROM ay GROUP BY review_id, sp),
+""" + re.sub(r"\b(bs|bp|bq|bd)\b", r"x\1", window_ctes("az", S.WINDOW_AUX)).replace("spm", "rn") + """,
+aa AS (SELECT review_id, aspect_i, aspect, win_left, win_right FROM xbd UNION ALL
+       SELECT review_id, 0, 'None', 0, n_tokens FROM rn WHERE review_id NOT IN (SELECT review_id FROM az)),
+ab AS (SELECT a.review_id, a.aspect_i, a.aspect, coalesce(sum(aw.lo), 0.0) AS s FROM aa a LEFT JOIN aw ON aw.review_id = a.review_id
+         AND aw.ri >= a.win_left AND aw.ri < a.win_right GROUP BY a.review_id, a.aspect_i, a.aspect),
+ac AS (SELECT ab.*, """ + label_prob("prior_lo + s")[0] + " AS lab, " + label_prob("prior_lo + s")[1] + """ AS prob FROM ab, pri),
+au AS (SELECT review_id, array_to_string(list(aspect ORDER BY aspect_i), '|') AS aspects_aux,
+         array_to_string(list(CASE WHEN prob >= 0.7 THEN lab ELSE 'neutral' END ORDER BY aspect_i), '|') AS polarity_aux,
+         round(min(prob), 6) AS least_prob_aux FROM ac GROUP BY review_id)"""
+    o["predict_flat_aux"] = _with(training_ctes(), nb_ctes(), text_ctes(REVIEWS), rule_ctes(), entity_ctes(), predict_ctes(), aux) + (
+        "\nSELECT f.*, au.aspects_aux, au.polarity_aux, au.least_prob_aux FROM ("
+        + o["predict_flat"][o["predict_flat"].rindex("\nSELECT review_id, "):] + ") f LEFT JOIN au ON au.review_id = f.review_id")
+    o["lr_invariants"] = ("SELECT doc_id AS review_id, TRUE AS label_known, TRUE AS prob_in_range, TRUE AS beats_majority "
+                          "FROM documents WHERE regexp_matches(text, '\\S')")
+
     # sampling
     o["seeded_sample"] = ("SELECT doc_id, source FROM documents ORDER BY md5('1:' || CAST(doc_id AS VARCHAR)), doc_id "
                           "LIMIT 100")
@@ -546,11 +574,16 @@ SELECT label, round(threshold, 6) AS threshold, tp, fp, round(tpr, 6) AS tpr, ro
                          f"(SELECT DISTINCT polarity AS label FROM ({LABELLED}) WHERE polarity IS NOT NULL)")
 
     # gold / BIO
+    bench_src = """SELECT item_id * 1048576 + pos AS review_id, regexp_replace(t, '^\\s+|\\s+$', '', 'g') AS review_text
+  FROM (SELECT item_id, unnest(p) AS t, unnest(range(len(p))) AS pos FROM (
+          SELECT item_id, string_split(regexp_replace(text, '([.!?])[ \\t\\n\\r\\f]+', '\\1' || chr(1), 'g'), chr(1)) AS p
+          FROM benchmark)) WHERE regexp_replace(t, '^\\s+|\\s+$', '', 'g') <> ''"""
     gold = f"""
-gw AS (SELECT item_id AS review_id, text AS review_text, {words_sql('text')} AS w FROM benchmark),
+gw AS (SELECT review_id, review_text, {words_sql('review_text')} AS w FROM ({bench_src})),
 g0 AS (SELECT review_id, review_text, w, CASE item_id_mod WHEN 0 THEN [w[3]] WHEN 1 THEN [concat_ws(' ', w[2], w[3])]
-         WHEN 2 THEN ['zzqabsent'] WHEN 3 THEN ['NULL'] WHEN 4 THEN [w[1], 'NULL'] ELSE []::VARCHAR[] END AS a0
-       FROM (SELECT *, review_id % 6 AS item_id_mod FROM gw)),
+         WHEN 2 THEN ['zzqabsent'] WHEN 3 THEN ['NULL'] WHEN 4 THEN [w[1], 'NULL']
+         WHEN 6 THEN [w[1], w[3]] WHEN 7 THEN [concat_ws(' ', w[2], w[1])] ELSE []::VARCHAR[] END AS a0
+       FROM (SELECT *, review_id % 8 AS item_id_mod FROM gw)),
 gold AS (SELECT review_id, review_text, w AS text_tokens, list_filter(a0, x -> x IS NOT NULL AND x <> '') AS aspect FROM g0),
 gi AS (SELECT *, CASE WHEN len(aspect) = 0 THEN ['NULL'] ELSE aspect END AS asp FROM gold),
 gt AS (SELECT *, list_transform(asp, a -> {words_sql('a')}) AS atok FROM gi),
@@ -559,6 +592,8 @@ bt AS (
     CASE
       WHEN list_bool_or(list_transform(atok, a -> len(a) > 0 AND a[1] = 'NULL')) AND len(atok) > 1 THEN 'implicit_aspect'
       WHEN list_bool_or(list_transform(atok, a -> len(a) > 0 AND a[1] = 'NULL')) THEN 'ok'
+      WHEN len(atok) > 1 AND list_bool_or(list_transform(atok, a -> list_position(text_tokens, a[1]) IS NULL)) THEN 'corrupted'
+      WHEN len(atok) > 1 THEN 'ok'
       WHEN len(atok[1]) = 1 AND list_position(text_tokens, atok[1][1]) IS NULL THEN 'corrupted'
       WHEN len(atok[1]) = 1 THEN 'ok'
       WHEN list_bool_or(list_transform(atok[1], x -> list_position(text_tokens, x) IS NULL)) THEN 'corrupted'
@@ -567,12 +602,14 @@ bt AS (
       ELSE 'aspect_multi_occurrence' END AS status,
     CASE WHEN list_bool_or(list_transform(atok, a -> len(a) > 0 AND a[1] = 'NULL')) THEN NULL
          ELSE list_position(text_tokens, atok[1][1]) END AS p1,
+    list_transform(atok, a -> list_position(text_tokens, a[1])) AS firsts,
     CASE WHEN list_bool_or(list_transform(atok, a -> len(a) > 0 AND a[1] = 'NULL')) THEN 0 ELSE len(atok[1]) END AS alen
   FROM gt),
 bio AS (
   SELECT review_id, aspect, text_tokens, status,
     CASE WHEN status <> 'ok' THEN NULL
          WHEN p1 IS NULL THEN list_transform(text_tokens, x -> 'O')
+         WHEN len(firsts) > 1 THEN list_transform(range(1, len(text_tokens) + 1), j -> CASE WHEN list_contains(firsts, j) THEN 'B' ELSE 'O' END)
          ELSE list_transform(range(1, len(text_tokens) + 1), j -> CASE WHEN j = p1 THEN 'B'
               WHEN j > p1 AND j < p1 + alen THEN 'I' ELSE 'O' END) END AS tags
   FROM bt)"""
@@ -658,7 +695,6 @@ ts AS (SELECT review_id, array_to_string(list_transform(tags, t -> CASE t WHEN '
 tr AS (SELECT *, row_number() OVER (PARTITION BY type_aspect ORDER BY md5('100:' || CAST(review_id AS VARCHAR)), review_id) AS rn,
               count(*) OVER (PARTITION BY type_aspect) AS n FROM ts)
 SELECT type_aspect, review_id, codes, CASE WHEN rn <= ceil(n * 0.2) THEN 'valid' ELSE 'train' END AS split FROM tr"""
-    bench_src = "SELECT item_id AS review_id, text AS review_text FROM benchmark"
     ev = _with(training_ctes(), nb_ctes(), text_ctes(bench_src), rule_ctes(), entity_ctes(), predict_ctes(), gold) + """,
 fl AS (SELECT review_id, list(aspect ORDER BY sent_id, rule_no NULLS FIRST, ord_i NULLS FIRST, aspect NULLS FIRST, sentiment) AS aspects,
               list(sentiment ORDER BY sent_id, rule_no NULLS FIRST, ord_i NULLS FIRST, aspect NULLS FIRST, sentiment) AS pp

@@ -364,11 +364,11 @@ def _gold_tokens(spark, sf):
     return t.withColumn("pred", _baseline_tag(t))
 
 
-def _baseline_tag(t):
+def _baseline_tag(t, keys=("review_id",)):
     """Deterministic baseline tagger used by the metric checks: B for a noun-like word
     right after an adjective-suffixed word, I for a further such noun, else O."""
     from pyspark.sql import Window
-    w = Window.partitionBy("review_id").orderBy("i")
+    w = Window.partitionBy(*keys).orderBy("i")
     kind = A.token_kind(F.col("word"))
     prev_kind = F.lag(kind).over(w)
     prev2_kind = F.lag(kind, 2).over(w)
@@ -430,6 +430,26 @@ def q_tagger_predict(spark, sf):
     return finalize(d)
 
 
+def q_predict_flat_aux(spark, sf):
+    """Flat prediction with the auxiliary columns, by a deterministic tagger."""
+    rule = lambda words: words.withColumn("tag_pred", _baseline_tag(words, K))
+    out = PR.predict(reviews(spark, sf), _model(spark, sf), flat=True, aux=rule)
+    return finalize(out.select("review_id", "aspects", "polarity", "aspects_aux", "polarity_aux",
+                               F.array_min("polarity_prob_aux").alias("least_prob_aux")))
+
+
+def q_lr_invariants(spark, sf):
+    """Logistic regression over all documents: every label known, every probability in
+    [0.5, 1], and better than the larger class on the balanced training rows."""
+    train = P.polarity_training_set(labelled_reviews(spark, sf))
+    model = P.lr_train(train)
+    fit = P.lr_score(model, train).join(train.select("review_id", "polarity"), "review_id")
+    share = fit.agg(F.avg((F.col("label") == F.col("polarity")).cast("double")).alias("a")).first()["a"]
+    s = P.lr_score(model, reviews(spark, sf).filter(F.col("review_text").rlike(r"\S")))
+    return s.select("review_id", F.col("label").isin(S.POSITIVE, S.NEGATIVE).alias("label_known"),
+                    F.col("prob").between(0.5, 1.0).alias("prob_in_range"), F.lit(share > 0.5).alias("beats_majority"))
+
+
 def q_predict_aux(spark, sf):
     from ..operators import tagger as TG
     t = _gold_tokens(spark, sf)
@@ -621,6 +641,8 @@ QUERIES: dict[str, Query] = {
     "tagger_train": q_tagger_train,
     "tagger_predict": q_tagger_predict,
     "predict_aux": q_predict_aux,
+    "predict_flat_aux": q_predict_flat_aux,
+    "lr_invariants": q_lr_invariants,
     "classification_report": q_classification_report,
     "heldout_report": q_heldout_report,
     "confusion_matrix": q_confusion_matrix,

@@ -5,9 +5,9 @@
 * polarity labels: ``labels`` — quality 1 and toxic 0 -> positive; quality 0 ->
   negative; quality 1 and toxic 1 -> conflict.
 * numeric ratings: ``events.value``.
-* gold aspects: ``benchmark``, derived from the item's own words by ``item_id % 6``:
-  one word / two words / an absent word / NULL / a word plus NULL / none; gold polarity
-  by ``item_id % 4``.
+* gold aspects: the sentences of ``benchmark`` (id = item_id * 2**20 + position), derived
+  from the sentence's own words by ``id % 8``: one word / two words / an absent word / NULL /
+  a word plus NULL / none / two words apart / two words swapped; gold polarity by ``id % 4``.
 * fan-out join: ``part`` x ``lineitem``.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions import text as TX
 from ..operators import bio as B
 
 
@@ -46,15 +47,19 @@ def labelled_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """benchmark -> gold table: review_id, review_text, aspect (array), polarity (array)."""
-    b = table(spark, sf_dir, "benchmark")
+    b = (table(spark, sf_dir, "benchmark").select("item_id", F.posexplode(TX.sentence_pieces(F.col("text"))).alias("pos", "t"))
+         .select((F.col("item_id") * 1048576 + F.col("pos")).alias("item_id"),
+                 F.regexp_replace("t", r"^\s+|\s+$", "").alias("text")).filter(F.col("text") != ""))
     w = B.words(F.col("text"))
-    k = F.col("item_id") % 6
+    k = F.col("item_id") % 8
     w0, w1, w2 = F.get(w, 0), F.get(w, 1), F.get(w, 2)
     asp = (F.when(k == 0, F.array(w2))
             .when(k == 1, F.array(F.concat_ws(" ", w1, w2)))
             .when(k == 2, F.array(F.lit("zzqabsent")))
             .when(k == 3, F.array(F.lit(S.NULL_ASPECT)))
             .when(k == 4, F.array(w0, F.lit(S.NULL_ASPECT)))
+            .when(k == 6, F.array(w0, w2))
+            .when(k == 7, F.array(F.concat_ws(" ", w1, w0)))
             .otherwise(F.array().cast("array<string>")))
     pol_names = F.array(*[F.lit(x) for x in (S.POSITIVE, S.NEGATIVE, S.NEUTRAL, S.CONFLICT)])
     pol = F.get(pol_names, (F.col("item_id") % 4).cast("int"))
