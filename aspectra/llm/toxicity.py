@@ -2,16 +2,18 @@
 
 Training (labelled rows only):
 1. *Ratios*: for every hashed character n-gram (3 to 5 characters, across word edges) the
-   number of toxic and of other training documents that contain it, summed over **all**
-   training rows by Spark (at most 2**BITS rows reach the driver).  The ratio is
+   number of toxic and of other training documents that contain it, summed by Spark (at
+   most 2**BITS rows reach the driver).  The ratio is
    r = log(p / q) with both rates smoothed towards the common rate, so an unseen n-gram has
    r = 0.
 2. *Features*: the ``FEATURES`` n-grams that separate the labels best (signed G-statistic
    of their counts).  A document's feature is r if it contains the n-gram, else 0: presence,
    so the length of a text does not dilute it.
-3. *Weights*: logistic regression with an L2 penalty over these scaled features, fitted on
-   a bounded sample of ``SAMPLE`` training rows (a documented bound; rows are taken by the
-   hash of their id).
+3. *Weights*: logistic regression with an L2 penalty over these scaled features.
+
+Both steps learn from a bounded sample of about ``SAMPLE`` labelled rows (all of them if
+there are no more), taken by the hash of their id.  Only the sample's ids and labels are
+broadcast; no text is shuffled.
 
 Scoring reads every whole text once; the model (two arrays of FEATURES numbers) is the only
 thing broadcast.  The score depends on the text alone.
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, ready, texts_of
+from .common import cut_lineage, held_out, ready, texts_of
 from .ngrams import code_points, hashed
 
 BITS = 20
@@ -111,11 +113,10 @@ def _fit_weights(rows: list[np.ndarray], ratio: np.ndarray, y: np.ndarray) -> tu
     return w, float(bias)
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label",
-          sample: int = SAMPLE) -> ToxicityModel:
-    """Fit on rows (id, text, label 0/1)."""
+def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label") -> ToxicityModel:
+    """Fit on rows (text, label 0/1); see ``training_rows`` for their bound."""
     ready(labelled.sparkSession)
-    rows = labelled.select(F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y"), F.col(id_col).alias("i"))
+    rows = cut_lineage(labelled.select(F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y")))
     counted = (rows.select("t", "y").mapInArrow(_count_rows, "b long, n0 long, n1 long")
                .groupBy("b").agg(F.sum("n0"), F.sum("n1")).toArrow())
     counts = np.stack([c.to_numpy() for c in counted.columns], axis=1) if counted.num_rows else np.zeros((0, 3), dtype=np.int64)
@@ -137,12 +138,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 found.append(at[bucket[at] == x].astype(np.int16).tobytes() if len(bucket) else b"")
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), b.column(1)], names=["f", "y"])
 
-    # about ``sample`` rows by hash, and never more than twice that
-    keep = F.pmod(F.xxhash64("i"), F.lit(1_000_000)) < int(min(1.0, sample / total.sum()) * 1_000_000)
-    got = rows.filter(keep).select("t", "y").mapInArrow(features, "f binary, y int").limit(2 * sample).toArrow()
+    got = rows.select("t", "y").mapInArrow(features, "f binary, y int").toArrow()
     y = np.array(got.column(1).to_pylist(), dtype=float)
-    if len(set(y)) < 2:
-        raise ValueError("the training sample holds one class only; raise the sample bound")
     w, bias = _fit_weights([np.frombuffer(f, np.int16).astype(np.int64) for f in got.column(0).to_pylist()], ratio, y)
     return ToxicityModel(bucket, w * ratio, bias)
 
@@ -171,8 +168,10 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     return docs.select(f"`{id_col}`", f"`{text_col}`").mapInArrow(run, f"`{id_col}` {id_type}, score double")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents that are not held out: id, text, label."""
-    lab = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Labelled documents that are not held out, about ``sample`` of them: id, text, label."""
+    lab = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
            .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("label")))
-    return docs.filter(~held_out("doc_id")).select("doc_id", "text").join(lab, "doc_id")
+    share = min(1.0, sample / max(1, lab.count()))
+    picked = lab.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
