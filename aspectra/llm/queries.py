@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, exact_dedup, langid, order_minhash, packing, quality, secret_scan, token_counts, toxicity, warc
-from .common import documents, held_out, ready, run_folder
+from . import (bpe_chunks, exact_dedup, langid, order_minhash, packing, periodic_runs, quality, secret_scan, token_counts,
+               toxicity, warc)
+from .common import SPACE_CLASS, documents, held_out, ready, run_folder
 
 
 def op1_exact_dedup(spark, sf_dir):
@@ -70,8 +71,35 @@ def op10_packing(spark, sf_dir):
                          "sequence_id", "offset")
 
 
+def with_planted_runs(docs):
+    """``documents`` with the periodic stretches that the contract of operator 13 plants in
+    about a tenth of the texts; a row without an id keeps its text."""
+    d = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    d = d.withColumn("w", F.when(F.col("h") % 10 == 0, F.array_remove(F.split("text", f"{SPACE_CLASS}+"), "")))
+    d = d.withColumns({"n": F.size("w"), "g": F.floor(F.col("h") / 10)})
+    d = d.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    d = d.withColumn("p", F.lit(1) + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("int"))
+    rest = F.col("n") - F.col("a")
+    copies = F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int"))
+    changed = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(F.flatten(copies), F.lit(1), rest))
+    return d.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs.find_runs(with_planted_runs(documents(spark, sf_dir)))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    b = F.col("best")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), b["start"].alias("start"), (-b["less"]).alias("length"),
+        b["period"].alias("period"), F.expr("(-1000 * best.less) div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_toxicity, op3_secret_scan, op4_warc, op5_byte_bpe, op6_order_minhash, op7_token_counts, op8_quality_rules, op9_language_id, op10_packing)}
+    op1_exact_dedup, op2_toxicity, op3_secret_scan, op4_warc, op5_byte_bpe, op6_order_minhash, op7_token_counts,
+    op8_quality_rules, op9_language_id, op10_packing, op13_periodic_runs)}
 
 LLM_ORACLES = {
     "op1_exact_dedup": """
