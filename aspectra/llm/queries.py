@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (bpe_chunks, exact_dedup, langid, order_minhash, packing, periodic_runs, quality, secret_scan, token_counts,
+from . import (bpe_chunks, cover_tree, exact_dedup, langid, order_minhash, packing, periodic_runs, quality, secret_scan, token_counts,
                toxicity, warc)
 from .common import SPACE_CLASS, documents, held_out, ready, run_folder
 
@@ -71,6 +71,11 @@ def op10_packing(spark, sf_dir):
                          "sequence_id", "offset")
 
 
+def op11_cover_tree_top_k(spark, sf_dir):
+    vectors = ready(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return cover_tree.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 def with_planted_runs(docs):
     """``documents`` with the periodic stretches that the contract of operator 13 plants in
     about a tenth of the texts; a row without an id keeps its text."""
@@ -99,7 +104,7 @@ def op13_periodic_runs(spark, sf_dir):
 
 LLM_QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_toxicity, op3_secret_scan, op4_warc, op5_byte_bpe, op6_order_minhash, op7_token_counts,
-    op8_quality_rules, op9_language_id, op10_packing, op13_periodic_runs)}
+    op8_quality_rules, op9_language_id, op10_packing, op11_cover_tree_top_k, op13_periodic_runs)}
 
 LLM_ORACLES = {
     "op1_exact_dedup": """
@@ -159,4 +164,18 @@ LLM_ORACLES = {
                (fail_mask & 3) <> 0 AS base_failed, fail_mask = 0 AS kept, fail_mask::BIGINT AS fail_mask
         FROM f
     """,
+    "op11_cover_tree_top_k": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, r.vec_id,
+                 list_sum(list_transform(list_zip(q.e, r.e), lambda p: p[1] * p[2]))::BIGINT AS score
+          FROM v q JOIN v r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id)
+        SELECT query_id, row_number() OVER b AS rank, vec_id, score
+        FROM s WINDOW b AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY rank <= 5
+    """,
 }
