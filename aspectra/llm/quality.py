@@ -160,5 +160,9 @@ def filter_documents(docs: DataFrame, text_col: str = "text", policy: str = "web
     cols = docs.columns
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__q_row"),
                     F.col(f"`{text_col}`").alias("__q_x"))
-    d = add_mask(measure(d, "__q_x", ["__q_row"])).filter(passes(policy, version))
-    return d.select(*[F.col(f"__q_row.`{c}`") for c in cols])
+    led = add_mask(measure(d, "__q_x", ["__q_row"]))
+    # a filter on fail_mask would be pushed below the measuring steps, each of them inlined
+    # many times over; no predicate passes an explode, so the ledger stays as it is
+    good = F.filter(F.array(F.struct("__q_row", "fail_mask")),
+                    lambda x: x["fail_mask"].bitwiseAND(F.lit(policy_mask(policy, version)).cast("long")) == 0)
+    return led.select(F.explode(good).alias("__q_good")).select(*[F.col(f"__q_good.__q_row.`{c}`") for c in cols])
