@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import (bpe_chunks, cover_tree, exact_dedup, langid, order_minhash, packing, periodic_runs, quality, secret_scan, token_counts,
-               toxicity, warc)
+from . import (bpe_chunks, cover_tree, exact_dedup, langid, order_minhash, packing, periodic_runs, quality, secret_scan, spelling,
+               token_counts, toxicity, warc)
 from .common import SPACE_CLASS, documents, held_out, ready, run_folder
 
 
@@ -76,6 +76,25 @@ def op11_cover_tree_top_k(spark, sf_dir):
     return cover_tree.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def letter_runs(docs):
+    """Maximal runs of letters (A to Z, U+00C0 to U+00FF; A to Z in lower case) of ``documents``, one row
+    per occurrence, with the letter left out that the contract of operator 12 deletes."""
+    run = F.col("run")
+    lower = F.when(F.octet_length(run) == F.length(run), F.lower(run)).otherwise(
+        F.translate(run, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    d = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+                    F.explode(F.regexp_extract_all("text", F.lit("([A-Za-z\\u00C0-\\u00FF]+)"), F.lit(1))).alias("run"))
+    d = d.select("id", lower.alias("run"))
+    d = d.select("run", F.crc32(F.concat_ws(":", "id", "run").cast("binary")).alias("h"))
+    at = (F.col("h") % F.length("run")).cast("int")
+    return d.select(F.when(F.col("h") % 97 == 0, F.concat(run.substr(F.lit(1), at), run.substr(at + 2, F.length("run"))))
+                    .otherwise(run).alias("run"))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.group_variants(spelling.vocabulary(letter_runs(documents(spark, sf_dir)), F.col("run")))
+
+
 def with_planted_runs(docs):
     """``documents`` with the periodic stretches that the contract of operator 13 plants in
     about a tenth of the texts; a row without an id keeps its text."""
@@ -104,7 +123,8 @@ def op13_periodic_runs(spark, sf_dir):
 
 LLM_QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_toxicity, op3_secret_scan, op4_warc, op5_byte_bpe, op6_order_minhash, op7_token_counts,
-    op8_quality_rules, op9_language_id, op10_packing, op11_cover_tree_top_k, op13_periodic_runs)}
+    op8_quality_rules, op9_language_id, op10_packing, op11_cover_tree_top_k, op12_spelling_variants,
+    op13_periodic_runs)}
 
 LLM_ORACLES = {
     "op1_exact_dedup": """
@@ -178,4 +198,44 @@ LLM_ORACLES = {
         FROM s WINDOW b AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
         QUALIFY rank <= 5
     """,
+    "op12_spelling_variants": r"""
+        WITH RECURSIVE bytes AS (SELECT range(0, 256) AS b),
+        shifts AS (
+          SELECT list_transform(b, lambda x: list_reduce(list_prepend(x, range(0, 8)),
+                   lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crc FROM bytes),
+        runs AS (
+          SELECT coalesce(doc_id::VARCHAR, '') AS id,
+                 translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+          FROM documents),
+        per_doc AS (SELECT id, run, count(*) AS c FROM runs GROUP BY ALL),
+        hashed AS (
+          SELECT run, c, xor(4294967295, list_reduce(
+                   list_prepend(4294967295, list_transform(range(1, strlen(id || ':' || run) + 1),
+                     lambda i: ('0x' || substr(hex(encode(id || ':' || run)), 2 * i - 1, 2))::BIGINT)),
+                   lambda s, x: xor(crc[(xor(s, x) & 255) + 1], s >> 8))) AS h
+          FROM per_doc, shifts),
+        words AS (
+          SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c
+          FROM hashed),
+        v AS (SELECT word, sum(c)::BIGINT AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+        cut AS (
+          SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+          FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+        near AS (
+          SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+          UNION SELECT a.word, b.word, b.n FROM cut a JOIN v b ON a.rest = b.word
+          UNION SELECT b.word, a.word, a.n FROM cut a JOIN v b ON a.rest = b.word),
+        best AS (
+          SELECT word, count(*) AS n_near, max(n) AS top, arg_min(other, (-n, other)) AS other FROM near GROUP BY word),
+        forms AS (
+          SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+                 CASE WHEN top >= 2 * v.n THEN other END AS form, CASE WHEN top >= 2 * v.n THEN top END AS form_n
+          FROM v LEFT JOIN best ON v.word = best.word),
+        follow AS (
+          SELECT word, word AS last, form AS next FROM forms
+          UNION ALL SELECT f.word, f.next, g.form FROM follow f JOIN forms g ON f.next = g.word)
+        SELECT forms.word, form, last AS root, n, n_near, form_n
+        FROM forms JOIN follow ON forms.word = follow.word AND next IS NULL
+    """,
 }
