@@ -43,6 +43,18 @@ def prepare_reviews(reviews: DataFrame, id_col: str = "review_id", text_col: str
     return r.repartition(num_partitions or text_partitions(reviews), "review_id")
 
 
+def spread(reviews: DataFrame, id_col: str = "review_id", text_col: str = "review_text") -> DataFrame:
+    """(review_id, review_text) for the in-row path, which needs no partitioning: large inputs
+    stay where their files put them; an input whose files cannot occupy all cores (known to
+    be below ``TEXT_BYTES_PER_PARTITION`` per core) is spread once, by review_id."""
+    from ..session import TEXT_BYTES_PER_PARTITION, input_bytes
+    S.require_columns(reviews, [id_col, text_col], "spread")
+    cores = int(reviews.sparkSession.sparkContext.defaultParallelism)
+    if reviews.isStreaming or not 0 <= input_bytes(reviews) < cores * TEXT_BYTES_PER_PARTITION:
+        return reviews.select(F.col(id_col).alias("review_id"), F.col(text_col).alias("review_text"))
+    return prepare_reviews(reviews, id_col, text_col)
+
+
 def split_sentences(reviews: DataFrame, id_col: str = "review_id",
                     text_col: str = "review_text", exact_unicode: bool = False,
                     num_partitions: int | None = None,
@@ -85,8 +97,8 @@ def tokenize(sentences: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------------
 # Lexicon + suffix tagger
 # ---------------------------------------------------------------------------------------
-def token_kind(text: Column) -> Column:
-    low = F.lower(text)
+def token_kind(text: Column, lowered: bool = False) -> Column:
+    low = text if lowered else F.lower(text)
     k = None
     for words, kind in ((S.LEX_DET, "det"), (S.LEX_BE, "be"), (S.LEX_MODAL, "modal"),
                         (S.LEX_NEG, "neg"), (S.LEX_PRON, "pron"), (S.LEX_INTJ, "intj")):

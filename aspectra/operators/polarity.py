@@ -144,7 +144,7 @@ def nb_train(train: DataFrame, text_col: str = "review_text", label_col: str = "
     return NaiveBayesModel(vocab, math.log(d_pos / d_neg))
 
 
-def _frequent_words(model: NaiveBayesModel, max_bytes: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+def frequent_words(model: NaiveBayesModel, max_bytes: int | None = None) -> tuple[DataFrame, DataFrame | None]:
     """(head, tail): word and lo of the words above a frequency, within ``max_bytes`` (so
     the head may be broadcast), and of the others (None if there are none)."""
     max_bytes = HEAD_BYTES if max_bytes is None else max_bytes
@@ -166,10 +166,12 @@ def _frequent_words(model: NaiveBayesModel, max_bytes: int | None = None) -> tup
             words.filter(F.col("_n") < least).select("word", "lo"))
 
 
-def with_log_odds(rows: DataFrame, model: NaiveBayesModel, word: Column, max_bytes: int | None = None) -> DataFrame:
+def with_log_odds(rows: DataFrame, model: NaiveBayesModel, word: Column, max_bytes: int | None = None,
+                  parts: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
     """``rows`` plus ``lo`` of their word (0 for unknown words and null).  Frequent words
-    are settled on the map side; only rows with other words are shuffled by the word."""
-    head, tail = _frequent_words(model, max_bytes)
+    are settled on the map side; only rows with other words are shuffled by the word.
+    ``parts``: the result of ``frequent_words`` if it is known already."""
+    head, tail = parts or frequent_words(model, max_bytes)
     r = rows.withColumn("_word", word)
     j = r.join(F.broadcast(head.withColumnRenamed("word", "_word")), "_word", "left")
     if tail is not None:

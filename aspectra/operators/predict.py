@@ -1,9 +1,11 @@
 """End-to-end prediction.
 
 ``predict(reviews, model)`` is DataFrame in, DataFrame out: one row per finding (long
-form) or one row per review (flat form).  The polarity of each finding is the naive
-Bayes score of its text window, computed from per-token running sums, so window texts
-are never re-tokenised or exploded.
+form) or one row per review (flat form).  Findings come from the in-row path
+(``inrow.extract``), which also hands over the words of each window; their log-odds are
+looked up in the broadcast head of the vocabulary and summed map-side, so findings are
+shuffled, never tokens.  With a token table of another annotator, the relational rules run
+on it and windows are scored from per-token running sums.
 """
 
 from __future__ import annotations
@@ -14,7 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..session import cut_lineage
 from . import annotate as A
+from . import inrow as I
 from . import polarity as P
 from . import rules as R
 
@@ -41,6 +45,18 @@ def span_scores(found: DataFrame, prior: F.Column, threshold: float) -> DataFram
                  .drop("l_lo", "l_cum_lo", "r_lo", "r_cum_lo"))
 
 
+def window_scores(found: DataFrame, model: P.NaiveBayesModel, threshold: float) -> DataFrame:
+    """Score each window = prior + sum of the log-odds of its words (``win_words``)."""
+    parts = P.frequent_words(model)
+    if parts[1] is not None:  # rare words take a second pass over the findings
+        found = cut_lineage(found)
+    keys = [c for c in found.columns if c != "win_words"]
+    words = found.select(*keys, F.explode_outer("win_words").alias("_w"))
+    out = P.with_log_odds(words, model, F.col("_w"), parts=parts).groupBy(*keys).agg(F.sum("lo").alias("_s"))
+    label, prob, sentiment = P.probability_columns(model.prior() + F.col("_s"), threshold)
+    return out.select(*keys, sentiment.alias("sentiment"), prob.alias("sentiment_prob"))
+
+
 def predict_long(reviews: DataFrame, model: P.NaiveBayesModel, window: int = S.WINDOW_MAIN,
                  threshold: float = S.NEUTRAL_THRESHOLD, compat_rule_ids: bool = False,
                  keep_duplicates: bool = False, tokens: DataFrame | None = None,
@@ -48,15 +64,20 @@ def predict_long(reviews: DataFrame, model: P.NaiveBayesModel, window: int = S.W
     """E1/E3 long form: one row per finding (plus one all-null row per sentence without
     a finding) with sentiment and its probability.  ``scorer`` replaces the naive Bayes
     score: it gets each distinct window text once."""
-    sentences = A.split_sentences(reviews) if sentences is None else sentences
-    tokens = A.annotate(sentences) if tokens is None else tokens
+    if sentences is None:
+        sentences = A.split_sentences(A.spread(reviews), assume_partitioned=True)
     if scorer is not None:
-        found = R.extract_aspects(sentences, tokens, window, compat_rule_ids, keep_duplicates,
-                                  span_tokens=tokens.select(*K, "i", "idx", "text"))
+        if tokens is None:
+            found = I.extract(sentences, window, compat_rule_ids, keep_duplicates)
+        else:
+            found = R.extract_aspects(sentences, tokens, window, compat_rule_ids, keep_duplicates,
+                                      span_tokens=tokens.select(*K, "i", "idx", "text"))
         texts = found.select(F.col("aspect_sentence").alias("text")).distinct()
         scored = scorer(texts).select(F.col("text").alias("_text"), "label", F.col("prob").alias("sentiment_prob"))
         return (found.join(scored, found["aspect_sentence"] == scored["_text"], "left").drop("_text")
                 .withColumn("sentiment", P.neutral_threshold(F.col("label"), F.col("sentiment_prob"), threshold)).drop("label"))
+    if tokens is None:
+        return window_scores(I.extract(sentences, window, compat_rule_ids, keep_duplicates, with_words=True), model, threshold)
     scored = P.token_scores(tokens.select(*K, "i", "idx", "text"), model)
     found = R.extract_aspects(sentences, tokens, window, compat_rule_ids, keep_duplicates,
                               span_tokens=scored.select(*K, "i", "idx", "text", "lo", "cum_lo"))
@@ -92,17 +113,15 @@ def predict(reviews: DataFrame, model: P.NaiveBayesModel, flat: bool = False,
     * ``include_text`` adds the review text as column ``review`` (a join back to the
       reviews on review_id); it is off by default because it re-reads the text."""
     good = reviews.filter(F.col("review_text").rlike(r"\S"))
-    if tokens is None:
-        prepared, sentences, tokens = A.annotate_corpus(good)
-    else:
-        prepared = A.prepare_reviews(good)
-        sentences = A.split_sentences(prepared, assume_partitioned=True)
+    prepared = A.spread(good) if tokens is None else A.prepare_reviews(good)
+    sentences = A.split_sentences(prepared, assume_partitioned=True)
     out = predict_long(prepared, model, sentences=sentences, tokens=tokens, scorer=scorer, **kw)
     if flat:
         out = flatten(out)
     if aux is not None:
         from .tagger import predict_aux
-        out = out.join(predict_aux(prepared, aux, model, parts=(sentences, tokens)), "review_id", "left")
+        parts = None if tokens is None else (sentences, tokens)
+        out = out.join(predict_aux(prepared, aux, model, parts=parts), "review_id", "left")
     if include_text:
         out = out.join(prepared.select("review_id", F.col("review_text").alias("review")), "review_id")
     return out

@@ -88,10 +88,11 @@ sp0 AS (
                                  chr(1)) AS pieces
   FROM rv),
 sp1 AS (SELECT review_id, unnest(pieces) AS sentence_raw, unnest(range(len(pieces))) AS sent_id FROM sp0),
-sp AS (
+sp AS MATERIALIZED (
   SELECT review_id, sent_id, sentence_raw, {clean_sql('sentence_raw')} AS sentence
   FROM sp1 WHERE regexp_matches(sentence_raw, '\\S')),
-spm AS (SELECT *, {matches_sql('sentence')} AS matches, len({matches_sql('sentence')}) AS n_tokens FROM sp),
+spm0 AS MATERIALIZED (SELECT *, {matches_sql('sentence')} AS matches FROM sp),
+spm AS (SELECT *, len(matches) AS n_tokens FROM spm0),
 tk0 AS (SELECT review_id, sent_id, unnest(matches) AS m0, unnest(range(len(matches))) AS i FROM spm),
 tk AS (
   SELECT review_id, sent_id, i, trim(replace(m0, chr(2), '')) AS text,
@@ -143,7 +144,7 @@ c3 AS (
     WHEN kind = 'punct' THEN 'punct'
     ELSE 'dep' END AS dep
   FROM c2),
-ln AS (
+ln AS MATERIALIZED (
   SELECT review_id, sent_id, i, idx, text, lemma, pos, tag, dep,
     CAST(CASE WHEN i = pred_i THEN i
          WHEN dep = 'det' THEN coalesce(next_noun_i, pred_i, i)

@@ -17,6 +17,7 @@ from ..functions import text as TX
 from ..operators import annotate as A
 from ..operators import bio as B
 from ..operators import evaluate as EV
+from ..operators import inrow as IR
 from ..operators import polarity as P
 from ..operators import predict as PR
 from ..operators import rules as R
@@ -65,7 +66,8 @@ def q_token_table(spark, sf):
 
 
 def q_annotate_tokens(spark, sf):
-    _, _, t = _corpus(spark, sf)
+    s = A.split_sentences(A.spread(reviews(spark, sf)), assume_partitioned=True)
+    t = IR.token_table(IR.sentence_tokens(s))
     return finalize(t.select(*K, "i", "text", "pos", "tag", "dep", "head_i", "is_stop"))
 
 
@@ -103,9 +105,7 @@ def _rule_query(n: int) -> Query:
 
 
 def q_extract_aspects(spark, sf):
-    _, s, t = _corpus(spark, sf)
-    e = R.extract_aspects(s, t.select(*K, "i", "idx", "text", "pos", "dep", "head_i", "is_stop", "tag"),
-                          S.WINDOW_MAIN, span_tokens=t.select(*K, "i", "idx", "text"))
+    e = IR.extract_reviews(reviews(spark, sf))
     return finalize(e.select(*K, "rule_no", "ord_i", "aspect", "modifier", "rule", "aspect_idx", "aspect_i",
                              "win_left", "win_right", "aspect_sentence"))
 
@@ -118,8 +118,7 @@ def q_extract_aspects_bucketed(spark, sf):
     r = reviews(spark, sf)
     name = f"aspectra_reviews_{uuid.uuid4().hex[:8]}"
     t = RD.write_bucketed_reviews(r, name, scratch_path(spark, "bucketed"), text_partitions(r))
-    _, s, tok = A.annotate_corpus(t, assume_partitioned=True)
-    e = R.extract_aspects(s, tok, S.WINDOW_MAIN)
+    e = IR.extract(A.split_sentences(t, assume_partitioned=True))
     return finalize(e.select(*K, "rule_no", "ord_i", "aspect", "modifier", "rule", "aspect_idx", "aspect_i",
                              "win_left", "win_right", "aspect_sentence"))
 

@@ -37,16 +37,11 @@ def predict_stream(stream: DataFrame, model: P.NaiveBayesModel, sink_path: str,
     review_text): each micro-batch runs the batch ``predict`` plan and is written under
     ``sink_path/batch_id=<n>`` (overwrite per batch id, so a replayed batch is not
     duplicated).  Per-review work needs no state across batches."""
-    from ..operators import annotate as A
     from ..operators import predict as PR
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        prepared, sentences, tokens = A.annotate_corpus(batch)
-        long_df = PR.predict_long(prepared, model, sentences=sentences, tokens=tokens, **kw)
-        out = PR.flatten(long_df) if flat else long_df
+        out = PR.predict(batch, model, flat=flat, **kw)
         out.write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
-        tokens.unpersist()  # only this batch's own caches
-        sentences.unpersist()
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
     if trigger_once:

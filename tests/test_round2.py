@@ -74,7 +74,7 @@ def test_rare_words_take_the_shuffled_way(spark, monkeypatch):
     assert [w[0] for w in want] == [1, 2, 3]
     for size in (0, 60, 200):
         monkeypatch.setattr(P, "HEAD_BYTES", size)
-        head, tail = P._frequent_words(m)
+        head, tail = P.frequent_words(m)
         assert tail is not None and head.count() + tail.count() == m.vocab.count()
         got = sorted(map(tuple, P.polarity_score(docs, m).collect()))
         assert [(g[0], g[2]) for g in got] == [(w[0], w[2]) for w in want]
