@@ -8,6 +8,7 @@ A bundle is a folder: ``vocab`` / ``prior`` (naive Bayes tables) or ``pipeline``
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import polarity as P
 
@@ -25,6 +26,29 @@ def metrics_long(report: DataFrame) -> DataFrame:
     return report.selectExpr("label", f"stack({len(cols)}, {stacked}) AS (metric, value)")
 
 
+METRIC_SCHEMA = "run string, split string, metric string, label string, value double"
+
+
+def append_metrics(path: str, run: str, split: str, rows: DataFrame) -> None:
+    """M9: append (label, metric, value) rows of a run on a split to the bundle's metric
+    store; earlier runs stay."""
+    rows.select(F.lit(run).alias("run"), F.lit(split).alias("split"), "metric", F.col("label").cast("string").alias("label"),
+                F.col("value").cast("double").alias("value")).write.mode("append").parquet(f"{path}/metric_store")
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """All runs of a bundle's metric store; no rows if there are none yet."""
+    at = f"{path}/metric_store"
+    return spark.read.schema(METRIC_SCHEMA).parquet(at) if path_exists(spark, at) else spark.createDataFrame([], METRIC_SCHEMA)
+
+
+def sequence_metrics_long(report: DataFrame) -> DataFrame:
+    """Sequence report (one row) -> (metric, label, value) rows, label ``all``."""
+    cols = ["precision", "recall", "f1", "accuracy"]
+    stacked = ", ".join(f"'{c}', CAST({c} AS DOUBLE)" for c in cols)
+    return report.selectExpr("'all' AS label", f"stack({len(cols)}, {stacked}) AS (metric, value)")
+
+
 def save_nb_bundle(model: P.NaiveBayesModel, path: str, labels: DataFrame | None = None,
                    metrics: DataFrame | None = None, training: DataFrame | None = None) -> None:
     """K4: write the model tables, label index and metrics; the training data only if

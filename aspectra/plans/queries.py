@@ -17,6 +17,7 @@ from ..functions import text as TX
 from ..operators import annotate as A
 from ..operators import bio as B
 from ..operators import evaluate as EV
+from ..operators import evaluation as EN
 from ..operators import inrow as IR
 from ..operators import polarity as P
 from ..operators import predict as PR
@@ -551,6 +552,99 @@ def q_eval_aspect(spark, sf):
     return finalize(EV.eval_aspect(_eval_base(spark, sf)))
 
 
+def q_error_stats_groupings(spark, sf):
+    """A7 in three groupings, one pass."""
+    return finalize(EN.error_stats(_error_rows(spark, sf)))
+
+
+def _blanked_run(spark, sf):
+    """Gold aligned with predictions of a run that rejected every ninth review (blank text)."""
+    g = gold_items(spark, sf)
+    text = F.when(F.col("review_id") % 9 == 0, F.lit(" ")).otherwise(F.col("review_text"))
+    return g, g.select("review_id", text.alias("review_text"))
+
+
+def q_eval_run(spark, sf):
+    """A rejected gold row stays, without a prediction."""
+    g, texts = _blanked_run(spark, sf)
+    return finalize(EN.evaluate_run(g, _model(spark, sf), texts).select("review_id", "has_prediction", "aspects"))
+
+
+def q_eval_polarity_report(spark, sf):
+    """The A9 report over every gold row, rejected ones included."""
+    g, texts = _blanked_run(spark, sf)
+    return finalize(EN.polarity_report(EN.evaluate_run(g, _model(spark, sf), texts)))
+
+
+def q_eval_coverage(spark, sf):
+    """Gold without a prediction and predictions without gold."""
+    g, texts = _blanked_run(spark, sf)
+    found = A.split_sentences(A.spread(texts), assume_partitioned=True).select("review_id")
+    return finalize(EN.coverage(g.filter(F.col("review_id") % 7 != 0), found))
+
+
+def _heldout(spark, sf):
+    return EN.heldout_reports(EN.heldout_scores(labelled_reviews(spark, sf)))
+
+
+def q_heldout_confusion_matrix(spark, sf):
+    return finalize(_heldout(spark, sf)["matrix"])
+
+
+def q_heldout_roc_auc(spark, sf):
+    return finalize(_heldout(spark, sf)["auc"])
+
+
+def q_tagger_out_of_fold(spark, sf):
+    """Every gold sentence tagged by a model trained on the other folds; per sentence what
+    must hold whatever the models say."""
+    words = _gold_tokens(spark, sf).select("review_id", "i", "word", "gold")
+    t = EN.cross_fit(words, ["review_id"], F.col("review_id") % 3, folds=3)
+    o = EV.token_outcomes(t, pred_col="tag_pred")
+    return finalize(o.groupBy("review_id").agg(
+        F.max("fold").alias("fold"), F.count(F.lit(1)).alias("n_tokens"), F.countDistinct("i").alias("n_positions"),
+        F.count_if(F.col("gold") != "O").alias("n_gold"), F.bool_and(F.col("tag_pred").isin("O", "B", "I")).alias("tags_known"),
+        (F.count_if((F.col("gold") == "O") & F.col("outcome").isin("TN", "FP"))
+         + F.count_if((F.col("gold") != "O") & F.col("outcome").isin("TP", "FN", "FP"))).alias("n_outcomes")))
+
+
+def q_error_stats_out_of_fold(spark, sf):
+    """E7 whole: A14, P16 and A7 on out-of-fold tags; the counts of each grouping add up."""
+    words = _gold_tokens(spark, sf).select("review_id", "i", "word", "gold")
+    e = EN.error_analysis(EN.cross_fit(words, ["review_id"], F.col("review_id") % 3, folds=3), B.bio_clean(_bio(spark, sf)))
+    n = F.sum("count").alias("n_sentences")
+    return finalize(e.stats.groupBy("grouping").agg(n, F.min("min").alias("least"), F.max("max").alias("most")))
+
+
+def q_metric_store(spark, sf):
+    """M9: two runs appended to a bundle's metric store, read back."""
+    from ..operators import models as MD
+    from ..sources.derived import scratch_path
+    path = scratch_path(spark, "metrics")
+    MD.append_metrics(path, "naive-bayes", "valid", MD.metrics_long(_heldout(spark, sf)["report"]))
+    MD.append_metrics(path, "rule-tagger", "gold", MD.sequence_metrics_long(EV.seq_report(_gold_tokens(spark, sf), ["review_id"])))
+    return finalize(MD.read_metrics(spark, path))
+
+
+def q_build_gold_sources(spark, sf):
+    """Four gold datasets, each read by its registered reader."""
+    from ..sources import derived as DV
+    g = RD.read_gold_sources(spark, DV.write_gold_sources(spark, sf))
+    return finalize(g.select("source", "domain", "partition", "review_text", "aspect", "polarity",
+                             F.size("position").alias("n_positions")))
+
+
+def q_gold_csv_rejects(spark, sf):
+    """Rows and rejects of a legacy CSV, counted by reason."""
+    from ..sources import derived as DV
+    good, rejects = RD.read_gold_csv_checked(spark, DV.write_gold_csv(spark, sf), header=False)
+    path = DV.scratch_path(spark, "rejects")
+    RD.write_rejects(rejects, path)
+    kept = good.select(F.lit("kept").alias("reason"), F.size("aspect").alias("items"))
+    back = spark.read.parquet(path).select("reason", F.lit(0).alias("items"))
+    return finalize(kept.unionByName(back).groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("items").alias("items")))
+
+
 def q_aspect_type_counts(spark, sf):
     g = gold_items(spark, sf)
     t = g.select(B.aspect_type(B.impute_empty(F.col("aspect"))).alias("type_aspect"))
@@ -652,6 +746,17 @@ QUERIES: dict[str, Query] = {
     "token_outcomes": q_token_outcomes,
     "error_flags": q_error_flags,
     "error_stats": q_error_stats,
+    "error_stats_groupings": q_error_stats_groupings,
+    "error_stats_out_of_fold": q_error_stats_out_of_fold,
+    "tagger_out_of_fold": q_tagger_out_of_fold,
+    "eval_run": q_eval_run,
+    "eval_coverage": q_eval_coverage,
+    "eval_polarity_report": q_eval_polarity_report,
+    "heldout_confusion_matrix": q_heldout_confusion_matrix,
+    "heldout_roc_auc": q_heldout_roc_auc,
+    "metric_store": q_metric_store,
+    "build_gold_sources": q_build_gold_sources,
+    "gold_csv_rejects": q_gold_csv_rejects,
     "eval_polarity": q_eval_polarity,
     "eval_aspect": q_eval_aspect,
     "label_encode": q_label_encode,

@@ -39,11 +39,11 @@ def write_tagged_reviews(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-def write_gold_xml(spark: SparkSession, sf_dir: str) -> str:
-    """benchmark gold -> ``<root>/{train,test}.xml`` folders of sentence records with
-    aspectTerm attributes (term, polarity, from, to)."""
-    root = scratch_path(spark, "goldxml")
-    g = gold_items(spark, sf_dir)
+def write_gold_xml(spark: SparkSession, sf_dir: str, items=None, root: str | None = None) -> str:
+    """benchmark gold (or ``items`` of it) -> ``<root>/{train,test}.xml`` folders of sentence
+    records with aspectTerm attributes (term, polarity, from, to)."""
+    root = root or scratch_path(spark, "goldxml")
+    g = gold_items(spark, sf_dir) if items is None else items
     terms = F.transform(F.arrays_zip("aspect", "polarity"), lambda z: F.struct(
         z["aspect"].alias("_term"), z["polarity"].alias("_polarity"),
         F.instr(F.col("review_text"), z["aspect"]).cast("string").alias("_from"),
@@ -80,12 +80,12 @@ def write_app_csvs(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return f"{root}/apps.csv", f"{root}/reviews.csv"
 
 
-def write_gold_opinions_xml(spark: SparkSession, sf_dir: str) -> str:
-    """benchmark gold -> ``<root>/train.xml``: Review records of up to 4 consecutive
+def write_gold_opinions_xml(spark: SparkSession, sf_dir: str, items=None, root: str | None = None) -> str:
+    """benchmark gold (or ``items`` of it) -> ``<root>/train.xml``: Review records of up to 4 consecutive
     items (review id = item_id // 4), each a sentence with Opinions (none when the item
     has no aspect)."""
-    root = scratch_path(spark, "goldopinions")
-    g = gold_items(spark, sf_dir)
+    root = root or scratch_path(spark, "goldopinions")
+    g = gold_items(spark, sf_dir) if items is None else items
     ops = F.transform(F.arrays_zip("aspect", "polarity"), lambda z: F.struct(
         z["aspect"].alias("_target"), F.lit(None).cast("string").alias("_category"),
         z["polarity"].alias("_polarity"),
@@ -101,3 +101,29 @@ def write_gold_opinions_xml(spark: SparkSession, sf_dir: str) -> str:
     (x.write.mode("overwrite").format("xml").option("rowTag", "Review").option("rootTag", "Reviews")
      .save(f"{root}/train.xml"))
     return root
+
+
+def write_gold_sources(spark: SparkSession, sf_dir: str) -> str:
+    """benchmark gold -> the folders of the four gold datasets: an item belongs to one of
+    them, by its id mod 4, in the format of that dataset."""
+    root = scratch_path(spark, "goldsources")
+    g = gold_items(spark, sf_dir)
+    for k, name in enumerate((RD.GOLD_2014, RD.GOLD_2015, RD.GOLD_2016, RD.GOLD_MAMS)):
+        write = write_gold_opinions_xml if name in (RD.GOLD_2015, RD.GOLD_2016) else write_gold_xml
+        write(spark, sf_dir, g.filter(F.col("review_id") % 4 == k), RD.source_path(root, name))
+    return root
+
+
+def write_gold_csv(spark: SparkSession, sf_dir: str) -> str:
+    """benchmark gold -> legacy ';' CSV with stringified lists; of every ten items one list
+    has no closing bracket, one text is blank and one row has a field too many."""
+    path = scratch_path(spark, "goldcsv")
+    g = gold_items(spark, sf_dir)
+    k = F.col("review_id") % 10
+    items = F.array_join(F.transform("aspect", lambda a: F.concat(F.lit("'"), a, F.lit("'"))), ", ")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    text = F.when(k == 1, F.lit(" ")).otherwise(F.col("review_text"))
+    listed = F.concat(F.lit("["), items, F.when(k == 0, F.lit("")).otherwise(F.lit("]")))
+    line = F.concat(quoted(text), F.lit(";"), quoted(listed), F.when(k == 2, F.lit(";extra")).otherwise(F.lit("")))
+    g.select(line.alias("value")).write.text(path)
+    return path

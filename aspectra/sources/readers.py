@@ -253,6 +253,34 @@ def read_gold_csv(spark: SparkSession, path: str) -> DataFrame:
     return g.select("review_text", TX.parse_list_literal(F.col("aspect")).alias("aspect"))
 
 
+def split_rejects(df: DataFrame, reason, source: str) -> tuple[DataFrame, DataFrame]:
+    """(rows without a reason, rejects): a reject keeps its source, reason code and the row
+    as JSON, so nothing turns into null unseen."""
+    d = df.withColumn("_reason", reason)
+    bad = d.filter(F.col("_reason").isNotNull())
+    rejects = bad.select(F.lit(source).alias("source"), F.col("_reason").alias("reason"),
+                         F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("record"))
+    return d.filter(F.col("_reason").isNull()).drop("_reason"), rejects
+
+
+def read_gold_csv_checked(spark: SparkSession, path: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S8 with rejects: (gold rows review_text, aspect; rejects).  A row is rejected if it has
+    another number of fields than the header, no text, or a list that cannot be parsed."""
+    raw = (spark.read.options(**{**LEGACY_CSV, "header": header}).option("columnNameOfCorruptRecord", "_broken")
+           .schema("review_text string, aspect string, _broken string").csv(path))
+    parsed = raw.withColumn("items", TX.parse_list_literal(F.col("aspect")))
+    reason = (F.when(F.col("_broken").isNotNull(), F.lit("malformed_row"))
+              .when(~F.coalesce(F.col("review_text"), F.lit("")).rlike(r"\S"), F.lit("no_text"))
+              .when(F.col("items").isNull(), F.lit("bad_list")))
+    good, rejects = split_rejects(parsed, reason, "gold-csv")
+    return good.select("review_text", F.col("items").alias("aspect")), rejects
+
+
+def write_rejects(rejects: DataFrame, path: str) -> None:
+    """Rejects by source and reason, beside the dataset they were kept out of."""
+    rejects.write.mode("append").partitionBy("source", "reason").parquet(path)
+
+
 def write_reviews(df: DataFrame, path: str) -> None:
     """K1: Parquet partitioned by source."""
     df.write.mode("overwrite").partitionBy("source").parquet(path)
@@ -306,10 +334,38 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+GOLD_COLUMNS = {"review_text": "string", "aspect": "array<string>", "polarity": "array<string>", "source": "string",
+                "domain": "string", "partition": "string", "position": "array<struct<start:int,end:int>>"}
+
+
 def build_gold(parts: list[DataFrame]) -> DataFrame:
-    """Bag union of gold sources (2014, 2015, 2016, MAMS) in one schema."""
-    cols = ["review_text", "aspect", "polarity", "source", "domain", "partition", "position"]
-    out = parts[0].select(*cols)
+    """Bag union of gold sources (2014, 2015, 2016, MAMS) in one schema; a column that a
+    source does not have is null there."""
+    def whole(p):
+        return p.select(*[(F.col(c) if c in p.columns else F.lit(None)).cast(kind).alias(c) for c, kind in GOLD_COLUMNS.items()])
+    out = whole(parts[0])
     for p in parts[1:]:
-        out = out.unionByName(p.select(*cols))
+        out = out.unionByName(whole(p))
     return out
+
+
+# Dataset name -> reader of its folder.
+READERS = {
+    SHOP: lambda spark, folder: read_tagged_reviews(spark, folder),
+    HOTELS: lambda spark, folder: read_hotel_reviews(spark, f"{folder}/*.json"),
+    APP_STORE: lambda spark, folder: read_app_reviews(spark, f"{folder}/apps.csv", f"{folder}/reviews.csv"),
+    GOLD_2014: lambda spark, folder: read_gold_terms(spark, f"{folder}/*.xml", source=GOLD_2014, domain="laptop").drop("position"),
+    GOLD_2015: lambda spark, folder: read_gold_opinions(spark, f"{folder}/*.xml", year="2015"),
+    GOLD_2016: lambda spark, folder: read_gold_opinions(spark, f"{folder}/*.xml", year="2016"),
+    GOLD_MAMS: lambda spark, folder: read_gold_terms(spark, f"{folder}/*.xml", source=GOLD_MAMS),
+}
+
+
+def read_dataset(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The rows of a registered dataset below ``root``."""
+    return READERS[name](spark, source_path(root, name))
+
+
+def read_gold_sources(spark: SparkSession, root: str) -> DataFrame:
+    """The union of the four gold datasets below ``root``."""
+    return build_gold([read_dataset(spark, root, n) for n in (GOLD_2014, GOLD_2015, GOLD_2016, GOLD_MAMS)])
