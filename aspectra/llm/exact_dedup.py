@@ -89,7 +89,7 @@ def digest_of(text_col: str):
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256."""
     ready(docs.sparkSession)
-    s = heavy_split(docs.select(F.col(id_col).alias(_ID), F.unhex(digest_of(text_col)).alias(_SHA)), F.max)
+    s = heavy_split(docs.select(F.col(f"`{id_col}`").alias(_ID), F.unhex(digest_of(f"`{text_col}`")).alias(_SHA)), F.max)
     heavy, light = _settle(s.digests, s)
     single = F.col("__dd_n").isNull()
     out = heavy.unionByName(light).select(
@@ -106,9 +106,11 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Copies of heavy texts are removed before the shuffle, so no task receives them."""
     ready(docs.sparkSession)
-    rows = docs.withColumn(_SHA, F.unhex(digest_of(text_col)))
-    s = heavy_split(rows.select(F.col(id_col).alias(_ID), _SHA), F.max)
-    stays = F.col("__dd_n").isNull() | F.col(id_col).eqNullSafe(F.col("__dd_keep"))
+    # the row travels as one struct, so no name of its columns meets one of ours
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__dd_row"),
+                       F.col(f"`{id_col}`").alias(_ID), F.unhex(digest_of(f"`{text_col}`")).alias(_SHA))
+    s = heavy_split(rows.select(_ID, _SHA), F.max)
+    stays = F.col("__dd_n").isNull() | F.col(_ID).eqNullSafe(F.col("__dd_keep"))
     heavy, light = _settle(rows, s)
-    return (heavy.filter(stays).dropDuplicates([_SHA])
-            .unionByName(light.filter(stays).dropDuplicates([_SHA])).select(*docs.columns))
+    kept = heavy.filter(stays).dropDuplicates([_SHA]).unionByName(light.filter(stays).dropDuplicates([_SHA]))
+    return kept.select(*[F.col(f"__dd_row.`{c}`") for c in docs.columns])

@@ -287,10 +287,12 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars",
             cols.append(pa.array([bool(f) for f in found]))
             yield pa.RecordBatch.from_arrays(cols, names=[str(i) for i in range(len(cols))])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    out = docs.mapInArrow(run, schema + ", __s_changed boolean")
+    # columns are numbered on the way, so no name of theirs meets one of ours
+    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
+    numbered = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    out = numbered.mapInArrow(run, schema + ", changed boolean")
+    cols = [F.col(f"c{i}") for i in range(len(docs.columns))]
     if chars_col in docs.columns:
-        kind = docs.schema[chars_col].dataType
-        out = out.withColumn(chars_col, F.when(F.col("__s_changed"), F.length(f"`{text_col}`").cast(kind))
-                             .otherwise(F.col(f"`{chars_col}`")))
-    return out.select(*[f"`{c}`" for c in docs.columns])
+        at = docs.columns.index(chars_col)
+        cols[at] = F.when(F.col("changed"), F.length(cols[pos]).cast(docs.schema[chars_col].dataType)).otherwise(cols[at])
+    return out.select(*[c.alias(name) for c, name in zip(cols, docs.columns)])

@@ -112,3 +112,26 @@ def test_empty_tables(spark):
     e = spark.createDataFrame([], SCHEMA)
     assert exact_dedup.duplicate_groups(e).count() == 0 and exact_dedup.drop_duplicates(e).count() == 0
     assert quality.ledger(e).count() == 0 and quality.filter_documents(e).count() == 0
+
+
+def test_filter_documents_keeps_the_ledger_plan(spark):
+    """The policy's predicate must not inline the measuring steps."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    size = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    led, kept = size(quality.ledger(docs)), size(quality.filter_documents(docs))
+    assert kept.count("xxhash64") == led.count("xxhash64") and len(kept) < 2 * len(led)
+
+
+def test_rows_with_any_column_names_survive_every_stage(spark):
+    from aspectra.llm import order_minhash, secret_scan
+    odd = ["a.b", "__dd_n", "__dd_keep", "__dd_sha", "__dd_row", "__dd_id", "__s_changed", "changed", "c0", "node", "id", "row",
+           "__nd_id", "__nd_node", "__q_row", "fail_mask", "kept", "size", "label"]
+    words = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, words, *odd), (2, words, *odd), (3, words.upper() + " password = abcdefgh1", *odd)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` {'long' if c == 'doc_id' else 'string'}" for c in ["doc_id", "text", *odd]))
+    for stage, ids in ((exact_dedup.drop_duplicates, {2, 3}), (order_minhash.drop_near_duplicates, {1}),
+                       (secret_scan.redact, {1, 2, 3}), (quality.filter_documents, {1, 2, 3})):
+        out = stage(df)
+        assert out.columns == df.columns
+        got = out.collect()
+        assert {r["doc_id"] for r in got} == ids and all(tuple(r)[2:] == tuple(odd) for r in got)
