@@ -39,6 +39,7 @@ from .common import ready
 FILE_BYTES = 256 << 20      # a task starts a new file beyond this
 GAP_BYTES = 64 << 10        # ranges this close are read together
 READ_BYTES = 8 << 20        # most bytes of one coalesced read
+TASK_BYTES = 64 << 20       # archive bytes that one task reads back
 DATE = "1970-01-01T00:00:00Z"   # pages carry no fetch time
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -174,11 +175,17 @@ def coalesce_ranges(ranges: list[tuple[int, int]], gap: int = GAP_BYTES, most: i
         i = j
 
 
+def read_tasks(selected: DataFrame) -> int:
+    """Tasks that read the selected records: by their bytes in the archives, not by the bytes
+    of the index (a row of it stands for a whole record)."""
+    return max(1, -(-(selected.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
+
+
 def read_records(selected: DataFrame, with_payload: bool = True) -> DataFrame:
     """The records of the selected index rows, read back from the archives: record_id, url,
     record_type, payload_digest, payload_bytes, refers_to and, if asked for, payload."""
     ready(selected.sparkSession)
-    rows = (selected.select("file", "offset", "length").repartitionByRange("file", "offset")
+    rows = (selected.select("file", "offset", "length").repartitionByRange(read_tasks(selected), "file", "offset")
             .sortWithinPartitions("file", "offset"))
 
     def run(batches):

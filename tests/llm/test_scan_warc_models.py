@@ -191,3 +191,17 @@ def test_language_on_held_out_rows(spark):
     none = langid.train(docs.filter("lang IS NULL"))
     assert {x.lang_pred for x in langid.predict(docs, none).collect()} == {"und"}
     assert langid.predict(docs.filter("doc_id < -1"), model).count() == 0
+
+
+def test_reading_back_is_shared_out_by_archive_bytes(spark, tmp_path, monkeypatch):
+    import os
+
+    from aspectra.llm import warc
+    pages = spark.createDataFrame([(i, f"u{i}", os.urandom(3000).hex()) for i in range(60)], "page_id long, url string, html string")
+    index = warc.write_archives(pages, f"file://{tmp_path}/w")
+    total = sum(r.length for r in index.collect())
+    monkeypatch.setattr(warc, "TASK_BYTES", total // 5)
+    assert warc.read_tasks(index) in (5, 6)
+    back = warc.read_records(index)
+    assert back.rdd.getNumPartitions() == warc.read_tasks(index) and back.count() == 60
+    assert warc.read_tasks(index.limit(0)) == 1
