@@ -787,6 +787,7 @@ rv AS (SELECT p.p_name || ' ' || p.p_partkey AS app, lr.review_text, lr.polarity
 SELECT 'google-play' AS source, rv.app AS product_name, rv.review_text,
        CAST(CASE rv.polarity WHEN 'positive' THEN 0.5 WHEN 'negative' THEN -0.5 ELSE 0.0 END AS DOUBLE) AS rating, rv.polarity
 FROM part a JOIN rv ON rv.app = a.p_name || ' ' || a.p_partkey"""
+    o["read_app_reviews_by_ranges"] = o["read_app_reviews"]
     o["read_gold_xml"] = g_with + """
 SELECT review_text, array_to_string(aspect, '|') AS aspect,
        array_to_string(list_transform(aspect, a -> ['positive', 'negative', 'neutral', 'conflict'][review_id % 4 + 1]), '|') AS polarity,

@@ -292,6 +292,13 @@ def q_read_app_reviews(spark, sf):
     return finalize(RD.read_app_reviews(spark, apps, revs))
 
 
+def q_read_app_reviews_by_ranges(spark, sf):
+    """S1 with the review file cut into byte ranges."""
+    from ..sources import derived as DV
+    apps, revs = DV.write_app_csvs(spark, sf)
+    return finalize(RD.read_app_reviews(spark, apps, revs, by_ranges=True))
+
+
 def q_build_gold(spark, sf):
     from ..sources import derived as DV
     root = DV.write_gold_xml(spark, sf)
@@ -719,6 +726,7 @@ QUERIES: dict[str, Query] = {
     "read_tagged_reviews": q_read_tagged_reviews,
     "read_gold_xml": q_read_gold_xml,
     "read_app_reviews": q_read_app_reviews,
+    "read_app_reviews_by_ranges": q_read_app_reviews_by_ranges,
     "read_gold_opinions": _opinions_query(False),
     "read_gold_opinions_compat": _opinions_query(True),
     "build_gold": q_build_gold,

@@ -59,11 +59,16 @@ def join_app_reviews(apps: DataFrame, reviews: DataFrame, dedupe_apps: bool = Fa
 
 
 def read_app_reviews(spark: SparkSession, apps_csv: str, reviews_csv: str,
-                     dedupe_apps: bool = False, multi_line: bool = True) -> DataFrame:
-    """S1.  ``multi_line=False`` lets Spark split large files whose texts hold no newline."""
+                     dedupe_apps: bool = False, multi_line: bool = True, by_ranges: bool = False) -> DataFrame:
+    """S1.  ``by_ranges`` lets many tasks read a large review file whose texts may hold line
+    breaks (``splitting.read_quoted_csv``); ``multi_line=False`` does if they hold none."""
     opts = dict(header=True, quote='"', escape='"', multiLine=multi_line)
     apps = spark.read.options(**opts).csv(apps_csv).select("App")
-    rev = spark.read.options(**opts).schema(APP_REVIEW_SCHEMA).csv(reviews_csv)
+    if by_ranges:
+        from .splitting import read_quoted_csv
+        rev = read_quoted_csv(spark, reviews_csv, APP_REVIEW_SCHEMA)
+    else:
+        rev = spark.read.options(**opts).schema(APP_REVIEW_SCHEMA).csv(reviews_csv)
     j = join_app_reviews(apps, rev, dedupe_apps)
     return j.select(F.lit(APP_STORE).alias("source"), F.col("App").alias("product_name"),
                     F.col("Translated_Review").alias("review_text"),
