@@ -788,6 +788,15 @@ SELECT 'google-play' AS source, rv.app AS product_name, rv.review_text,
        CAST(CASE rv.polarity WHEN 'positive' THEN 0.5 WHEN 'negative' THEN -0.5 ELSE 0.0 END AS DOUBLE) AS rating, rv.polarity
 FROM part a JOIN rv ON rv.app = a.p_name || ' ' || a.p_partkey"""
     o["read_app_reviews_by_ranges"] = o["read_app_reviews"]
+    dataset = f"""ds1 AS ({o["build_reviews"]}),
+ds2 AS ({o["read_app_reviews"]}),
+dset AS (SELECT review_id, source, review_text, polarity FROM ds1 UNION ALL
+         SELECT source || ':' || md5(product_name || chr(1) || review_text), source, {clean_sql('review_text')}, polarity FROM ds2)"""
+    o["reviews_manifest"] = f"""WITH {dataset}
+SELECT source, CAST(count(review_text) AS BIGINT) AS rows, CAST(count(*) - count(review_text) AS BIGINT) AS rejects FROM dset GROUP BY source"""
+    o["training_from_dataset"] = _with(dataset, training_ctes(
+        "SELECT review_id, source, review_text, polarity FROM dset WHERE source IN ('google-play', 'lara-tripadvisor') "
+        "AND review_text IS NOT NULL")) + "\nSELECT review_id, polarity FROM bal"
     o["read_gold_xml"] = g_with + """
 SELECT review_text, array_to_string(aspect, '|') AS aspect,
        array_to_string(list_transform(aspect, a -> ['positive', 'negative', 'neutral', 'conflict'][review_id % 4 + 1]), '|') AS polarity,

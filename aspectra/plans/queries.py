@@ -320,6 +320,26 @@ def q_reviews_roundtrip(spark, sf):
     return finalize(r.select("review_id", "source", "review_text", "rating", "polarity"))
 
 
+def _reviews_dataset(spark, sf):
+    """The three review sources (S1 among them) and the labelled documents as one dataset."""
+    from ..sources import derived as DV
+    path = DV.scratch_path(spark, "dataset")
+    apps = RD.app_review_rows(RD.read_app_reviews(spark, *DV.write_app_csvs(spark, sf), by_ranges=True))
+    return path, RD.write_reviews_dataset([RD.build_reviews(spark, sf), apps], path)
+
+
+def q_reviews_manifest(spark, sf):
+    """Rows and rejects of every source."""
+    return finalize(_reviews_dataset(spark, sf)[1])
+
+
+def q_training_from_dataset(spark, sf):
+    """M1 from the cleaned dataset: the folders of the app store and the hotels alone are read."""
+    path, _ = _reviews_dataset(spark, sf)
+    r = RD.read_reviews_of(spark, path, [RD.APP_STORE, RD.HOTELS])
+    return finalize(P.polarity_training_set(r.select("review_id", "review_text", "polarity")).select("review_id", "polarity"))
+
+
 def q_predictions_csv(spark, sf):
     """K3: flat predictions written as ';' CSV (lists as JSON text) and read back."""
     from ..sources.derived import scratch_path
@@ -774,5 +794,7 @@ QUERIES: dict[str, Query] = {
     "lr_history": q_lr_history,
     "production_split": q_production_split,
     "reviews_roundtrip": q_reviews_roundtrip,
+    "reviews_manifest": q_reviews_manifest,
+    "training_from_dataset": q_training_from_dataset,
     "predictions_csv": q_predictions_csv,
 }

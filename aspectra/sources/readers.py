@@ -291,6 +291,50 @@ def write_reviews(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("source").parquet(path)
 
 
+REVIEW_COLUMNS = {"review_id": "string", "source": "string", "product_name": "string", "review_text": "string",
+                  "rating": "double", "polarity": "string"}
+
+
+def app_review_rows(apps: DataFrame) -> DataFrame:
+    """S1 rows as rows of the reviews dataset: the file has no ids, so a row's id is made of its
+    source, product and text; the text is cleaned (T1)."""
+    key = F.md5(F.concat_ws("\x01", "product_name", "review_text").cast("binary"))
+    return apps.select(F.concat_ws(":", "source", key).alias("review_id"), "source", "product_name",
+                       TX.clean_text(F.col("review_text")).alias("review_text"), "rating", "polarity")
+
+
+def write_reviews_dataset(parts: list[DataFrame], path: str) -> DataFrame:
+    """K1 / U1 as a dataset with a contract: the union of the parts (``REVIEW_COLUMNS``; a missing
+    column is null) below ``path/reviews`` by source, rows without id, source or text below
+    ``path/rejects`` by source and reason, and ``path/manifest``: rows and rejects per source.
+    Returns the manifest, read back."""
+    spark = parts[0].sparkSession
+    whole = [p.select(*[(F.col(c) if c in p.columns else F.lit(None)).cast(k).alias(c) for c, k in REVIEW_COLUMNS.items()]) for p in parts]
+    out = whole[0]
+    for p in whole[1:]:
+        out = out.unionByName(p)
+    reason = (F.when(F.col("review_id").isNull(), F.lit("no_id")).when(F.col("source").isNull(), F.lit("no_source"))
+              .when(F.col("review_text").isNull(), F.lit("no_text")))
+    # one pass over the sources: every row is written once, with its reason, and read by the rest
+    out.withColumn("reason", F.coalesce(reason, F.lit("kept"))).withColumn("source", F.coalesce("source", F.lit("unknown"))) \
+        .write.mode("overwrite").partitionBy("reason", "source").parquet(f"{path}/all")
+    rows = spark.read.parquet(f"{path}/all")
+    counts = rows.groupBy("source").agg(F.count_if(F.col("reason") == "kept").alias("rows"),
+                                        F.count_if(F.col("reason") != "kept").alias("rejects"))
+    counts.write.mode("overwrite").parquet(f"{path}/manifest")
+    return spark.read.parquet(f"{path}/manifest")
+
+
+def read_reviews_of(spark: SparkSession, path: str, sources: list[str] | None = None) -> DataFrame:
+    """The kept rows of a dataset of ``write_reviews_dataset``; only the folders of ``sources``
+    are read.  An unknown source is an error (the manifest knows them all)."""
+    known = {r.source for r in spark.read.parquet(f"{path}/manifest").select("source").collect()}
+    if sources is not None and not set(sources) <= known:
+        raise KeyError(f"unknown sources {sorted(set(sources) - known)}; the dataset has {sorted(known)}")
+    r = spark.read.parquet(f"{path}/all").filter(F.col("reason") == "kept").drop("reason")
+    return r if sources is None else r.filter(F.col("source").isin(*sources))
+
+
 def write_bucketed_reviews(df: DataFrame, table_name: str, path: str, buckets: int) -> DataFrame:
     """Corpus table bucketed (and sorted) by ``review_id`` at ``path``: every later
     per-review step reads it without any shuffle (``annotate_corpus(...,

@@ -127,3 +127,19 @@ def test_registry_reads_every_gold_dataset(spark):
     assert RD.READERS.keys() == RD.REGISTRY.keys()
     with pytest.raises(KeyError):
         RD.source_path(root, "nope")
+
+
+def test_reviews_dataset_contract(spark, tmp_path):
+    one = spark.createDataFrame([("a:1", "a", "good", "positive"), ("a:2", "a", None, "negative"), (None, "a", "x", None)],
+                                "review_id string, source string, review_text string, polarity string")
+    two = spark.createDataFrame([("b:1", "b", "text", 2.0), ("c:1", None, "text", 1.0)],
+                                "review_id string, source string, review_text string, rating double")
+    manifest = RD.write_reviews_dataset([one, two], f"{tmp_path}/d")
+    assert {tuple(r) for r in manifest.collect()} == {("a", 1, 2), ("b", 1, 0), ("unknown", 0, 1)}
+    assert {r.review_id for r in RD.read_reviews_of(spark, f"{tmp_path}/d").collect()} == {"a:1", "b:1"}
+    b = RD.read_reviews_of(spark, f"{tmp_path}/d", ["b"])
+    assert [(r.review_id, r.polarity, r.rating) for r in b.collect()] == [("b:1", None, 2.0)]
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(reason" in plan and "source" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    with pytest.raises(KeyError):
+        RD.read_reviews_of(spark, f"{tmp_path}/d", ["z"])
