@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -43,17 +44,30 @@ class Scratch:
     the tasks that read them again."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.folder, self.count = spark, run_folder(spark, name), 0
+        self.spark, self.folder, self.count, self.paths = spark, run_folder(spark, name), 0, {}
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.folder}/{self.count}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(table)] = path
+        return table
+
+    def sweep(self, *read: DataFrame) -> None:
+        """Delete tables that nothing reads any more, and let Spark drop the shuffle files of
+        finished jobs now (it does so once the driver has collected their handles)."""
+        for table in read:
+            self._delete(self.paths.pop(id(table)))
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
     def drop(self) -> None:
         """Delete the tables; call it when nothing reads them any more."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        self._delete(self.folder)
+
+    def _delete(self, at: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
