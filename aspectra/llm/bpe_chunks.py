@@ -1,10 +1,10 @@
 """Byte-level BPE encoding by overlapping chunks, and decoding by concatenating raw bytes.
 
-Documents up to ``chunk_chars`` are one chunk and are encoded where they are read.  Longer
-ones are cut into chunks that overlap by ``overlap`` characters and spread over the cluster:
+A document longer than ``chunk_chars`` is cut into chunks that overlap by ``overlap``
+characters:
 
-1. every chunk is pre-tokenised on its own, in parallel.  The first chunk starts right; a
-   later one may start inside a pre-token, so its first boundaries may be wrong;
+1. every chunk is pre-tokenised on its own.  The first chunk starts right; a later one may
+   start inside a pre-token, so its first boundaries may be wrong;
 2. chunks are stitched where the boundaries of neighbours resynchronise: the pattern looks
    only forward, so once a chunk's scan shares one boundary with its (right) predecessor,
    all its later boundaries are right too.  A boundary counts only if the character before
@@ -12,8 +12,13 @@ ones are cut into chunks that overlap by ``overlap`` characters and spread over
    if it lies clear of the chunk's end;
 3. the pieces between stitches are encoded independently and their ids concatenated.
 
+Documents of at most ``spread_chars`` go through these steps where they are read, many
+documents in parallel, and nothing is shuffled.  Longer ones send their chunks, of
+``spread_chars`` characters, over the cluster, so that no task holds the work of one huge
+text.  Both ways share the scan and the stitching rule.
+
 A document in which two neighbours share no boundary (one run of letters longer than the
-overlap) is put together again and encoded as one piece, so the result is always exact.
+overlap) is encoded as one piece, so the result is always exact.
 
 Defined cases: null and empty texts give no ids; repeated rows are separate documents
 (rows are numbered, ids need not be unique or present); an empty table gives no rows; other
@@ -33,8 +38,10 @@ from pyspark.sql import functions as F
 from . import vocab
 from .common import cut_lineage, ready, text_or_empty, texts_of
 
-CHUNK_CHARS = 65_536
-OVERLAP = 4_096
+CHUNK_CHARS = 4_096
+OVERLAP = 512
+SPREAD_CHARS = 65_536  # longer documents, and their chunks, are spread over the cluster
+SPREAD_OVERLAP = 4_096
 SAFE_END = 4           # a contraction such as 'll may be cut within the last three characters
 
 
@@ -44,17 +51,49 @@ def _pattern():
     return regex.compile(vocab.split_pattern())
 
 
-def boundaries(text: str, lo: int, hi: int) -> list[int]:
-    """Ends of pre-tokens within [lo, hi) where a text may be cut.  Boundaries before a
-    space or newline are preferred: they hold whatever precedes them."""
-    ends = [m.end() for m in _pattern().finditer(text)]
-    ends = [e for e in ends if lo <= e < hi and e < len(text) and not text[e - 1].isspace()]
+def cut_points(chunk: str, first: bool, last: bool, size: int, overlap: int) -> tuple[list[int], list[int]]:
+    """Ends of pre-tokens where a chunk may be cut: those within its first ``overlap``
+    characters (shared with its predecessor) and those within the ``overlap`` characters
+    after its first ``size`` (shared with its successor)."""
+    safe = len(chunk) if last else len(chunk) - SAFE_END
+    stop = min(overlap, safe) if last else min(size + overlap, safe)
+    ends = []
+    for m in _pattern().finditer(chunk):
+        e = m.end()
+        if e >= stop:
+            break
+        if (e < overlap or e > size) and not chunk[e - 1].isspace():
+            ends.append(e)
+    return ([0] if first else _preferred(chunk, [e for e in ends if e < overlap]),
+            [] if last else _preferred(chunk, [e for e in ends if e > size]))
+
+
+def _preferred(text: str, ends: list[int]) -> list[int]:
+    """Boundaries before a space or newline, if any: they hold whatever precedes them."""
     return [e for e in ends if text[e] in " \n"] or ends
 
 
-def encode_bytes(texts, ranks_path: str):
+def pieces_of(text: str, chunk: int, overlap: int) -> list[str]:
+    """The pieces of a text between the stitches of its chunks."""
+    if len(text) <= chunk:
+        return [text]
+    cuts, tail = [0], []
+    for start in range(0, len(text), chunk):
+        last = start + chunk >= len(text)
+        head, after = cut_points(text[start:start + chunk + overlap], not start, last, chunk, overlap)
+        if start:
+            common = set(tail).intersection(start + e for e in head)
+            if not common:
+                return [text]
+            cuts.append(min(common))
+        tail = [start + e for e in after]
+    return [text[x:y] for x, y in zip(cuts, cuts[1:] + [len(text)])]
+
+
+def encode_bytes(texts, ranks_path: str, chunk: int, overlap: int):
     enc = vocab.rank_encoding(ranks_path)
-    return [np.array(enc.encode_ordinary(t), dtype="<u4").tobytes() for t in texts]
+    return [np.concatenate([np.array(enc.encode_ordinary(p), dtype="<u4") for p in pieces_of(t, chunk, overlap)]).tobytes()
+            for t in texts]
 
 
 def decode_bytes(ids: bytes, ranks_path: str) -> bytes:
@@ -66,10 +105,10 @@ def _byte_table(ranks_path: str) -> dict[int, bytes]:
     return {i: b for b, i in vocab.ranks(ranks_path).items()}
 
 
-def _encode_column(ranks_path: str, pos: int):
+def _encode_column(ranks_path: str, pos: int, chunk: int, overlap: int):
     def run(batches):
         for b in batches:
-            ids = encode_bytes(texts_of(b.column(pos)), ranks_path)
+            ids = encode_bytes(texts_of(b.column(pos)), ranks_path, chunk, overlap)
             cols = [b.column(i) for i in range(b.num_columns) if i != pos] + [pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=[str(i) for i in range(len(cols))])
     return run
@@ -80,9 +119,9 @@ def _bound_rows(chunk: int, overlap: int):
         for b in batches:
             heads, tails = [], []
             for start, last, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), texts_of(b.column(4))):
-                safe = len(t) if last else len(t) - SAFE_END
-                heads.append([start + e for e in boundaries(t, 1, min(overlap, safe))] if start else [0])
-                tails.append([] if last else [start + e for e in boundaries(t, chunk + 1, min(chunk + overlap, safe))])
+                head, tail = cut_points(t, not start, last, chunk, overlap)
+                heads.append([start + e for e in head])
+                tails.append([start + e for e in tail])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(heads, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.int32()))],
                 names=["k", "no", "head", "tail"])
@@ -115,20 +154,21 @@ def _long_pieces(rows: DataFrame, chunk: int, overlap: int) -> DataFrame:
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None,
-           chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP) -> DataFrame:
+           chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP,
+           spread_chars: int = SPREAD_CHARS, spread_overlap: int = SPREAD_OVERLAP) -> DataFrame:
     """One row per document: its id and ``ids``, the token ids as little-endian uint32 bytes."""
-    if not SAFE_END < overlap <= chunk_chars:
-        raise ValueError("overlap must exceed 4 and be at most chunk_chars")
+    if not SAFE_END < overlap <= chunk_chars or not SAFE_END < spread_overlap <= spread_chars:
+        raise ValueError("an overlap must exceed 4 and be at most its chunk's size")
     ready(docs.sparkSession)
     path = ranks_path or vocab.default_path("byte_bpe_multi_50k.tiktoken")
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(f"`{text_col}`").alias("t"))
-    fits = F.length("t") <= chunk_chars
-    short = rows.filter(fits).mapInArrow(_encode_column(path, 1), f"id {id_type}, ids binary")
+    fits = F.length("t") <= spread_chars
+    short = rows.filter(fits).mapInArrow(_encode_column(path, 1, chunk_chars, overlap), f"id {id_type}, ids binary")
     # long documents are numbered once; the numbers are fixed by the checkpoint
     long = cut_lineage(rows.filter(~fits).withColumn("k", F.monotonically_increasing_id()))
-    coded = (_long_pieces(long.select("k", "t"), chunk_chars, overlap).repartition("k", "no")
-             .mapInArrow(_encode_column(path, 2), "k long, no int, ids binary"))
+    coded = (_long_pieces(long.select("k", "t"), spread_chars, spread_overlap).repartition("k", "no")
+             .mapInArrow(_encode_column(path, 2, chunk_chars, overlap), "k long, no int, ids binary"))
     whole = (coded.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("no", "ids"))).alias("p"))
              .select("k", F.aggregate("p.ids", F.lit(b""), lambda a, x: F.concat(a, x)).alias("ids")))
     return (short.unionByName(long.select("id", "k").join(whole, "k").select("id", "ids"))

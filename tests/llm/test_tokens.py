@@ -55,13 +55,15 @@ def test_token_counts_equal_library(spark):
         assert (got[i].n_tokens, got[i].n_bytes, got[i].over_limit) == (n, len((t or "").encode()), n > 50), repr(t)
 
 
-@pytest.mark.parametrize("chunk,overlap", [(65_536, 4_096), (40, 20), (25, 25), (64, 8)])
-def test_chunked_encoding_equals_library(spark, chunk, overlap):
+@pytest.mark.parametrize("chunk,overlap,spread,spread_overlap", [
+    (4_096, 512, 65_536, 4_096), (40, 20, 65_536, 4_096), (25, 25, 64, 8), (4_096, 512, 40, 20), (40, 20, 400, 60)])
+def test_chunked_encoding_equals_library(spark, chunk, overlap, spread, spread_overlap):
     path = vocab.default_path("byte_bpe_multi_50k.tiktoken")
     enc = vocab.rank_encoding(path)
     long = [" ".join(TEXTS[i] or "" for i in range(len(HOSTILE))) * 2, "y" * 500, "it's " * 100]
     texts = TEXTS + long
-    coded = bpe_chunks.encode(frame(spark, texts), chunk_chars=chunk, overlap=overlap).cache()
+    coded = bpe_chunks.encode(frame(spark, texts), chunk_chars=chunk, overlap=overlap, spread_chars=spread,
+                              spread_overlap=spread_overlap).cache()
     got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in coded.collect()}
     raw = {r.doc_id: r.bytes for r in bpe_chunks.decode(coded).collect()}
     dig = {r.doc_id: r for r in bpe_chunks.round_trip_digests(coded).collect()}
@@ -75,6 +77,22 @@ def test_chunked_encoding_equals_library(spark, chunk, overlap):
         assert dig[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def test_texts_are_cut_into_pieces():
+    enc = vocab.rank_encoding(vocab.default_path("byte_bpe_multi_50k.tiktoken"))
+    texts = random_texts(200, 11) + [" ".join(random_texts(60, 12)), "it's " * 3_000, "a" * 9_000, "a b\n" * 5_000, " " * 9_000]
+    cut = {}
+    for chunk, overlap in [(30, 12), (100, 100), (4_096, 512)]:
+        for t in texts:
+            pieces = bpe_chunks.pieces_of(t, chunk, overlap)
+            cut.setdefault(chunk, []).extend([len(pieces) > 1] * (len(t) > chunk))
+            assert "".join(pieces) == t
+            assert sum((enc.encode_ordinary(p) for p in pieces), []) == enc.encode_ordinary(t), (chunk, t[:80])
+            assert len(pieces) in (1, -(-len(t) // chunk))
+    # windows of 12 characters often hold no common boundary; of 100 or more nearly always
+    assert sum(cut[100]) > 0.9 * len(cut[100]) - 2 and sum(cut[4_096]) == 3 and any(cut[30])
+    assert len(bpe_chunks.pieces_of("it's " * 3_000, bpe_chunks.CHUNK_CHARS, bpe_chunks.OVERLAP)) == 4
+
+
 def test_chunk_parameters_are_checked(spark):
     with pytest.raises(ValueError):
         bpe_chunks.encode(frame(spark, ["a"]), chunk_chars=10, overlap=20)
