@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["Scratch", "cut_lineage", "documents", "ready", "run_folder", "text_or_empty", "held_out", "texts_of"]
+__all__ = ["Scratch", "cut_lineage", "documents", "ready", "run_folder", "text_or_empty", "held_out", "sampling_hash",
+           "share_of_hashes", "texts_of"]
 
 # Rows per Arrow batch handed to a Python worker: with documents of 100 KB a batch stays
 # near 25 MB, with documents of 3 KB near 1 MB.
@@ -80,6 +81,17 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def sampling_hash(id_col: str) -> Column:
+    """A hash of the id from 0 to 2**62 - 1, fine enough for samples of very large tables."""
+    return F.shiftrightunsigned(F.xxhash64(id_col), 2)
+
+
+def share_of_hashes(share: float) -> Column:
+    """The bound below which ``sampling_hash`` falls for this share of the ids, at least one
+    hash value and at most all."""
+    return F.lit(max(1, int(min(1.0, share) * (1 << 62)))).cast("long")
+
+
 def texts_of(column) -> Iterator[str]:
     """Python strings of an Arrow string column; null counts as empty."""
     return (t or "" for t in column.to_pylist())

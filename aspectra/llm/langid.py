@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, ready, texts_of
+from .common import held_out, ready, sampling_hash, share_of_hashes, texts_of
 from .ngrams import code_points, hashed
 
 BITS = 16
@@ -65,8 +65,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     if not langs:
         return LanguageModel([], np.zeros((1 << BITS, 0), dtype=np.float32), np.zeros(0, dtype=np.float32))
     number = {l: k for k, l in enumerate(langs)}
-    share = F.create_map(*[x for l in langs for x in (F.lit(l), F.lit(int(1e6 * min(1.0, per_language / sizes[l]))))])
-    picked = rows.filter(F.pmod(F.xxhash64("i"), F.lit(1_000_000)) < F.element_at(share, F.col("l")))
+    share = F.create_map(*[x for l in langs for x in (F.lit(l), share_of_hashes(per_language / sizes[l]))])
+    picked = rows.filter(sampling_hash("i") < F.element_at(share, F.col("l")))
 
     def count(batches):
         acc: dict[str, np.ndarray] = {}

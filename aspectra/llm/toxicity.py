@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, held_out, ready, texts_of
+from .common import cut_lineage, held_out, ready, sampling_hash, share_of_hashes, texts_of
 from .ngrams import code_points, hashed
 
 BITS = 20
@@ -172,6 +172,5 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     """Labelled documents that are not held out, about ``sample`` of them: id, text, label."""
     lab = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
            .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("label")))
-    share = min(1.0, sample / max(1, lab.count()))
-    picked = lab.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    picked = lab.filter(sampling_hash("doc_id") < share_of_hashes(sample / max(1, lab.count())))
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
