@@ -153,26 +153,33 @@ def _long_pieces(rows: DataFrame, chunk: int, overlap: int) -> DataFrame:
     return pieces.unionByName(rest)
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None,
-           chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP,
-           spread_chars: int = SPREAD_CHARS, spread_overlap: int = SPREAD_OVERLAP) -> DataFrame:
-    """One row per document: its id and ``ids``, the token ids as little-endian uint32 bytes."""
+def _in_place_and_spread(docs: DataFrame, id_col: str, text_col: str, path: str, chunk_chars: int, overlap: int,
+                         spread_chars: int, spread_overlap: int) -> tuple[DataFrame, DataFrame]:
+    """The documents to be encoded where they are read, as (id, t), and the ids of the longer
+    ones, as (id, ids)."""
     if not SAFE_END < overlap <= chunk_chars or not SAFE_END < spread_overlap <= spread_chars:
         raise ValueError("an overlap must exceed 4 and be at most its chunk's size")
     ready(docs.sparkSession)
-    path = ranks_path or vocab.default_path("byte_bpe_multi_50k.tiktoken")
-    id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(f"`{text_col}`").alias("t"))
     fits = F.length("t") <= spread_chars
-    short = rows.filter(fits).mapInArrow(_encode_column(path, 1, chunk_chars, overlap), f"id {id_type}, ids binary")
     # long documents are numbered once; the numbers are fixed by the checkpoint
     long = cut_lineage(rows.filter(~fits).withColumn("k", F.monotonically_increasing_id()))
     coded = (_long_pieces(long.select("k", "t"), spread_chars, spread_overlap).repartition("k", "no")
              .mapInArrow(_encode_column(path, 2, chunk_chars, overlap), "k long, no int, ids binary"))
     whole = (coded.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("no", "ids"))).alias("p"))
              .select("k", F.aggregate("p.ids", F.lit(b""), lambda a, x: F.concat(a, x)).alias("ids")))
-    return (short.unionByName(long.select("id", "k").join(whole, "k").select("id", "ids"))
-            .withColumnRenamed("id", id_col))
+    return rows.filter(fits), long.select("id", "k").join(whole, "k").select("id", "ids")
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None,
+           chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP,
+           spread_chars: int = SPREAD_CHARS, spread_overlap: int = SPREAD_OVERLAP) -> DataFrame:
+    """One row per document: its id and ``ids``, the token ids as little-endian uint32 bytes."""
+    path = ranks_path or vocab.default_path("byte_bpe_multi_50k.tiktoken")
+    rows, spread = _in_place_and_spread(docs, id_col, text_col, path, chunk_chars, overlap, spread_chars, spread_overlap)
+    id_type = docs.schema[id_col].dataType.simpleString()
+    here = rows.mapInArrow(_encode_column(path, 1, chunk_chars, overlap), f"id {id_type}, ids binary")
+    return here.unionByName(spread).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", ranks_path: str | None = None) -> DataFrame:
@@ -191,22 +198,51 @@ def decode(encoded: DataFrame, ids_col: str = "ids", ranks_path: str | None = No
         run, (schema + ", " if schema else "") + "bytes binary")
 
 
+def _digests(keys, coded, path: str) -> pa.RecordBatch:
+    """Digests of a batch of encoded documents and of the bytes that they decode to."""
+    names = _names(path).__getitem__
+    n, ids, raw = [], [], []
+    for c in coded:
+        n.append(len(c) // 4)
+        ids.append(hashlib.sha256(",".join(map(names, np.frombuffer(c, "<u4").tolist())).encode()).hexdigest())
+        raw.append(hashlib.sha256(decode_bytes(c, path)).hexdigest())
+    return pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(raw, pa.string())],
+                                      names=["id", "n", "i", "d"])
+
+
+@lru_cache(maxsize=2)
+def _names(ranks_path: str) -> dict[int, str]:
+    return {i: str(i) for i in vocab.ranks(ranks_path).values()}
+
+
+_DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
 def round_trip_digests(encoded: DataFrame, id_col: str = "doc_id", ranks_path: str | None = None) -> DataFrame:
     """id, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256."""
     path = ranks_path or vocab.default_path("byte_bpe_multi_50k.tiktoken")
     id_type = encoded.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        names = {i: str(i) for i in vocab.ranks(path).values()}.__getitem__
-        sha = lambda x: hashlib.sha256(x).hexdigest()
         for b in batches:
-            n, ids, raw = [], [], []
-            for coded in b.column(1).to_pylist():
-                n.append(len(coded) // 4)
-                ids.append(sha(",".join(map(names, np.frombuffer(coded, "<u4").tolist())).encode()))
-                raw.append(sha(decode_bytes(coded, path)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(raw)],
-                                             names=["id", "n", "i", "d"])
-
-    return encoded.select(f"`{id_col}`", "ids").mapInArrow(
-        run, f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            yield _digests(b.column(0), b.column(1).to_pylist(), path)
+
+    return encoded.select(f"`{id_col}`", "ids").mapInArrow(run, f"`{id_col}` {id_type}, {_DIGESTS}")
+
+
+def encode_round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None,
+                      chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP,
+                      spread_chars: int = SPREAD_CHARS, spread_overlap: int = SPREAD_OVERLAP) -> DataFrame:
+    """``round_trip_digests`` of ``encode``, with both steps in one Python worker for texts
+    that are encoded where they are read: one copy of the vocabulary a core, and no ids sent
+    between workers."""
+    path = ranks_path or vocab.default_path("byte_bpe_multi_50k.tiktoken")
+    rows, spread = _in_place_and_spread(docs, id_col, text_col, path, chunk_chars, overlap, spread_chars, spread_overlap)
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            yield _digests(b.column(0), encode_bytes(texts_of(b.column(1)), path, chunk_chars, overlap), path)
+
+    here = rows.mapInArrow(run, f"id {id_type}, {_DIGESTS}")
+    return here.unionByName(round_trip_digests(spread, "id", path)).withColumnRenamed("id", id_col)

@@ -40,7 +40,7 @@ def op4_warc(spark, sf_dir):
 
 
 def op5_byte_bpe(spark, sf_dir):
-    return bpe_chunks.round_trip_digests(bpe_chunks.encode(documents(spark, sf_dir)))
+    return bpe_chunks.encode_round_trip(documents(spark, sf_dir))
 
 
 def op6_order_minhash(spark, sf_dir):

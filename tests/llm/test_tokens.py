@@ -67,6 +67,9 @@ def test_chunked_encoding_equals_library(spark, chunk, overlap, spread, spread_o
     got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in coded.collect()}
     raw = {r.doc_id: r.bytes for r in bpe_chunks.decode(coded).collect()}
     dig = {r.doc_id: r for r in bpe_chunks.round_trip_digests(coded).collect()}
+    once = bpe_chunks.encode_round_trip(frame(spark, texts), chunk_chars=chunk, overlap=overlap, spread_chars=spread,
+                                        spread_overlap=spread_overlap).collect()
+    assert {r.doc_id: r for r in once} == dig and len(once) == len(texts)
     assert len(got) == len(texts)
     for i, t in enumerate(texts):
         ids = enc.encode_ordinary(t or "")
