@@ -18,6 +18,16 @@ def _texts(spark, n=40):
                                  "review_id long, review_text string")
 
 
+def test_words_travel_without_their_sentence(spark, monkeypatch):
+    vocab = spark.createDataFrame([("nice", 9, 1, 2.0), ("bad", 1, 9, -2.0)], "word string, n_pos long, n_neg long, lo double")
+    seen = []
+    real = P.with_log_odds
+    monkeypatch.setattr(PR.P, "with_log_odds", lambda rows, *a, **k: seen.append(rows.columns) or real(rows, *a, **k))
+    rows = PR.predict_long(_texts(spark), P.NaiveBayesModel(vocab, 0.0))
+    assert seen and "aspect_sentence" not in seen[0] and len(seen[0]) == 2
+    assert rows.count() == I.extract_reviews(_texts(spark)).count()
+
+
 def test_head_children_caches_nothing(spark):
     from aspectra.plans.queries import QUERIES
     plan = QUERIES["head_children"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
