@@ -32,3 +32,10 @@ def test_head_children_caches_nothing(spark):
     from aspectra.plans.queries import QUERIES
     plan = QUERIES["head_children"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "InMemoryRelation" not in plan
+
+
+def test_a_bucket_is_one_file(spark, tmp_path):
+    from aspectra.sources import readers as RD
+    RD.write_bucketed_reviews(_texts(spark).repartition(5), "scale_bucketed", f"{tmp_path}/b", 4)
+    assert len(glob.glob(os.path.join(f"{tmp_path}/b", "*.parquet"))) <= 4
+    spark.sql("drop table scale_bucketed")
