@@ -34,6 +34,14 @@ def test_head_children_caches_nothing(spark):
     assert "InMemoryRelation" not in plan
 
 
+def test_running_sums_copy_no_array_per_token(spark, monkeypatch):
+    monkeypatch.setattr(I, "SCAN_BLOCK", 4)
+    d = spark.createDataFrame([(list(range(1, k + 1)),) for k in (1, 3, 4, 5, 8, 9, 33)] + [([],)], "sizes array<int>")
+    d = d.withColumn("blocks", I.block_starts(F.col("sizes"), F.size("sizes")))
+    for r in d.withColumn("idx", I.running_starts(F.col("sizes"), F.col("blocks"))).collect():
+        assert r.idx == [sum(r.sizes[:i]) for i in range(len(r.sizes))]
+
+
 def test_a_bucket_is_one_file(spark, tmp_path):
     from aspectra.sources import readers as RD
     RD.write_bucketed_reviews(_texts(spark).repartition(5), "scale_bucketed", f"{tmp_path}/b", 4)
