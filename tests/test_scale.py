@@ -18,6 +18,21 @@ def _texts(spark, n=40):
                                  "review_id long, review_text string")
 
 
+def test_partitions_are_small_and_bounded(spark, monkeypatch):
+    import aspectra.session as SE
+    d = spark.range(1)
+    for size, want in ((1 << 30, 256), (6 << 30, 1536), (100 << 30, 10_000), (100 << 40, 100 << 15)):
+        monkeypatch.setattr(SE, "input_bytes", lambda df: size)  # noqa: B023
+        assert text_partitions(d) == want
+
+
+def test_known_input_is_spread_whatever_its_size(spark, monkeypatch):
+    import aspectra.session as SE
+    monkeypatch.setattr(SE, "TEXT_BYTES_PER_PARTITION", 16)           # every input is "large"
+    plan = A.spread(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
+
+
 def test_words_travel_without_their_sentence(spark, monkeypatch):
     vocab = spark.createDataFrame([("nice", 9, 1, 2.0), ("bad", 1, 9, -2.0)], "word string, n_pos long, n_neg long, lo double")
     seen = []
