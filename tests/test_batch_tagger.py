@@ -31,7 +31,7 @@ def model(spark):
 
 @pytest.fixture(scope="module")
 def nb(spark):
-    vocab = [("good", 9, 1, 2.0), ("bad", 1, 9, -2.0), ("the", 5, 5, 0.5), ("was", 1, 0, 0.25)]
+    vocab = [("good", 9, 1, 2.1), ("bad", 1, 9, -2.3), ("the", 5, 5, 0.7), ("was", 1, 0, 0.1), ("and", 3, 4, -0.3)]
     return P.NaiveBayesModel(spark.createDataFrame(vocab, "word string, n_pos long, n_neg long, lo double"), 0.125)
 
 
@@ -77,7 +77,8 @@ def test_aux_of_a_pipeline(spark, model, nb, monkeypatch, head_bytes):
     df = texts(spark)
     old = TG._aux_of_tokens(df, model, nb, S.WINDOW_AUX, S.NEUTRAL_THRESHOLD)
     monkeypatch.setattr(P, "HEAD_BYTES", head_bytes)
-    same(rounded(TG.predict_aux(df, model, nb)), rounded(old))
+    pick = rounded if head_bytes == 60 else lambda d: d           # the very same numbers if no word is joined
+    same(pick(TG.predict_aux(df, model, nb)), pick(old))
 
 
 def test_aux_of_a_function(spark, nb, monkeypatch):
