@@ -106,3 +106,12 @@ def test_training_counts_words_once(spark, monkeypatch):
     assert train.columns == df.columns and len(calls) == 1
     assert "regexp_replace" not in train._jdf.queryExecution().optimizedPlan().toString()
     same(train, P.balance_binary(P.length_iqr_filter(df)))
+
+
+@pytest.mark.parametrize("head_bytes", [P.HEAD_BYTES, 60])
+def test_predict_equals_predict_long(spark, texts, monkeypatch, head_bytes):
+    monkeypatch.setattr(P, "HEAD_BYTES", head_bytes)
+    model = P.NaiveBayesModel(spark.createDataFrame(VOCAB, "word string, n_pos long, n_neg long, lo double"), 0.125)
+    good = texts.filter(F.col("review_text").rlike(r"\S"))
+    pick = lambda d: d.withColumn("sentiment_prob", F.round("sentiment_prob", 9)).select(*sorted(d.columns))
+    same(pick(PR.predict(texts, model)), pick(PR.predict_long(good, model)))
